@@ -10,16 +10,22 @@ from pyspark.sql import functions as F
 from admesh.functions.columns import id_list
 from admesh.operators import vertex
 from admesh.operators.affinity import event_affinity
-from admesh.plans import audience
-from admesh.sources import facts
+from admesh.plans.audience import Audience
 from admesh.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+AD = "Brand#2"
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The 20 users to show the ad for ``Brand#2`` to."""
-    return audience.select_users(spark, "/root/testdata/sf0.001")
+    return Audience(spark, "/root/testdata/sf0.001").select_users(AD, 20)
+
+
+def _on(query: Callable[[Audience], DataFrame]) -> Query:
+    return lambda spark, folder: query(Audience(spark, folder))
 
 
 def _as_text(vertices: DataFrame) -> DataFrame:
@@ -27,17 +33,12 @@ def _as_text(vertices: DataFrame) -> DataFrame:
 
 
 def _read(attribute: str) -> Query:
-    return lambda spark, folder: vertex.read(audience.vertex_table(spark, folder), attribute)
+    return _on(lambda a: vertex.read(a.vertex_table(AD), attribute))
 
 
-def _replace(attribute: str, updates: Query) -> Query:
+def _replace(attribute: str, updates: Callable[[Audience], DataFrame]) -> Query:
     """Set one attribute on vertices that are known by id only."""
-    return lambda spark, folder: _as_text(
-        vertex.replace(audience.vertex_ids(spark, folder), updates(spark, folder), attribute))
-
-
-def _utility_of_ad(spark: SparkSession, folder: str) -> DataFrame:
-    return audience.candidates(spark, folder).select("id", "utility")
+    return _on(lambda a: _as_text(vertex.replace(a.vertex_ids(), updates(a), attribute)))
 
 
 def _replace_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -47,59 +48,53 @@ def _replace_id(spark: SparkSession, folder: str) -> DataFrame:
         .select(F.col("c_custkey").alias("id"),
                 (F.col("c_nationkey") * F.lit(10**12) + F.col("c_custkey")).alias("new_id"))
     )
-    return _as_text(vertex.replace_id(audience.vertex_ids(spark, folder), new_ids))
+    return _as_text(vertex.replace_id(Audience(spark, folder).vertex_ids(), new_ids))
 
 
-def _vertex_update(spark: SparkSession, folder: str) -> DataFrame:
+def _vertex_update(audience: Audience) -> DataFrame:
     """Spend affinity, overwritten by the event affinity to ad 7 where there were events."""
-    vertices = vertex.replace(
-        audience.vertex_ids(spark, folder), audience.affinity_spend(spark, folder), "affinity")
-    events = event_affinity(facts.exposures(spark, folder).filter(F.col("ad") == 7))
+    vertices = vertex.replace(audience.vertex_ids(), audience.affinity_spend(AD), "affinity")
+    events = event_affinity(audience.exposures.filter(F.col("ad") == 7))
     return vertex.read(vertex.replace(vertices, events, "affinity"), "affinity")
 
 
-def _pagerank(spark: SparkSession, folder: str) -> DataFrame:
-    return audience.pagerank(spark, folder).select("id", F.round("pagerank", 6).alias("pagerank"))
-
-
-def _by_pagerank(query: Query) -> Query:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        return query(spark, folder).withColumn("centrality", F.round("centrality", 6))
-    return run
+def _rounded(scores: DataFrame, column: str) -> DataFrame:
+    """PageRank sums in shuffle order, so its last digits vary."""
+    return scores.withColumn(column, F.round(column, 6))
 
 
 def queries() -> dict[str, Query]:
     return {
-        "vertex_ids": lambda s, d: _as_text(audience.vertex_ids(s, d)),
-        "vertex_table": lambda s, d: _as_text(audience.vertex_table(s, d)),
-        "vertex_update": _vertex_update,
+        "vertex_ids": _on(lambda a: _as_text(a.vertex_ids())),
+        "vertex_table": _on(lambda a: _as_text(a.vertex_table(AD))),
+        "vertex_update": _on(_vertex_update),
         "read_id": _read("id"),
         "read_affinity": _read("affinity"),
         "read_centrality": _read("centrality"),
         "read_utility": _read("utility"),
         "read_neighbours": _read("neighbours"),
         "replace_id": _replace_id,
-        "replace_affinity": _replace("affinity", audience.affinity_spend),
-        "replace_centrality": _replace("centrality", audience.centrality),
-        "replace_utility": _replace("utility", _utility_of_ad),
-        "replace_neighbours": _replace("neighbours", audience.neighbours),
-        "interactions": audience.interactions,
-        "edges": audience.edges,
-        "edges_symmetric": audience.edges_symmetric,
-        "neighbours": lambda s, d: _as_text(audience.neighbours(s, d)),
-        "degree_centrality": audience.degree_centrality,
-        "pagerank": _pagerank,
-        "affinity_spend": audience.affinity_spend,
-        "affinity_events": audience.affinity_events,
-        "utility": audience.utility,
-        "utility_pagerank": _by_pagerank(lambda s, d: audience.utility(s, d, measure="pagerank")),
-        "select_users": audience.select_users,
-        "select_users_pagerank": _by_pagerank(lambda s, d: audience.select_users(s, d, measure="pagerank")),
-        "select_users_all_ads": audience.select_users_all_ads,
-        "neighbour_affinity": audience.neighbour_affinity,
-        "ad_summary": audience.ad_summary,
-        "select_non_adjacent": audience.select_non_adjacent,
-        "audience_reach": audience.audience_reach,
+        "replace_affinity": _replace("affinity", lambda a: a.affinity_spend(AD)),
+        "replace_centrality": _replace("centrality", lambda a: a.centrality()),
+        "replace_utility": _replace("utility", lambda a: a.candidates(AD)),
+        "replace_neighbours": _replace("neighbours", lambda a: a.neighbours()),
+        "interactions": _on(lambda a: a.interactions()),
+        "edges": _on(lambda a: a.edges),
+        "edges_symmetric": _on(lambda a: a.links),
+        "neighbours": _on(lambda a: _as_text(a.neighbours())),
+        "degree_centrality": _on(lambda a: a.degree_centrality()),
+        "pagerank": _on(lambda a: _rounded(a.pagerank(), "pagerank")),
+        "affinity_spend": _on(lambda a: a.affinity_spend(AD)),
+        "affinity_events": _on(lambda a: a.affinity_events()),
+        "utility": _on(lambda a: a.utility()),
+        "utility_pagerank": _on(lambda a: _rounded(a.utility(measure="pagerank"), "centrality")),
+        "select_users": _on(lambda a: a.select_users(AD, 20)),
+        "select_users_pagerank": _on(lambda a: _rounded(a.select_users(AD, 20, "pagerank"), "centrality")),
+        "select_users_all_ads": _on(lambda a: a.select_users_all_ads(5)),
+        "neighbour_affinity": _on(lambda a: a.neighbour_affinity(AD)),
+        "ad_summary": _on(lambda a: a.ad_summary()),
+        "select_non_adjacent": _on(lambda a: a.select_non_adjacent(AD)),
+        "audience_reach": _on(lambda a: a.audience_reach(AD, 20)),
     }
 
 

@@ -9,7 +9,7 @@ from admesh.functions.columns import ratio
 def spend_affinity(purchases: DataFrame, items: DataFrame, ad: str) -> DataFrame:
     """Share of each buyer's spend that went to one ad's items: ``id, affinity, bought``.
 
-    ``bought`` counts the (item, month) purchases of the ad's items.
+    ``bought`` counts the purchases of the ad's items.
     """
     advertised = items.filter(F.col("ad") == ad).select("item_id", F.lit(True).alias("advertised"))
     return (

@@ -4,13 +4,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from admesh.functions.columns import ratio
+from admesh.storage import RunFolder
 
 # A prime, so ids that share a factor or a power of ten still spread.
 SLOTS = 4093
 PAGE = 4096
+POPULAR = 1_000_000
 
 
-def edges(purchases: DataFrame) -> DataFrame:
+def interactions(purchases: DataFrame) -> DataFrame:
+    """The distinct ``user_id, item_id, month`` of all purchases."""
+    return purchases.select("user_id", "item_id", F.trunc("day", "month").alias("month")).distinct()
+
+
+def edges(purchases: DataFrame, run: RunFolder, popular: int = POPULAR) -> DataFrame:
     """Undirected edges between consecutive buyers of an item in a month.
 
     The buyers of an item in a month are ordered by first day, then ``id mod
@@ -18,33 +25,56 @@ def edges(purchases: DataFrame) -> DataFrame:
     month) pairs in which two users are linked. The edge count stays below the
     row count of ``purchases`` however popular an item is.
 
-    A popular item's buyers never meet in one task. They are ordered within
-    (item, day, slot) first; only the ends of these runs, at most 2 * 31 *
-    SLOTS per item and month, are then ordered across slots and days.
+    An item with at most ``popular`` purchases is small enough to place each of
+    its months whole, so one shuffle serves both the grouping and the window. A
+    popular item's repeated purchases are folded on the map side and its buyers
+    ordered within (item, day, slot); only the ends of these runs, at most
+    2 * 31 * SLOTS per item and month, are then ordered across slots and days.
     """
-    day_slot = Window.partitionBy("item_id", "day", "slot").orderBy("user_id")
-    month_order = Window.partitionBy("item_id", "month").orderBy("day", "slot", "user_id")
-
-    steps = (
-        purchases
-        .select("item_id", "month", "day", "user_id", F.pmod("user_id", F.lit(SLOTS)).alias("slot"))
-        .withColumn("before", F.lag("user_id").over(day_slot))
-        .withColumn("after", F.lead("user_id").over(day_slot))
+    by_month = Window.partitionBy("item_id", "month").orderBy("day", "slot", "user_id")
+    by_slot = Window.partitionBy("item_id", "day", "slot").orderBy("user_id")
+    buyer_before = F.lag("user_id")
+
+    # Written, so that the joins below are planned on its real size.
+    popular_items = run.write(
+        purchases.groupBy("item_id").count().filter(F.col("count") > popular).select("item_id"), "popular_items")
+    bought = purchases.select("item_id", F.trunc("day", "month").alias("month"), "day", "user_id")
+
+    ordinary = (
+        _buyers(bought.join(popular_items, "item_id", "left_anti").repartition("item_id", "month"))
+        .withColumn("before", buyer_before.over(by_month))
+    )
+    runs = (
+        _buyers(bought.join(popular_items, "item_id", "left_semi"))
+        .withColumn("before", buyer_before.over(by_slot))
+        .withColumn("after", F.lead("user_id").over(by_slot))
     )
-    inside = steps.filter(F.col("before").isNotNull()).select("before", "user_id")
-    across = (
-        steps.filter(F.col("before").isNull() | F.col("after").isNull())
-        .withColumn("previous", F.lag("user_id").over(month_order))
-        .filter(F.col("before").isNull() & F.col("previous").isNotNull())
-        .select(F.col("previous").alias("before"), "user_id")
+    run_starts = (
+        runs.filter(F.col("before").isNull() | F.col("after").isNull())
+        .withColumn("previous", buyer_before.over(by_month))
+        .filter(F.col("before").isNull())
+        .withColumn("before", F.col("previous"))
+    )
+    steps = (
+        ordinary.select("before", "user_id")
+        .unionByName(runs.select("before", "user_id"))
+        .unionByName(run_starts.select("before", "user_id"))
+        .filter(F.col("before").isNotNull())
     )
     return (
-        inside.unionByName(across)
-        .groupBy(F.least("before", "user_id").alias("src"), F.greatest("before", "user_id").alias("dst"))
+        steps.groupBy(F.least("before", "user_id").alias("src"), F.greatest("before", "user_id").alias("dst"))
         .agg(F.count(F.lit(1)).alias("weight"))
     )
 
 
+def _buyers(bought: DataFrame) -> DataFrame:
+    """Each buyer of an item in a month once, with the first day and a slot."""
+    return (
+        bought.groupBy("item_id", "month", "user_id").agg(F.min("day").alias("day"))
+        .withColumn("slot", F.pmod("user_id", F.lit(SLOTS)))
+    )
+
+
 def symmetric(edges: DataFrame) -> DataFrame:
     """Both directions of every edge, in one pass over the edges."""
     both = F.array(F.struct("src", "dst", "weight"),
@@ -60,18 +90,22 @@ def degrees(edges: DataFrame) -> DataFrame:
     )
 
 
-def neighbours(edges: DataFrame, page_size: int = PAGE) -> DataFrame:
+def neighbours(edges: DataFrame, run: RunFolder, page_size: int = PAGE) -> DataFrame:
     """Sorted neighbour lists: ``id, page, neighbours``.
 
     A user with at most ``page_size`` neighbours has one row, page 0. A larger
     list is split by neighbour id, so that no row holds more than ``page_size``
     ids and no task has to gather a whole hub.
     """
-    hubs = degrees(edges).filter(F.col("degree") > page_size).select(F.col("id").alias("hub"))
+    hubs = run.write(
+        degrees(edges).filter(F.col("degree") > page_size).select(F.col("id").alias("hub")), "hubs")
     page = F.when(F.col("hub").isNotNull(), F.floor(F.col("dst") / page_size)).otherwise(F.lit(0).cast("bigint"))
     return (
         symmetric(edges).join(hubs, F.col("src") == F.col("hub"), "left")
-        .groupBy(F.col("src").alias("id"), page.alias("page"))
+        .select(F.col("src").alias("id"), page.alias("page"), "dst")
+        # The join need not keep a hub together, so it may split a skewed one.
+        .repartition("id", "page")
+        .groupBy("id", "page")
         .agg(F.sort_array(F.collect_list("dst")).alias("neighbours"))
     )
 

@@ -11,7 +11,7 @@ from admesh.storage import RunFolder
 HUB = 100_000
 
 
-def pagerank(users: DataFrame, edges: DataFrame, rounds: int = 10, damping: float = 0.85,
+def pagerank(users: DataFrame, edges: DataFrame, run: RunFolder, rounds: int = 10, damping: float = 0.85,
              rounds_per_write: int = 5, hub: int = HUB) -> DataFrame:
     """``id, pagerank`` of every user after a fixed number of rounds.
 
@@ -22,17 +22,15 @@ def pagerank(users: DataFrame, edges: DataFrame, rounds: int = 10, damping: floa
     partitions and its rank is copied to each. Ranks are written out every
     ``rounds_per_write`` rounds, which bounds both plan and lineage.
     """
-    spark = edges.sparkSession
-    run = RunFolder(spark)
-    edges = run.write(edges, "edges")
-    ranks = degrees(edges).withColumn("pagerank", F.lit(1.0))
-    links = _partitioned_links(edges, ranks, hub).persist(StorageLevel.MEMORY_AND_DISK)
+    ranks = run.write(degrees(edges).withColumn("pagerank", F.lit(1.0)), "ranks")
+    hubs = run.write(
+        ranks.filter(F.col("degree") > hub).select("id", _salts(F.col("degree"), hub).alias("salts")), "hubs")
+    links = _partitioned_links(edges, hubs).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for done in range(1, rounds + 1):
             ranks = _round(links, ranks, damping, hub)
             if done % rounds_per_write == 0 or done == rounds:
-                # Two tables in turn: the one being read is never the one replaced.
-                ranks = run.write(ranks, f"ranks-{done // rounds_per_write % 2}-{done == rounds}")
+                ranks = run.write(ranks, "ranks")
     finally:
         links.unpersist()
     alone = 1.0 if rounds == 0 else 1.0 - damping
@@ -46,9 +44,8 @@ def _salts(degree, hub: int):
     return F.ceil(degree / hub).cast("int")
 
 
-def _partitioned_links(edges: DataFrame, ranks: DataFrame, hub: int) -> DataFrame:
+def _partitioned_links(edges: DataFrame, hubs: DataFrame) -> DataFrame:
     """``src, salt, dst`` in both directions, placed and sorted by source and salt."""
-    hubs = ranks.filter(F.col("degree") > hub).select("id", _salts(F.col("degree"), hub).alias("salts"))
     salt = F.coalesce(F.pmod(F.col("dst"), F.col("salts")), F.lit(0)).cast("int")
     partitions = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (

@@ -1,105 +1,109 @@
-"""The library's queries: each takes a session and a folder of tables."""
+"""Audience selection over one folder of tables."""
+
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from admesh.operators import affinity, graph, select, vertex
-from admesh.operators.pagerank import pagerank as rank_users
+from admesh.operators.pagerank import pagerank
 from admesh.sources import facts
+from admesh.storage import RunFolder
 
-AD = "Brand#2"
-
-
-def interactions(spark: SparkSession, folder: str) -> DataFrame:
-    return facts.purchases(spark, folder).select("user_id", "item_id", "month")
-
-
-def edges(spark: SparkSession, folder: str) -> DataFrame:
-    return graph.edges(facts.purchases(spark, folder))
-
-
-def edges_symmetric(spark: SparkSession, folder: str) -> DataFrame:
-    return graph.symmetric(edges(spark, folder))
-
-
-def neighbours(spark: SparkSession, folder: str, page_size: int = graph.PAGE) -> DataFrame:
-    return graph.neighbours(edges(spark, folder), page_size)
-
-
-def degree_centrality(spark: SparkSession, folder: str) -> DataFrame:
-    return graph.degree_centrality(facts.users(spark, folder), edges(spark, folder))
-
-
-def pagerank(spark: SparkSession, folder: str, rounds: int = 10) -> DataFrame:
-    return rank_users(facts.users(spark, folder), edges(spark, folder), rounds)
 
+class Audience:
+    """Queries over the tables of ``folder``.
 
-def centrality(spark: SparkSession, folder: str, measure: str = "degree") -> DataFrame:
-    """``id, centrality`` by ``degree`` or ``pagerank``."""
-    if measure == "pagerank":
-        return pagerank(spark, folder).withColumnRenamed("pagerank", "centrality")
-    return degree_centrality(spark, folder).select("id", "centrality")
+    Purchases and edges feed several branches of most queries, so they are
+    written once to the run's folder and scanned from there.
+    """
 
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder
+        self.run = RunFolder(spark)
 
-def affinity_spend(spark: SparkSession, folder: str, ad: str = AD) -> DataFrame:
-    """Spend affinity of every user, NULL without purchases."""
-    known = affinity.spend_affinity(facts.purchases(spark, folder), facts.items(spark, folder), ad)
-    return facts.users(spark, folder).join(known.select("id", "affinity"), "id", "left")
+    @cached_property
+    def users(self) -> DataFrame:
+        return facts.users(self.spark, self.folder)
 
+    @cached_property
+    def items(self) -> DataFrame:
+        return facts.items(self.spark, self.folder)
 
-def affinity_events(spark: SparkSession, folder: str) -> DataFrame:
-    return affinity.event_affinity(facts.exposures(spark, folder))
+    @cached_property
+    def exposures(self) -> DataFrame:
+        return facts.exposures(self.spark, self.folder)
 
+    @cached_property
+    def purchases(self) -> DataFrame:
+        return self.run.write(facts.purchases(self.spark, self.folder), "purchases")
 
-def utility(spark: SparkSession, folder: str, measure: str = "degree") -> DataFrame:
-    """Score of every (ad, user) pair with a purchase of the ad's items."""
-    scores = affinity.spend_affinity_all_ads(facts.purchases(spark, folder), facts.items(spark, folder))
-    return select.utility(scores, centrality(spark, folder, measure))
+    @cached_property
+    def edges(self) -> DataFrame:
+        return self.run.write(graph.edges(self.purchases, self.run), "edges")
 
+    @cached_property
+    def links(self) -> DataFrame:
+        return graph.symmetric(self.edges)
 
-def candidates(spark: SparkSession, folder: str, ad: str = AD, measure: str = "degree") -> DataFrame:
-    """Scores of the users who bought one ad's items."""
-    scores = affinity.spend_affinity(facts.purchases(spark, folder), facts.items(spark, folder), ad)
-    buyers = scores.filter(F.col("bought") > 0).drop("bought")
-    return select.utility(buyers, centrality(spark, folder, measure))
+    def interactions(self) -> DataFrame:
+        return graph.interactions(facts.purchases(self.spark, self.folder))
 
+    def neighbours(self, page_size: int = graph.PAGE) -> DataFrame:
+        return graph.neighbours(self.edges, self.run, page_size)
 
-def select_users(spark: SparkSession, folder: str, ad: str = AD, k: int = 20,
-                 measure: str = "degree") -> DataFrame:
-    """The k users to show one ad to."""
-    return select.top_users(candidates(spark, folder, ad, measure), k)
+    def degree_centrality(self) -> DataFrame:
+        return graph.degree_centrality(self.users, self.edges)
 
+    def pagerank(self, rounds: int = 10) -> DataFrame:
+        return pagerank(self.users, self.edges, self.run, rounds)
 
-def select_users_all_ads(spark: SparkSession, folder: str, k: int = 5) -> DataFrame:
-    """The k users to show each ad to."""
-    return select.top_users_per_ad(utility(spark, folder), k)
+    def centrality(self, measure: str = "degree") -> DataFrame:
+        """``id, centrality`` by ``degree`` or ``pagerank``."""
+        if measure == "pagerank":
+            return self.pagerank().withColumnRenamed("pagerank", "centrality")
+        return self.degree_centrality().select("id", "centrality")
 
+    def affinity_spend(self, ad: str) -> DataFrame:
+        """Spend affinity of every user, NULL without purchases."""
+        known = affinity.spend_affinity(self.purchases, self.items, ad)
+        return self.users.join(known.select("id", "affinity"), "id", "left")
 
-def select_non_adjacent(spark: SparkSession, folder: str, ad: str = AD) -> DataFrame:
-    return select.non_adjacent(candidates(spark, folder, ad), edges_symmetric(spark, folder))
+    def affinity_events(self) -> DataFrame:
+        return affinity.event_affinity(self.exposures)
 
+    def utility(self, measure: str = "degree") -> DataFrame:
+        """Score of every (ad, user) pair with a purchase of the ad's items."""
+        return select.utility(affinity.spend_affinity_all_ads(self.purchases, self.items), self.centrality(measure))
 
-def audience_reach(spark: SparkSession, folder: str, ad: str = AD, k: int = 20) -> DataFrame:
-    return select.reach(select_users(spark, folder, ad, k), edges_symmetric(spark, folder))
+    def candidates(self, ad: str, measure: str = "degree") -> DataFrame:
+        """Scores of the users who bought one ad's items."""
+        scores = affinity.spend_affinity(self.purchases, self.items, ad)
+        return select.utility(scores.filter(F.col("bought") > 0).drop("bought"), self.centrality(measure))
 
+    def select_users(self, ad: str, k: int = 20, measure: str = "degree") -> DataFrame:
+        """The k users to show one ad to."""
+        return select.top_users(self.candidates(ad, measure), k)
 
-def neighbour_affinity(spark: SparkSession, folder: str, ad: str = AD) -> DataFrame:
-    return affinity.neighbour_affinity(edges_symmetric(spark, folder), affinity_spend(spark, folder, ad))
+    def select_users_all_ads(self, k: int = 5) -> DataFrame:
+        """The k users to show each ad to."""
+        return select.top_users_per_ad(self.utility(), k)
 
+    def select_non_adjacent(self, ad: str) -> DataFrame:
+        return select.non_adjacent(self.candidates(ad), self.links)
 
-def ad_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return select.ad_summary(utility(spark, folder))
+    def audience_reach(self, ad: str, k: int = 20) -> DataFrame:
+        return select.reach(self.select_users(ad, k), self.links)
 
+    def neighbour_affinity(self, ad: str) -> DataFrame:
+        return affinity.neighbour_affinity(self.links, self.affinity_spend(ad))
 
-def vertex_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return vertex.unscored(facts.users(spark, folder))
+    def ad_summary(self) -> DataFrame:
+        return select.ad_summary(self.utility())
 
+    def vertex_ids(self) -> DataFrame:
+        return vertex.unscored(self.users)
 
-def vertex_table(spark: SparkSession, folder: str, ad: str = AD) -> DataFrame:
-    graph_edges = edges(spark, folder)
-    people = facts.users(spark, folder)
-    return vertex.scored(
-        people,
-        affinity_spend(spark, folder, ad),
-        graph.degree_centrality(people, graph_edges),
-        graph.neighbours(graph_edges))
+    def vertex_table(self, ad: str) -> DataFrame:
+        return vertex.scored(self.users, self.affinity_spend(ad), self.degree_centrality(), self.neighbours())

@@ -19,11 +19,7 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def purchases(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per user, item and month: first day bought and money spent.
-
-    Grouping straight after the join folds repeated purchases on the map side,
-    so everything downstream sees each (user, item, month) once.
-    """
+    """One row per order line: ``user_id, item_id, day, units`` (money spent)."""
     lines = (
         table(spark, folder, "lineitem")
         .filter(F.col("l_partkey").isNotNull())
@@ -38,8 +34,7 @@ def purchases(spark: SparkSession, folder: str) -> DataFrame:
     )
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy("user_id", "item_id", F.trunc("day", "month").alias("month"))
-        .agg(F.min("day").alias("day"), F.sum("units").alias("units"))
+        .select("user_id", "item_id", "day", "units")
     )
 
 

@@ -4,6 +4,7 @@ Reading a written table back cuts the lineage and keeps column pruning and
 size statistics. A lost executor then costs only the work since the last write.
 """
 
+import itertools
 import tempfile
 import uuid
 
@@ -31,9 +32,10 @@ class RunFolder:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{shared_folder(spark)}/admesh-{uuid.uuid4().hex}"
+        self._numbers = itertools.count()
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` as table ``name`` of this run and return a scan of it."""
-        path = f"{self.path}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        """Write ``df`` as a new table of this run and return a scan of it."""
+        path = f"{self.path}/{name}-{next(self._numbers)}"
+        df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
