@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from admesh.functions.columns import id_list
-from admesh.operators import vertex
+from admesh.operators import graph, vertex
 from admesh.operators.affinity import event_affinity
 from admesh.plans.audience import Audience
 from admesh.sources.tables import table
@@ -32,13 +32,17 @@ def _as_text(vertices: DataFrame) -> DataFrame:
     return vertices.withColumn("neighbours", id_list(F.col("neighbours")))
 
 
-def _read(attribute: str) -> Query:
-    return _on(lambda a: vertex.read(a.vertex_table(AD), attribute))
+def _replaced(audience: Audience, attribute: str, updates: DataFrame) -> DataFrame:
+    """Set one attribute on vertices that are known by id only."""
+    return vertex.replace(audience.vertex_ids(), updates, attribute)
 
 
 def _replace(attribute: str, updates: Callable[[Audience], DataFrame]) -> Query:
-    """Set one attribute on vertices that are known by id only."""
-    return _on(lambda a: _as_text(vertex.replace(a.vertex_ids(), updates(a), attribute)))
+    return _on(lambda a: _as_text(_replaced(a, attribute, updates(a))))
+
+
+def _read(attribute: str, updates: Callable[[Audience], DataFrame]) -> Query:
+    return _on(lambda a: vertex.read(_replaced(a, attribute, updates(a)), attribute))
 
 
 def _replace_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,7 +57,7 @@ def _replace_id(spark: SparkSession, folder: str) -> DataFrame:
 
 def _vertex_update(audience: Audience) -> DataFrame:
     """Spend affinity, overwritten by the event affinity to ad 7 where there were events."""
-    vertices = vertex.replace(audience.vertex_ids(), audience.affinity_spend(AD), "affinity")
+    vertices = _replaced(audience, "affinity", audience.affinity_spend(AD))
     events = event_affinity(audience.exposures.filter(F.col("ad") == 7))
     return vertex.read(vertex.replace(vertices, events, "affinity"), "affinity")
 
@@ -68,11 +72,11 @@ def queries() -> dict[str, Query]:
         "vertex_ids": _on(lambda a: _as_text(a.vertex_ids())),
         "vertex_table": _on(lambda a: _as_text(a.vertex_table(AD))),
         "vertex_update": _on(_vertex_update),
-        "read_id": _read("id"),
-        "read_affinity": _read("affinity"),
-        "read_centrality": _read("centrality"),
-        "read_utility": _read("utility"),
-        "read_neighbours": _read("neighbours"),
+        "read_id": _on(lambda a: vertex.read(a.vertex_ids(), "id")),
+        "read_affinity": _read("affinity", lambda a: a.affinity_spend(AD)),
+        "read_centrality": _read("centrality", lambda a: a.centrality()),
+        "read_utility": _on(lambda a: vertex.read(a.vertex_table(AD), "utility")),
+        "read_neighbours": _read("neighbours", lambda a: a.neighbours()),
         "replace_id": _replace_id,
         "replace_affinity": _replace("affinity", lambda a: a.affinity_spend(AD)),
         "replace_centrality": _replace("centrality", lambda a: a.centrality()),
@@ -80,7 +84,7 @@ def queries() -> dict[str, Query]:
         "replace_neighbours": _replace("neighbours", lambda a: a.neighbours()),
         "interactions": _on(lambda a: a.interactions()),
         "edges": _on(lambda a: a.edges),
-        "edges_symmetric": _on(lambda a: a.links),
+        "edges_symmetric": _on(lambda a: graph.symmetric(a.edges)),
         "neighbours": _on(lambda a: _as_text(a.neighbours())),
         "degree_centrality": _on(lambda a: a.degree_centrality()),
         "pagerank": _on(lambda a: _rounded(a.pagerank(), "pagerank")),
@@ -214,9 +218,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT u.id, CASE WHEN e.id IS NOT NULL THEN e.affinity ELSE a.affinity END AS affinity
             FROM users u JOIN affinity a ON a.id = u.id
             LEFT JOIN affinity_by_events e ON e.id = u.id AND e.ad = 7"""),
-        "read_id": _sql("SELECT DISTINCT id FROM vertices", _VERTICES),
-        "read_affinity": _sql("SELECT DISTINCT id, affinity FROM vertices", _VERTICES),
-        "read_centrality": _sql("SELECT DISTINCT id, centrality FROM vertices", _VERTICES),
+        "read_id": _sql("SELECT id FROM users"),
+        "read_affinity": _sql("SELECT id, affinity FROM affinity"),
+        "read_centrality": _sql("SELECT id, centrality FROM degree_centrality"),
         "read_utility": _sql("SELECT DISTINCT id, utility FROM vertices", _VERTICES),
         "read_neighbours": _sql("SELECT src AS id, dst AS neighbour FROM links"),
         "replace_id": _sql(_unscored(

@@ -77,9 +77,9 @@ def _buyers(bought: DataFrame) -> DataFrame:
 
 def symmetric(edges: DataFrame) -> DataFrame:
     """Both directions of every edge, in one pass over the edges."""
-    both = F.array(F.struct("src", "dst", "weight"),
-                   F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
-    return edges.select(F.inline(both))
+    more = [c for c in edges.columns if c not in ("src", "dst")]
+    back = F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"), *more)
+    return edges.select(F.inline(F.array(F.struct("src", "dst", *more), back)))
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -99,10 +99,10 @@ def neighbours(edges: DataFrame, run: RunFolder, page_size: int = PAGE) -> DataF
     """
     hubs = run.write(
         degrees(edges).filter(F.col("degree") > page_size).select(F.col("id").alias("hub")), "hubs")
-    page = F.when(F.col("hub").isNotNull(), F.floor(F.col("dst") / page_size)).otherwise(F.lit(0).cast("bigint"))
+    page = F.when(F.col("hub").isNotNull(), F.expr(f"(dst - pmod(dst, {page_size})) div {page_size}"))
     return (
-        symmetric(edges).join(hubs, F.col("src") == F.col("hub"), "left")
-        .select(F.col("src").alias("id"), page.alias("page"), "dst")
+        symmetric(edges.select("src", "dst")).join(hubs, F.col("src") == F.col("hub"), "left")
+        .select(F.col("src").alias("id"), page.otherwise(F.lit(0).cast("bigint")).alias("page"), "dst")
         # The join need not keep a hub together, so it may split a skewed one.
         .repartition("id", "page")
         .groupBy("id", "page")

@@ -49,7 +49,7 @@ def _partitioned_links(edges: DataFrame, hubs: DataFrame) -> DataFrame:
     salt = F.coalesce(F.pmod(F.col("dst"), F.col("salts")), F.lit(0)).cast("int")
     partitions = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        symmetric(edges).join(hubs, F.col("src") == F.col("id"), "left")
+        symmetric(edges.select("src", "dst")).join(hubs, F.col("src") == F.col("id"), "left")
         .select("src", salt.alias("salt"), "dst")
         .repartition(partitions, "src", "salt")
         .sortWithinPartitions("src", "salt")

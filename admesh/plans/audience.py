@@ -45,7 +45,8 @@ class Audience:
 
     @cached_property
     def links(self) -> DataFrame:
-        return graph.symmetric(self.edges)
+        """Both directions of every edge, without weights."""
+        return graph.symmetric(self.edges.select("src", "dst"))
 
     def interactions(self) -> DataFrame:
         return graph.interactions(facts.purchases(self.spark, self.folder))
@@ -94,7 +95,9 @@ class Audience:
         return select.non_adjacent(self.candidates(ad), self.links)
 
     def audience_reach(self, ad: str, k: int = 20) -> DataFrame:
-        return select.reach(self.select_users(ad, k), self.links)
+        # Written: k rows that are joined twice.
+        picks = self.run.write(self.select_users(ad, k), "picks")
+        return select.reach(picks, self.links)
 
     def neighbour_affinity(self, ad: str) -> DataFrame:
         return affinity.neighbour_affinity(self.links, self.affinity_spend(ad))

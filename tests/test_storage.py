@@ -1,0 +1,29 @@
+from types import SimpleNamespace
+
+import pytest
+
+from admesh import storage
+
+
+def session(master, folder=None):
+    conf = SimpleNamespace(get=lambda key, default: folder or default)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
+def test_the_cluster_names_the_folder():
+    assert storage.shared_folder(session("yarn", "hdfs:///shared/tmp/")) == "hdfs:///shared/tmp"
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.shared_folder(session("yarn"))
+
+
+def test_local_mode_falls_back_to_a_temporary_folder():
+    assert storage.shared_folder(session("local[2]")) == storage.shared_folder(session("local[2]"))
+
+
+def test_written_tables_do_not_replace_each_other(spark, run):
+    first = run.write(spark.range(3), "numbers")
+    second = run.write(spark.range(5), "numbers")
+    assert (first.count(), second.count()) == (3, 5)
