@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 from admesh.functions.columns import ratio
 
 
-def spend_affinity(purchases: DataFrame, items: DataFrame, ad: str) -> DataFrame:
+def spend_affinity(purchases: DataFrame, items_of_ad: DataFrame) -> DataFrame:
     """Share of each buyer's spend that went to one ad's items: ``id, affinity, bought``.
 
     ``bought`` counts the purchases of the ad's items.
     """
-    advertised = items.filter(F.col("ad") == ad).select("item_id", F.lit(True).alias("advertised"))
+    advertised = items_of_ad.select("item_id", F.lit(True).alias("advertised"))
     return (
         purchases.join(advertised, "item_id", "left")
         .groupBy(F.col("user_id").alias("id"))

@@ -7,7 +7,7 @@ from admesh.functions.columns import utility_score
 
 # Spark trims a rank filter before the shuffle up to this many rows per group.
 TRIMMED_BEFORE_SHUFFLE = 1000
-SALTS = 64
+SALTS = 512
 
 
 def utility(affinity: DataFrame, centrality: DataFrame) -> DataFrame:
@@ -45,13 +45,15 @@ def non_adjacent(scores: DataFrame, links: DataFrame) -> DataFrame:
     A user is compared with the best neighbour only, which a map-side maximum
     finds without ever listing a hub's neighbours.
     """
-    # Ordered like the selection: higher utility, then lower id.
-    rivals = scores.select(F.col("id").alias("dst"),
-                           F.struct("utility", (-F.col("id")).alias("later")).alias("rival"))
-    best = links.join(rivals, "dst").groupBy(F.col("src").alias("beaten")).agg(F.max("rival").alias("rival"))
-    ahead = F.struct("utility", (-F.col("id")).alias("later"))
-    return scores.join(best.withColumnRenamed("beaten", "id"), "id", "left").filter(
-        F.col("rival").isNull() | (ahead > F.col("rival"))).drop("rival")
+    # Compares like the selection: higher utility, then lower id.
+    standing = F.struct("utility", (-F.col("id")).alias("minus_id"))
+    rivals = scores.select(F.col("id").alias("dst"), standing.alias("rival"))
+    best = links.join(rivals, "dst").groupBy(F.col("src").alias("id")).agg(F.max("rival").alias("rival"))
+    return (
+        scores.join(best, "id", "left")
+        .filter(F.col("rival").isNull() | (standing > F.col("rival")))
+        .drop("rival")
+    )
 
 
 def reach(picks: DataFrame, links: DataFrame) -> DataFrame:

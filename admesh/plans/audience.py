@@ -15,7 +15,9 @@ class Audience:
     """Queries over the tables of ``folder``.
 
     Purchases and edges feed several branches of most queries, so they are
-    written once to the run's folder and scanned from there.
+    written once to the run's folder and scanned from there, also by later
+    queries of the same object. ``close`` deletes them once the results are
+    stored elsewhere.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -23,6 +25,9 @@ class Audience:
         self.folder = folder
         self.run = RunFolder(spark)
 
+    def close(self) -> None:
+        self.run.remove()
+
     @cached_property
     def users(self) -> DataFrame:
         return facts.users(self.spark, self.folder)
@@ -66,9 +71,14 @@ class Audience:
             return self.pagerank().withColumnRenamed("pagerank", "centrality")
         return self.degree_centrality().select("id", "centrality")
 
+    def _spend_affinity(self, ad: str) -> DataFrame:
+        # Written, so that the join with all purchases is planned on its real size.
+        items_of_ad = self.run.write(self.items.filter(F.col("ad") == ad).select("item_id"), "items_of_ad")
+        return affinity.spend_affinity(self.purchases, items_of_ad)
+
     def affinity_spend(self, ad: str) -> DataFrame:
         """Spend affinity of every user, NULL without purchases."""
-        known = affinity.spend_affinity(self.purchases, self.items, ad)
+        known = self._spend_affinity(ad)
         return self.users.join(known.select("id", "affinity"), "id", "left")
 
     def affinity_events(self) -> DataFrame:
@@ -80,8 +90,8 @@ class Audience:
 
     def candidates(self, ad: str, measure: str = "degree") -> DataFrame:
         """Scores of the users who bought one ad's items."""
-        scores = affinity.spend_affinity(self.purchases, self.items, ad)
-        return select.utility(scores.filter(F.col("bought") > 0).drop("bought"), self.centrality(measure))
+        buyers = self._spend_affinity(ad).filter(F.col("bought") > 0).drop("bought")
+        return select.utility(buyers, self.centrality(measure))
 
     def select_users(self, ad: str, k: int = 20, measure: str = "degree") -> DataFrame:
         """The k users to show one ad to."""

