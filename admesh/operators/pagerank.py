@@ -1,5 +1,7 @@
 """PageRank over the user graph."""
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from admesh.storage import RunFolder
 
 # A user's links are spread over one task per this many.
 HUB = 100_000
+LINKS_PER_PARTITION = 4_000_000
 
 
 def pagerank(users: DataFrame, edges: DataFrame, run: RunFolder, rounds: int = 10, damping: float = 0.85,
@@ -47,7 +50,8 @@ def _salts(degree, hub: int):
 def _partitioned_links(edges: DataFrame, hubs: DataFrame) -> DataFrame:
     """``src, salt, dst`` in both directions, placed and sorted by source and salt."""
     salt = F.coalesce(F.pmod(F.col("dst"), F.col("salts")), F.lit(0)).cast("int")
-    partitions = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cores = edges.sparkSession.sparkContext.defaultParallelism
+    partitions = max(cores, math.ceil(2 * edges.count() / LINKS_PER_PARTITION))
     return (
         symmetric(edges.select("src", "dst")).join(hubs, F.col("src") == F.col("id"), "left")
         .select("src", salt.alias("salt"), "dst")
