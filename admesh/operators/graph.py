@@ -45,12 +45,14 @@ def edges(purchases: DataFrame, run: RunFolder, popular: int = POPULAR) -> DataF
         .withColumn("before", buyer_before.over(by_month))
     )
     runs = (
-        _buyers(bought.join(popular_items, "item_id", "left_semi"))
+        # Without the month, which the day gives back, so both uses share one shuffle.
+        _buyers(bought.join(popular_items, "item_id", "left_semi")).drop("month")
         .withColumn("before", buyer_before.over(by_slot))
         .withColumn("after", F.lead("user_id").over(by_slot))
     )
     run_starts = (
         runs.filter(F.col("before").isNull() | F.col("after").isNull())
+        .withColumn("month", F.trunc("day", "month"))
         .withColumn("previous", buyer_before.over(by_month))
         .filter(F.col("before").isNull())
         .withColumn("before", F.col("previous"))
