@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,7 +68,21 @@ def _rounded(scores: DataFrame, column: str) -> DataFrame:
     return scores.withColumn(column, F.round(column, 6))
 
 
+def _text_operators():
+    """The training-data operators' queries, or None where that subpackage is not installed."""
+    if importlib.util.find_spec("admesh.llm") is None or importlib.util.find_spec("corpus_pipeline") is None:
+        return None
+    from admesh.llm import registry
+
+    return registry
+
+
 def queries() -> dict[str, Query]:
+    text = _text_operators()
+    return _audience_queries() | (text.queries() if text else {})
+
+
+def _audience_queries() -> dict[str, Query]:
     return {
         "vertex_ids": _on(lambda a: _as_text(a.vertex_ids())),
         "vertex_table": _on(lambda a: _as_text(a.vertex_table(AD))),
@@ -211,6 +226,11 @@ def _unscored(page="CAST(0 AS BIGINT)", affinity="CAST(NULL AS DOUBLE)", central
 
 
 def oracle_sql() -> dict[str, str]:
+    text = _text_operators()
+    return _audience_oracles() | (text.oracle_sql() if text else {})
+
+
+def _audience_oracles() -> dict[str, str]:
     return {
         "vertex_ids": _sql(_unscored()),
         "vertex_table": _sql("SELECT * FROM vertices", _VERTICES),
