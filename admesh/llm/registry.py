@@ -1,13 +1,16 @@
 """The queries of this subpackage and their DuckDB twins, by registered name."""
 
-from admesh.llm import chat
+from admesh.llm import chat, hosts
 
 
 def queries() -> dict:
     return {
+        "op5_host_reputation": hosts.op5_host_reputation,
         "op10_chat_windows": chat.op10_chat_windows,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op5_host_reputation": hosts.ORACLE,
+    }
