@@ -71,16 +71,14 @@ def is_bad(html: Column, marks=MARKS, share: float = MARK_SHARE) -> Column:
     return F.coalesce(bad & (F.length(html) > 0), F.lit(False))
 
 
-def _shrunk(children: DataFrame, key: str, parents: DataFrame, parent: str) -> DataFrame:
-    """Children with the posterior ``rate`` and the prior's ``strength``, given their parents' ``rate``.
+def _shrunk(both: DataFrame) -> DataFrame:
+    """Counts ``n, k`` with the parent's rate ``p`` get the posterior ``rate`` and the prior's ``strength``.
 
     With intraclass correlation rho, the expected sum of ``n * (k / n - p)**2``
     over children is the sum of ``p * (1 - p) * (1 + (n - 1) * rho)``; rho solves
     that and the prior weighs ``1 / rho - 1`` pages. Sums are decimal, so they
     do not depend on the order of rows.
     """
-    both = children.join(parents.select(parent, F.col("rate").alias("p")), parent)
-
     def total(value: Column) -> Column:
         return F.sum(F.round(value, 9).cast("decimal(38,9)")).cast("double")
     spread = total(F.col("n") * F.pow(F.col("k") / F.col("n") - F.col("p"), 2) - F.col("p") * (1 - F.col("p")))
@@ -107,11 +105,12 @@ def reputation(outcomes: DataFrame, run: RunFolder, limit: float = LIMIT, z: flo
     def level(*keys):
         return hosts.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     overall = hosts.agg(F.sum("k") / F.sum("n")).scalar()
-    suffixes = level("suffix").withColumn("root", F.lit(1))
-    root = hosts.sparkSession.range(1).select(F.lit(1).alias("root"), overall.alias("rate"))
-    suffixes = _shrunk(suffixes, "suffix", root, "root")
-    domains = _shrunk(level("domain", "suffix"), "domain", suffixes, "suffix")
-    known = _shrunk(hosts.drop("suffix"), "host", domains, "domain")
+
+    def under(children, parents, parent):
+        return children.join(parents.select(parent, F.col("rate").alias("p")), parent)
+    suffixes = _shrunk(level("suffix").withColumn("p", overall))
+    domains = _shrunk(under(level("domain", "suffix"), suffixes, "suffix"))
+    known = _shrunk(under(hosts, domains, "domain"))
     deviation = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n") + F.col("strength") + 1))
     return (
         known.withColumn("bound", F.col("rate") - z * deviation)

@@ -1,10 +1,11 @@
 """The queries of this subpackage and their DuckDB twins, by registered name."""
 
-from admesh.llm import chat, hosts
+from admesh.llm import chat, hosts, pieces
 
 
 def queries() -> dict:
     return {
+        "op2_sentencepiece": pieces.op2_sentencepiece,
         "op5_host_reputation": hosts.op5_host_reputation,
         "op10_chat_windows": chat.op10_chat_windows,
     }
