@@ -1,12 +1,13 @@
 """The queries of this subpackage and their DuckDB twins, by registered name."""
 
-from admesh.llm import chat, hosts, pieces, quality
+from admesh.llm import chat, hosts, hyperminhash, pieces, quality
 
 
 def queries() -> dict:
     return {
         "op2_sentencepiece": pieces.op2_sentencepiece,
         "op5_host_reputation": hosts.op5_host_reputation,
+        "op6_hyperminhash": hyperminhash.op6_hyperminhash,
         "op7_quality": quality.op7_quality,
         "op10_chat_windows": chat.op10_chat_windows,
     }
