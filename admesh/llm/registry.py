@@ -1,11 +1,12 @@
 """The queries of this subpackage and their DuckDB twins, by registered name."""
 
-from admesh.llm import chat, hosts, hyperminhash, pieces, quality
+from admesh.llm import chat, hosts, hyperminhash, pieces, quality, suffixes
 
 
 def queries() -> dict:
     return {
         "op2_sentencepiece": pieces.op2_sentencepiece,
+        "op3_suffix_dedup": suffixes.op3_suffix_dedup,
         "op5_host_reputation": hosts.op5_host_reputation,
         "op6_hyperminhash": hyperminhash.op6_hyperminhash,
         "op7_quality": quality.op7_quality,
@@ -15,5 +16,6 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_suffix_dedup": suffixes.op3_suffix_dedup,
         "op5_host_reputation": hosts.ORACLE,
     }
