@@ -1,10 +1,11 @@
 """The queries of this subpackage and their DuckDB twins, by registered name."""
 
-from admesh.llm import chat, hosts, hyperminhash, pieces, quality, suffixes
+from admesh.llm import chat, decontaminate, hosts, hyperminhash, pieces, quality, suffixes
 
 
 def queries() -> dict:
     return {
+        "op1_decontaminate": decontaminate.op1_decontaminate,
         "op2_sentencepiece": pieces.op2_sentencepiece,
         "op3_suffix_dedup": suffixes.op3_suffix_dedup,
         "op5_host_reputation": hosts.op5_host_reputation,
