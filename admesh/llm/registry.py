@@ -1,6 +1,6 @@
 """The queries of this subpackage and their DuckDB twins, by registered name."""
 
-from admesh.llm import chat, decontaminate, hosts, hyperminhash, pieces, quality, suffixes
+from admesh.llm import chat, decontaminate, hosts, hyperminhash, pieces, pii, quality, suffixes
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op5_host_reputation": hosts.op5_host_reputation,
         "op6_hyperminhash": hyperminhash.op6_hyperminhash,
         "op7_quality": quality.op7_quality,
+        "op9_pii": pii.op9_pii,
         "op10_chat_windows": chat.op10_chat_windows,
     }
 
