@@ -1,6 +1,6 @@
 """The queries of this subpackage and their DuckDB twins, by registered name."""
 
-from admesh.llm import chat, decontaminate, hosts, hyperminhash, pieces, pii, quality, suffixes
+from admesh.llm import chat, decontaminate, hosts, hyperminhash, pieces, pii, quality, suffixes, syncmers
 
 
 def queries() -> dict:
@@ -8,6 +8,7 @@ def queries() -> dict:
         "op1_decontaminate": decontaminate.op1_decontaminate,
         "op2_sentencepiece": pieces.op2_sentencepiece,
         "op3_suffix_dedup": suffixes.op3_suffix_dedup,
+        "op4_syncmers": syncmers.op4_syncmers,
         "op5_host_reputation": hosts.op5_host_reputation,
         "op6_hyperminhash": hyperminhash.op6_hyperminhash,
         "op7_quality": quality.op7_quality,
@@ -18,6 +19,5 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op3_suffix_dedup": suffixes.op3_suffix_dedup,
         "op5_host_reputation": hosts.ORACLE,
     }
