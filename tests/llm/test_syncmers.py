@@ -1,0 +1,99 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from admesh.llm import syncmers
+from admesh.llm.rolling import RangeHashes, mix
+from admesh.llm.tables import documents
+
+DOC = "doc_id bigint, text string"
+
+
+def range_hash(data):
+    return int(RangeHashes(np.frombuffer(data, np.uint8)).of(np.array([0]), np.array([len(data)]))[0])
+
+
+def brute(data):
+    out = []
+    for i in range(len(data) - syncmers.K + 1):
+        kmer = data[i:i + syncmers.K]
+        inner = [range_hash(kmer[j:j + syncmers.S]) for j in range(syncmers.K - syncmers.S + 1)]
+        if min(inner) in (inner[0], inner[-1]):
+            out.append((i, int(mix(np.array([range_hash(kmer)], np.uint64))[0])))
+    return out
+
+
+def prose(r, n):
+    return " ".join("".join(r.choice("abcdeé") for _ in range(r.randrange(1, 8))) for _ in range(n))
+
+
+def test_closed_syncmers_match_the_definition():
+    r = random.Random(1)
+    texts = [prose(r, n).encode() for n in (0, 1, 3, 20, 60)] + [b"a" * 40, b"x" * 15, b"y" * 16]
+    doc, place, h = syncmers.closed_syncmers(texts)
+    for i, text in enumerate(texts):
+        assert list(zip(place[doc == i].tolist(), h[doc == i].tolist())) == brute(text)
+
+
+def test_an_edit_changes_only_the_syncmers_it_touches():
+    r = random.Random(2)
+    text = prose(r, 80).encode()
+    changed = text[:200] + b"#" + text[200:]
+    both = [{(p, h) for p, h in zip(*x)} for x in ([syncmers.closed_syncmers([t])[1], syncmers.closed_syncmers([t])[2]]
+                                                  for t in (text, changed))]
+    moved = {(p + (p >= 200), h) for p, h in both[0] if p + syncmers.K <= 200 or p >= 200}
+    assert moved <= both[1]
+
+
+def test_likeness_follows_the_shared_part():
+    r = random.Random(3)
+    a, b = prose(r, 900), prose(r, 900)
+    one, two, cut = syncmers.fingerprints([a.encode(), b.encode(), (a[:len(a) * 3 // 4] + b[:len(a) // 4]).encode()])
+    assert syncmers.likeness(one, one) == 1 and syncmers.likeness(one, two) < 0.05
+    assert abs(syncmers.likeness(one, cut) - 0.6) < 0.2  # three quarters of each are common
+    assert syncmers.likeness(one, cut) == syncmers.likeness(cut, one)
+    assert syncmers.likeness("", "") == 1 and syncmers.likeness(one, "") == 0
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 50])
+def test_every_document_gets_its_follower(table, buckets):
+    r = random.Random(buckets)
+    ids = r.sample(range(-10**12, 10**12), 60)
+    rows = [(i, f"text {i}") for i in ids]
+    got = {x.doc_id: x.following for x in syncmers.with_following(table(rows, DOC).repartition(5), buckets).collect()}
+    ids.sort()
+    assert got == {a: f"text {b}" for a, b in zip(ids, ids[1:] + ids[:1])}
+
+
+def test_columns_match_a_plain_computation(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = sorted((r.doc_id, r.text) for r in documents(spark, folder).collect())
+    got = {r.doc_id: r for r in syncmers.op4_syncmers(spark, folder).collect()}
+    for (i, text), (_, following) in zip(rows, rows[1:] + rows[:1]):
+        half = len(text) // 2
+        changed = text[:len(text) - half] + following[:half]
+        prints = syncmers.fingerprints([t.encode() for t in (text, changed, following)])
+        assert got[i].n_chars == len(text)
+        assert got[i].edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+        assert (got[i].fingerprint, got[i].edited_fingerprint) == tuple(prints[:2])
+        assert got[i].near_edited == syncmers.likeness(*prints[:2])
+        assert got[i].near_next == syncmers.likeness(prints[0], prints[2])
+    long = [r for r in got.values() if r.n_chars > 500]
+    assert np.mean([r.near_edited for r in long]) > 0.25 > 0.1 > np.mean([r.near_next for r in long])
+
+
+def test_nulls_ties_short_and_long_texts_and_extra_columns(table):
+    rows = [(None, "null id"), (1, None), (1, "b"), (1, "a"), (5, "x" * 300_000), (9, "short")]
+    got = syncmers.compare_edits(table(rows, DOC)).collect()
+    assert sorted((str(r.doc_id), r.n_chars) for r in got) == [
+        ("1", 0), ("1", 1), ("1", 1), ("5", 300_000), ("9", 5), ("None", 7)]
+    by = {(r.doc_id, r.n_chars): r for r in got}
+    assert by[None, 7].edited_sha256 == hashlib.sha256(b"null").hexdigest()  # followed by id 1's empty text
+    assert by[9, 5].edited_sha256 == hashlib.sha256(b"shonu").hexdigest()  # the last is followed by the first
+    wide = table([r + (1, "f") for r in rows], DOC + ", bucket int, following string")
+    assert sorted(map(str, syncmers.compare_edits(wide).collect())) == sorted(map(str, got))
+    assert syncmers.compare_edits(table([], DOC)).collect() == []
+    same = [r.fingerprint for r in syncmers.fingerprint_documents(table([(1, "x y z"), (2, "x y z")], DOC)).collect()]
+    assert same[0] == same[1] != ""
