@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from admesh.llm.rolling import RangeHashes, chunks, joined, mix, runs_of
 from admesh.llm.tables import table
 
-SAMPLE = 8000  # labelled documents the fit may use
+SAMPLE = 5000  # labelled documents the fit may use
 BITS = 18  # hashed features
 FEATURES = 3000  # of them with a weight, for each scorer
 CHUNK = 1_000_000  # bytes of text handled together
@@ -40,6 +40,17 @@ _WORD[128:] = _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = True
 _BINS = np.array([0.005, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.8])
 
 
+def _slot(hashes, kind):
+    return (mix(hashes + np.uint64(kind * 0x51ED27)) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def shape_slots(shape: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each shape share's bin as a hashed feature: ``doc, slot``."""
+    level = np.searchsorted(_BINS, shape, "right")
+    key = np.uint64(1 << 40) + (np.arange(len(SHAPES)) * 64 + level).astype(np.uint64)
+    return np.repeat(np.arange(len(shape)), len(SHAPES)), _slot(mix(key).ravel(), 99)
+
+
 class Features:
     """Features of a chunk of texts: shape shares per text and hashed words and stems."""
 
@@ -71,28 +82,18 @@ class Features:
             # A long text repeats words anyway, so distinct words are set against the square root of all.
             np.minimum(distinct / np.sqrt(words) / 10, 1), np.where(words >= 10, commonest / words, 0),
             np.minimum(size / 1000, 1)], 1)
-        docs, ids = [doc[first]], [self._slot(word[first], 0)]
+        docs, ids = [doc[first]], [_slot(word[first], 0)]
         for stem in STEMS:
             long = ends - starts > stem
             docs.append(self.doc[long])
-            ids.append(self._slot(hashes.of(starts[long], starts[long] + stem), stem))
+            ids.append(_slot(hashes.of(starts[long], starts[long] + stem), stem))
         self.token_doc, self.token = np.concatenate(docs), np.concatenate(ids)
 
-    @staticmethod
-    def _slot(hashes, kind):
-        return (mix(hashes + np.uint64(kind * 0x51ED27)) >> np.uint64(64 - BITS)).astype(np.int64)
-
-    def shape_slots(self) -> tuple[np.ndarray, np.ndarray]:
-        """Each shape share's bin as a hashed feature: ``doc, slot``."""
-        level = np.searchsorted(_BINS, self.shape, "right")
-        key = np.uint64(1 << 40) + (np.arange(len(SHAPES)) * 64 + level).astype(np.uint64)
-        return np.repeat(np.arange(self.n), len(SHAPES)), self._slot(mix(key).ravel(), 99)
-
     def distinct(self, chosen: np.ndarray, shapes: bool) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of document and feature, each once, for the ``chosen`` features."""
         doc, slot = self.token_doc, self.token
         if shapes:
-            more = self.shape_slots()
+            more = shape_slots(self.shape)
             doc, slot = np.concatenate([doc, more[0]]), np.concatenate([slot, more[1]])
         kept = chosen[slot]
         pair = np.unique((doc[kept] << BITS) + slot[kept])
@@ -146,32 +147,42 @@ def fit_linear(doc, slot, target: np.ndarray, chosen: np.ndarray, rounds: int =
 
 def _odds(doc, slot, target):
     """Soft document counts of every feature on both classes."""
-    yes = np.bincount(slot, target[doc], minlength=1 << BITS)
+    yes = np.zeros(1 << BITS)
+    for lo in range(0, len(doc), 1 << 20):  # in parts, for their temporary weights
+        yes += np.bincount(slot[lo:lo + (1 << 20)], target[doc[lo:lo + (1 << 20)]], minlength=1 << BITS)
     return yes, np.bincount(slot, minlength=1 << BITS) - yes
 
 
-def fit(texts: list[str], quality: np.ndarray, toxic: np.ndarray) -> dict:
-    """Scorers from a sample of texts and their noisy labels (-1: none).
+def summarise(texts: list[str]) -> list[dict]:
+    """What the fit needs of each text: word count, shape shares, and distinct hashed words and stems."""
+    features = Features(texts)
+    doc, slot = features.distinct(np.ones(1 << BITS, bool), shapes=False)
+    slots = np.split(slot.astype(np.int32), np.searchsorted(doc, np.arange(1, len(texts))))
+    return [{"words": int(w), "shape": s, "slots": t} for w, s, t in zip(features.words, features.shape, slots)]
+
+
+def fit(sample: list[dict], quality: np.ndarray, toxic: np.ndarray) -> dict:
+    """Scorers from summaries of a sample of texts and their noisy labels (-1: none).
 
     ``quality`` and ``toxic`` are 0 or 1. An empty sample gives scorers that
     keep everything.
     """
     empty = {"weights": np.zeros(1 << BITS, np.float32), "bias": -10.0}
-    if not texts:
+    if not sample:
         return {"junk": empty, "toxic": empty, "accuracy": {}}
-    features = Features(texts)
-    every = np.ones(1 << BITS, bool)
-    doc, slot = features.distinct(every, shapes=False)
+    slot = np.concatenate([r["slots"] for r in sample])
+    doc = np.repeat(np.arange(len(sample), dtype=np.int32), [len(r["slots"]) for r in sample])
+    shape, words = np.stack([r["shape"] for r in sample]), np.array([r["words"] for r in sample])
 
     def votes(*labellers):
         return np.stack([np.where(bad, 1, np.where(good, 0, -1)) for bad, good in labellers], 1)
-    marks, shout, capitals, pipes, variety, commonest, _ = features.shape.T
+    marks, shout, capitals, pipes, variety, commonest, _ = shape.T
     clean = (marks < 0.005) & (shout < 0.005) & (pipes < 0.005)
-    never = np.zeros(len(texts), bool)
+    never = np.zeros(len(sample), bool)
     junk, junk_accuracy = label_model(votes(
         (marks > 0.05, marks < 0.005), (shout > 0.05, shout < 0.005), (capitals > 0.4, capitals < 0.2),
         (pipes > 0.03, pipes < 0.005), (commonest > 0.3, commonest < 0.15),
-        ((features.words >= 20) & (variety < 0.15), variety > 0.25), (never, clean & (commonest < 0.15)),
+        ((words >= 20) & (variety < 0.15), variety > 0.25), (never, clean & (commonest < 0.15)),
         (quality == 0, quality == 1)))
 
     def tied_to(target, share, precision):
@@ -184,25 +195,21 @@ def fit(texts: list[str], quality: np.ndarray, toxic: np.ndarray) -> dict:
     tied = tied_to((toxic == 1).astype(float), 0.03, 0.9)
     gazetteer = Features(list(INSULTS))
     insults = np.zeros(1 << BITS, bool)
-    words = np.arange(gazetteer.words.sum())
-    insults[gazetteer.token[words]] = True
-    found = np.bincount(doc, tied[slot], minlength=len(texts))
-    named = np.bincount(doc, insults[slot], minlength=len(texts))
-    dense = found / np.maximum(np.sqrt(features.words), 1)
+    insults[gazetteer.token[:len(INSULTS)]] = True
+    found = np.bincount(doc[tied[slot]], minlength=len(sample))
+    named = np.bincount(doc[insults[slot]], minlength=len(sample))
+    dense = found / np.maximum(np.sqrt(words), 1)
     foul, foul_accuracy = label_model(votes(
         (named >= 1, never), (found >= 2, found == 0), (dense > 0.3, dense < 0.02), (toxic == 1, toxic == 0)))
 
     def scorer(target, shapes):
-        own_doc, own_slot = features.distinct(every, shapes) if shapes else (doc, slot)
+        # Junk goes by shape alone: words of a language must not count against it.
+        own_doc, own_slot = shape_slots(shape) if shapes else (doc, slot)
         yes, no = _odds(own_doc, own_slot, target)
         share = max(target.mean(), 1e-6)
         seen = yes + no
         gain = np.abs(yes - share * seen) / np.sqrt(share * (1 - share) * seen + 1)
-        if shapes:  # shape alone: words of a language must not count as junk
-            allowed = np.zeros(1 << BITS, bool)
-            allowed[features.shape_slots()[1]] = True
-            gain = np.where(allowed, gain, 0)
-        else:  # only evidence for the class; common words say nothing about it
+        if not shapes:  # only evidence for the class; common words say nothing about it
             gain = np.where(tied_to(target, 0.02, 0.85), gain, 0)
         chosen = np.zeros(1 << BITS, bool)
         best = np.argsort(-gain, kind="stable")[:FEATURES]
@@ -234,22 +241,37 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
 
     The sample takes the smallest hashes of the ids, so it does not depend on
     the tables' partitioning. Several label rows of a document count as their
-    worst; rows with a null id are left out of the fit.
+    worst, several rows of an id as one; rows with a null id are left out of the
+    fit. Texts stay on the executors; the driver gets their summaries.
     """
     def chosen(ids):
         return F.broadcast(ids.filter(F.col("doc_id").isNotNull()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     own = docs.select("doc_id", "text")
     named = chosen(labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic")))
-    known = own.join(named, "doc_id").dropDuplicates(["doc_id"]).toArrow()
-    if not known.num_rows:
-        known = (
-            own.join(chosen(own.select("doc_id").distinct()), "doc_id").dropDuplicates(["doc_id"])
-            .select("*", F.lit(None).cast("int").alias("quality"), F.lit(None).cast("int").alias("toxic")).toArrow())
-    known = known.sort_by("doc_id")
+    known = own.join(named, "doc_id")
+    if not known.head(1):
+        known = own.join(chosen(own.select("doc_id").distinct()), "doc_id").select(
+            "*", F.lit(None).cast("int").alias("quality"), F.lit(None).cast("int").alias("toxic"))
+
+    def run(batches):
+        for part in chunks(batches, CHUNK):
+            rows = summarise([t or "" for t in part.column("text").to_pylist()])
+            yield pa.RecordBatch.from_pylist(
+                [{"doc_id": i, "quality": q, "toxic": t} | r for i, q, t, r in zip(
+                    *(part.column(c).to_pylist() for c in ("doc_id", "quality", "toxic")), rows)], schema)
+    schema = pa.schema([("doc_id", pa.int64()), ("quality", pa.int32()), ("toxic", pa.int32()), ("words", pa.int64()),
+                        ("shape", pa.list_(pa.float64())), ("slots", pa.list_(pa.int32()))])
+    summary = known.mapInArrow(run, "doc_id bigint, quality int, toxic int, words bigint, shape array<double>, "
+                                    "slots array<int>").toArrow().sort_by("doc_id")
+    ids = summary.column("doc_id").to_numpy()
+    first = np.flatnonzero(np.diff(ids, prepend=ids[:1] - 1)) if len(ids) else ids  # one row of a repeated id
+    summary = summary.take(first)
 
     def column(name):
-        return known.column(name).fill_null(-1).to_numpy()
-    return fit([t or "" for t in known.column("text").to_pylist()], column("quality"), column("toxic"))
+        return summary.column(name).fill_null(-1).to_numpy()
+    sample = [{"words": w, "shape": s.values.to_numpy(), "slots": t.values.to_numpy()} for w, s, t in zip(
+        column("words"), summary.column("shape"), summary.column("slots"))]
+    return fit(sample, column("quality"), column("toxic"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, reject: float = REJECT) -> DataFrame:

@@ -1,6 +1,6 @@
 """The queries of this subpackage and their DuckDB twins, by registered name."""
 
-from admesh.llm import chat, decontaminate, hosts, hyperminhash, pieces, pii, quality, suffixes, syncmers
+from admesh.llm import chat, decontaminate, hosts, hyperminhash, likelihood, pieces, pii, quality, suffixes, syncmers
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op5_host_reputation": hosts.op5_host_reputation,
         "op6_hyperminhash": hyperminhash.op6_hyperminhash,
         "op7_quality": quality.op7_quality,
+        "op8_pseudo_likelihood": likelihood.op8_pseudo_likelihood,
         "op9_pii": pii.op9_pii,
         "op10_chat_windows": chat.op10_chat_windows,
     }

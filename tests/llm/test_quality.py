@@ -34,7 +34,7 @@ def test_held_out_accuracy(spark):
 
     def column(name, of):
         return np.array([known[i][name] for i in of])
-    model = quality.fit([texts[i] for i in train], column("quality", train), column("toxic", train))
+    model = quality.fit(quality.summarise([texts[i] for i in train]), column("quality", train), column("toxic", train))
     scores = quality.score(model, [texts[i] for i in test])
     junk, toxic = scores["junk"] > quality.REJECT, scores["toxic"] > quality.REJECT
     bad, foul = column("quality", test) == 0, column("toxic", test) == 1
