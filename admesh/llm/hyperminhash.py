@@ -64,9 +64,9 @@ def shingles(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
             own = np.sort(rolled[lo:hi - words + 1])
             out.append(own[np.concatenate([[True], own[1:] != own[:-1]])])
         elif hi > lo:
-            whole = np.uint64(hi - lo)
-            for w in word[lo:hi]:
-                whole = whole * np.uint64(0xD6E8FEB86659FD93) + w
+            whole = hi - lo
+            for w in word[lo:hi].tolist():
+                whole = (whole * 0xD6E8FEB86659FD93 + w) % (1 << 64)
             out.append(mix(np.array([whole], np.uint64)))
         else:
             out.append(np.zeros(0, np.uint64))

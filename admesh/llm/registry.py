@@ -1,5 +1,6 @@
 """The queries of this subpackage and their DuckDB twins, by registered name."""
 
+import corpus_pipeline
 from admesh.llm import chat, decontaminate, hosts, hyperminhash, likelihood, pieces, pii, quality, suffixes, syncmers
 
 
@@ -15,6 +16,7 @@ def queries() -> dict:
         "op8_pseudo_likelihood": likelihood.op8_pseudo_likelihood,
         "op9_pii": pii.op9_pii,
         "op10_chat_windows": chat.op10_chat_windows,
+        "pipeline": corpus_pipeline.run,
     }
 
 
