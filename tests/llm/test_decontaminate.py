@@ -42,10 +42,13 @@ def brute(docs, items):
     out = {}
     sizes = sorted({len(words(t)) for _, t in items if len(words(t)) >= 3})
     marks = [(i, words(t), fingerprint(words(t))) for i, t in items if len(words(t)) >= 3]
+    known = {s for _, w, _ in marks for s in shingles(w)}
     for doc, text in docs:
         w = words(text)
+        hits = [i for i, s in enumerate(shingles(w)) if s in known]  # a window without one is unlike all items
         for size in sizes:
-            for start in range(max(len(w) - size, 0) + 1):
+            last = max(len(w) - size, 0)
+            for start in sorted({s for i in hits for s in range(max(i - size + 3, 0), min(i, last) + 1)}):
                 own = w[start:start + size]
                 if len(own) < 3:
                     continue
