@@ -22,49 +22,80 @@ AD = "Brand#2"
 
 def entry(spark: SparkSession) -> DataFrame:
     """The 20 users to show the ad for ``Brand#2`` to."""
-    return Audience(spark, "/root/testdata/sf0.001").select_users(AD, 20)
+    return _audience(spark, "/root/testdata/sf0.001").select_users(AD, 20)
+
+
+_AUDIENCES: dict[tuple[str, str], Audience] = {}
+
+
+def _audience(spark: SparkSession, folder: str) -> Audience:
+    """One audience per session and folder, so that the queries share its written tables."""
+    key = spark.sparkContext.applicationId, folder
+    if key not in _AUDIENCES:
+        _AUDIENCES[key] = Audience(spark, folder)
+    return _AUDIENCES[key]
+
+
+def forget_audiences() -> None:
+    """Delete the tables written so far; queries built earlier stop working."""
+    while _AUDIENCES:
+        _AUDIENCES.popitem()[1].close()
 
 
 def _on(query: Callable[[Audience], DataFrame]) -> Query:
-    return lambda spark, folder: query(Audience(spark, folder))
+    return lambda spark, folder: query(_audience(spark, folder))
 
 
 def _as_text(vertices: DataFrame) -> DataFrame:
     return vertices.withColumn("neighbours", id_list(F.col("neighbours")))
 
 
-def _replaced(audience: Audience, attribute: str, updates: DataFrame) -> DataFrame:
-    """Set one attribute on vertices that are known by id only."""
-    return vertex.replace(audience.vertex_ids(), updates, attribute)
+def _cleared(column: str, updates: DataFrame) -> DataFrame:
+    """Updates of every third user only, NULL for every sixth."""
+    third = updates.filter(F.pmod("id", F.lit(3)) == 0)
+    return third.withColumn(column, F.when(F.pmod("id", F.lit(6)) != 0, F.col(column)))
+
+
+def _set_centrality(audience: Audience) -> DataFrame:
+    """The scored table with PageRank as the centrality of some users, and none for others."""
+    updates = audience.pagerank.select("id", F.round("pagerank", 6).alias("centrality"))
+    return vertex.replace(audience.vertex_table(AD), _cleared("centrality", updates), "centrality")
+
+
+def _set_utility(audience: Audience) -> DataFrame:
+    """The scored table with the event affinity to ad 7 as the utility of some users."""
+    events = event_affinity(audience.exposures.filter(F.col("ad") == 7)).select("id", F.col("affinity").alias("utility"))
+    return vertex.replace(audience.vertex_table(AD), _cleared("utility", events), "utility")
 
 
-def _replace(attribute: str, updates: Callable[[Audience], DataFrame]) -> Query:
-    return _on(lambda a: _as_text(_replaced(a, attribute, updates(a))))
+def _set_affinity(audience: Audience) -> DataFrame:
+    return vertex.replace(audience.vertex_ids(), audience.affinity_spend(AD), "affinity")
 
 
-def _read(attribute: str, updates: Callable[[Audience], DataFrame]) -> Query:
-    return _on(lambda a: vertex.read(_replaced(a, attribute, updates(a)), attribute))
+def _set_neighbours(audience: Audience) -> DataFrame:
+    """The scored table where every third user's list becomes the user alone, or NULL."""
+    alone = audience.users.select("id", F.lit(0).cast("bigint").alias("page"), F.array("id").alias("neighbours"))
+    return vertex.replace(audience.vertex_table(AD), _cleared("neighbours", alone), "neighbours")
 
 
-def _replace_id(spark: SparkSession, folder: str) -> DataFrame:
+def _replace_id(audience: Audience) -> DataFrame:
     """Re-key the users of one market segment to ids that lead with their country."""
     new_ids = (
-        table(spark, folder, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+        table(audience.spark, audience.folder, "customer").filter(F.col("c_mktsegment") == "BUILDING")
         .select(F.col("c_custkey").alias("id"),
                 (F.col("c_nationkey") * F.lit(10**12) + F.col("c_custkey")).alias("new_id"))
     )
-    return _as_text(vertex.replace_id(Audience(spark, folder).vertex_ids(), new_ids))
+    return _as_text(vertex.replace_id(audience.vertex_ids(), new_ids))
 
 
 def _vertex_update(audience: Audience) -> DataFrame:
     """Spend affinity, overwritten by the event affinity to ad 7 where there were events."""
-    vertices = _replaced(audience, "affinity", audience.affinity_spend(AD))
     events = event_affinity(audience.exposures.filter(F.col("ad") == 7))
-    return vertex.read(vertex.replace(vertices, events, "affinity"), "affinity")
+    return vertex.read(vertex.replace(_set_affinity(audience), events, "affinity"), "affinity")
 
 
 def _rounded(scores: DataFrame, column: str) -> DataFrame:
-    """PageRank sums in shuffle order, so its last digits vary."""
+    """Ten rounds of PageRank end a few units in the last place apart in different engines."""
     return scores.withColumn(column, F.round(column, 6))
 
 
@@ -88,21 +119,21 @@ def _audience_queries() -> dict[str, Query]:
         "vertex_table": _on(lambda a: _as_text(a.vertex_table(AD))),
         "vertex_update": _on(_vertex_update),
         "read_id": _on(lambda a: vertex.read(a.vertex_ids(), "id")),
-        "read_affinity": _read("affinity", lambda a: a.affinity_spend(AD)),
-        "read_centrality": _read("centrality", lambda a: a.centrality()),
+        "read_affinity": _on(lambda a: vertex.read(_set_affinity(a), "affinity")),
+        "read_centrality": _on(lambda a: vertex.read(a.vertex_table(AD), "centrality")),
         "read_utility": _on(lambda a: vertex.read(a.vertex_table(AD), "utility")),
-        "read_neighbours": _read("neighbours", lambda a: a.neighbours()),
-        "replace_id": _replace_id,
-        "replace_affinity": _replace("affinity", lambda a: a.affinity_spend(AD)),
-        "replace_centrality": _replace("centrality", lambda a: a.centrality()),
-        "replace_utility": _replace("utility", lambda a: a.candidates(AD)),
-        "replace_neighbours": _replace("neighbours", lambda a: a.neighbours()),
+        "read_neighbours": _on(lambda a: vertex.read(a.vertex_table(AD), "neighbours")),
+        "replace_id": _on(_replace_id),
+        "replace_affinity": _on(lambda a: _as_text(_set_affinity(a))),
+        "replace_centrality": _on(lambda a: _as_text(_set_centrality(a))),
+        "replace_utility": _on(lambda a: _as_text(_set_utility(a))),
+        "replace_neighbours": _on(lambda a: _as_text(_set_neighbours(a))),
         "interactions": _on(lambda a: a.interactions()),
         "edges": _on(lambda a: a.edges),
         "edges_symmetric": _on(lambda a: graph.symmetric(a.edges)),
-        "neighbours": _on(lambda a: _as_text(a.neighbours())),
+        "neighbours": _on(lambda a: _as_text(a.neighbours)),
         "degree_centrality": _on(lambda a: a.degree_centrality()),
-        "pagerank": _on(lambda a: _rounded(a.pagerank(), "pagerank")),
+        "pagerank": _on(lambda a: _rounded(a.pagerank, "pagerank")),
         "affinity_spend": _on(lambda a: a.affinity_spend(AD)),
         "affinity_events": _on(lambda a: a.affinity_events()),
         "utility": _on(lambda a: a.utility()),
@@ -122,47 +153,52 @@ _STEPS = {
     "users": "SELECT c_custkey AS id FROM customer",
     "purchases": """
         SELECT o_custkey AS user_id, l_partkey AS item_id,
-               CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
-               CAST(min(o_orderdate) AS DATE) AS day,
-               sum(CAST(round(l_extendedprice * 100) * round((1 - l_discount) * 100) AS DOUBLE)) AS units
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        WHERE o_custkey IS NOT NULL AND l_partkey IS NOT NULL AND o_orderdate IS NOT NULL
+               CAST(date_trunc('month', o_orderdate) AS DATE) AS month, CAST(min(o_orderdate) AS DATE) AS day,
+               sum(CAST(l_extendedprice AS DECIMAL(18, 4)) * (1 - CAST(l_discount AS DECIMAL(8, 4)))) AS spent
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey
+        WHERE l_partkey IS NOT NULL AND o_orderdate IS NOT NULL
         GROUP BY 1, 2, 3""",
+    # Every two users who bought an item in the same month; weight counts the (item, month) they share.
+    "pairs": """
+        SELECT a.user_id AS src, b.user_id AS dst, count(*) AS weight
+        FROM purchases a JOIN purchases b ON a.item_id = b.item_id AND a.month = b.month AND a.user_id <> b.user_id
+        GROUP BY 1, 2""",
+    "degrees": "SELECT src AS id, CAST(sum(weight) AS BIGINT) AS degree FROM pairs GROUP BY 1",
+    "degree_centrality": """
+        SELECT id, coalesce(degree, 0) AS degree,
+               coalesce(coalesce(degree, 0) / nullif((SELECT CAST(count(*) - 1 AS DOUBLE) FROM users), 0), 0.0)
+                   AS centrality
+        FROM users LEFT JOIN degrees USING (id)""",
+    # The listing of consecutive buyers of an item in a month.
     "steps": """
-        SELECT user_id, lag(user_id) OVER (
-                   PARTITION BY item_id, month ORDER BY day, (user_id % 4093 + 4093) % 4093, user_id) AS before
-        FROM purchases""",
+        SELECT user_id, lag(user_id) OVER (PARTITION BY item_id, month ORDER BY day, user_id) AS before FROM purchases""",
     "edges": """
         SELECT least(before, user_id) AS src, greatest(before, user_id) AS dst, count(*) AS weight
         FROM steps WHERE before IS NOT NULL GROUP BY 1, 2""",
     "links": "SELECT src, dst, weight FROM edges UNION ALL SELECT dst, src, weight FROM edges",
-    "degrees": "SELECT src AS id, count(*) AS degree FROM links GROUP BY 1",
+    "positions": f"""
+        SELECT src AS id, (row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // {graph.PAGE} AS page, dst
+        FROM links""",
     "lists": """
-        SELECT l.src AS id,
-               CASE WHEN d.degree > 4096 THEN CAST(floor(l.dst / 4096) AS BIGINT) ELSE CAST(0 AS BIGINT) END AS page,
-               string_agg(CAST(l.dst AS VARCHAR), ',' ORDER BY l.dst) AS neighbours
-        FROM links l JOIN degrees d ON d.id = l.src GROUP BY 1, 2""",
-    "degree_centrality": """
-        SELECT id, coalesce(degree, 0) AS degree,
-               coalesce(coalesce(degree, 0) / nullif((SELECT CAST(count(*) - 1 AS DOUBLE) FROM users), 0), 0.0)
-                   AS centrality
-        FROM users LEFT JOIN degrees USING (id)""",
+        SELECT id, page, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS neighbours
+        FROM positions GROUP BY 1, 2""",
     "spend": """
-        SELECT user_id AS id, sum(units) AS total,
-               sum(CASE WHEN p_brand = 'Brand#2' THEN units ELSE 0.0 END) AS on_ad,
+        SELECT user_id AS id, CAST(sum(spent) AS DOUBLE) AS total,
+               CAST(sum(CASE WHEN p_brand = 'Brand#2' THEN spent ELSE 0 END) AS DOUBLE) AS on_ad,
                count(CASE WHEN p_brand = 'Brand#2' THEN 1 END) AS bought
         FROM purchases LEFT JOIN part ON p_partkey = item_id GROUP BY 1""",
     "affinity": """
         SELECT id, on_ad / nullif(total, 0) AS affinity FROM users LEFT JOIN spend USING (id)""",
     "spend_by_ad": """
-        SELECT p_brand AS ad, user_id AS id, sum(units) AS on_ad
+        SELECT p_brand AS ad, user_id AS id, CAST(sum(spent) AS DOUBLE) AS on_ad
         FROM purchases LEFT JOIN part ON p_partkey = item_id GROUP BY 1, 2""",
     "affinity_by_ad": """
         SELECT ad, s.id, s.on_ad / nullif(total, 0) AS affinity
         FROM spend_by_ad s JOIN spend t ON t.id = s.id WHERE ad IS NOT NULL""",
     "exposures": """
         SELECT user_id AS id, TRY_CAST(props->>'$.k' AS BIGINT) AS ad, event_type
-        FROM events WHERE user_id IS NOT NULL AND TRY_CAST(props->>'$.k' AS BIGINT) IS NOT NULL""",
+        FROM events WHERE user_id IS NOT NULL AND regexp_full_match(props->>'$.k', '-?[0-9]+')
+            AND TRY_CAST(props->>'$.k' AS BIGINT) IS NOT NULL""",
     "affinity_by_events": """
         SELECT id, ad,
                CAST(count(CASE WHEN event_type IN ('click', 'purchase') THEN 1 END) AS DOUBLE)
@@ -174,8 +210,8 @@ _ROUNDS = {"rank_0": "SELECT id, 1.0::DOUBLE AS pagerank FROM users"} | {
     f"rank_{i}": f"""
         SELECT u.id, 0.15 + 0.85 * coalesce(s.shares, 0) AS pagerank
         FROM users u LEFT JOIN (
-            SELECT l.dst AS id, sum(r.pagerank / d.degree) AS shares
-            FROM links l JOIN rank_{i - 1} r ON r.id = l.src JOIN degrees d ON d.id = l.src
+            SELECT l.dst AS id, sum(r.pagerank * l.weight / d.degree) AS shares
+            FROM pairs l JOIN rank_{i - 1} r ON r.id = l.src JOIN degrees d ON d.id = l.src
             GROUP BY 1) s ON s.id = u.id"""
     for i in range(1, 11)
 }
@@ -241,18 +277,24 @@ def _audience_oracles() -> dict[str, str]:
         "read_id": _sql("SELECT id FROM users"),
         "read_affinity": _sql("SELECT id, affinity FROM affinity"),
         "read_centrality": _sql("SELECT id, centrality FROM degree_centrality"),
-        "read_utility": _sql("SELECT DISTINCT id, utility FROM vertices", _VERTICES),
+        "read_utility": _sql("SELECT id, utility FROM vertices WHERE page = 0", _VERTICES),
         "read_neighbours": _sql("SELECT src AS id, dst AS neighbour FROM links"),
         "replace_id": _sql(_unscored(
             key="CASE WHEN c_mktsegment = 'BUILDING' THEN c_nationkey * 1000000000000 + u.id ELSE u.id END",
             source="JOIN customer ON c_custkey = u.id")),
         "replace_affinity": _sql(_unscored(affinity="a.affinity", source="JOIN affinity a ON a.id = u.id")),
-        "replace_centrality": _sql(_unscored(
-            centrality="c.centrality", source="JOIN degree_centrality c ON c.id = u.id")),
-        "replace_utility": _sql(_unscored(
-            utility="s.utility", source="LEFT JOIN scores s ON s.id = u.id"), _SCORES),
-        "replace_neighbours": _sql(_unscored(
-            page="coalesce(l.page, 0)", neighbours="l.neighbours", source="LEFT JOIN lists l ON l.id = u.id")),
+        "replace_centrality": _sql("""
+            SELECT v.id, page, affinity, CASE WHEN v.id % 6 = 0 THEN NULL WHEN v.id % 3 = 0 THEN round(pagerank, 6)
+                ELSE centrality END AS centrality, utility, neighbours
+            FROM vertices v JOIN rank_10 r ON r.id = v.id""", _VERTICES, _ROUNDS),
+        "replace_utility": _sql("""
+            SELECT v.id, page, v.affinity, centrality,
+                CASE WHEN e.id IS NULL THEN utility WHEN v.id % 6 = 0 THEN NULL ELSE e.affinity END AS utility, neighbours
+            FROM vertices v LEFT JOIN affinity_by_events e ON e.id = v.id AND e.ad = 7 AND e.id % 3 = 0""", _VERTICES),
+        "replace_neighbours": _sql("""
+            SELECT id, page, affinity, centrality, utility, CASE WHEN id % 6 = 0 THEN NULL
+                WHEN id % 3 = 0 THEN CAST(id AS VARCHAR) ELSE neighbours END AS neighbours
+            FROM vertices WHERE id % 3 <> 0 OR page = 0""", _VERTICES),
         "interactions": _sql("SELECT user_id, item_id, month FROM purchases"),
         "edges": _sql("SELECT * FROM edges"),
         "edges_symmetric": _sql("SELECT * FROM links"),
@@ -273,17 +315,17 @@ def _audience_oracles() -> dict[str, str]:
             SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ad ORDER BY utility DESC, id) AS rank
                            FROM scores_by_ad) WHERE rank <= 5""", _SCORES),
         "neighbour_affinity": _sql("""
-            SELECT l.src AS id, round(avg(coalesce(a.affinity, 0)), 6) AS neighbour_affinity
-            FROM links l LEFT JOIN affinity a ON a.id = l.dst GROUP BY 1"""),
+            SELECT src AS id, round(sum(coalesce(affinity, 0) * weight) / sum(weight), 6) AS neighbour_affinity
+            FROM pairs LEFT JOIN affinity ON id = dst GROUP BY 1"""),
         "ad_summary": _sql("""
             SELECT ad, count(*) AS users, round(avg(utility), 6) AS mean_utility, max(utility) AS max_utility
             FROM scores_by_ad GROUP BY 1""", _SCORES),
         "select_non_adjacent": _sql("""
             SELECT * FROM scores s WHERE NOT EXISTS (
-                SELECT 1 FROM links l JOIN scores n ON n.id = l.dst
+                SELECT 1 FROM pairs l JOIN scores n ON n.id = l.dst
                 WHERE l.src = s.id AND (n.utility > s.utility OR (n.utility = s.utility AND n.id < s.id)))""",
             _SCORES),
         "audience_reach": _sql("""
-            SELECT count(DISTINCT dst) AS reach FROM links
+            SELECT count(DISTINCT dst) AS reach FROM pairs
             WHERE src IN (SELECT id FROM picks) AND dst NOT IN (SELECT id FROM picks)""", _SCORES),
     }

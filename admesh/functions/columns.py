@@ -1,21 +1,24 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Sums of these stay exact whatever the order of rows: 4 places of price and discount, 16 of a share.
+MONEY, RATE = "decimal(18,4)", "decimal(8,4)"
+SHARE = "decimal(24,16)"
 
-def sale_units(price: Column, discount: Column) -> Column:
-    """Price after discount in hundredths of a cent, as a whole number in a double.
 
-    Sums of whole numbers in doubles are exact up to 2**53, so a total does not
-    depend on the order in which tasks deliver their parts, and it cannot overflow.
-    """
-    cents = F.floor(price * 100 + 0.5)
-    percent = F.floor((1 - discount) * 100 + 0.5)
-    return cents.cast("double") * percent.cast("double")
+def sale_value(price: Column, discount: Column) -> Column:
+    """Price after discount as an exact decimal."""
+    return price.cast(MONEY) * (1 - discount.cast(RATE))
 
 
 def ratio(part: Column, whole: Column) -> Column:
-    """``part / whole``, NULL where the whole is 0."""
-    return part / F.nullif(whole.cast("double"), F.lit(0.0))
+    """``part / whole`` as a double, NULL where the whole is 0."""
+    return part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))
+
+
+def exact_sum(value: Column) -> Column:
+    """Sum of doubles to 16 places, the same in any order of rows."""
+    return F.sum(value.cast(SHARE)).cast("double")
 
 
 def utility_score(affinity: Column, centrality: Column, largest: Column) -> Column:

@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from admesh.functions.columns import ratio
+from admesh.functions.columns import exact_sum, ratio
+from admesh.storage import RunFolder
 
 
 def spend_affinity(purchases: DataFrame, items_of_ad: DataFrame) -> DataFrame:
@@ -15,8 +16,8 @@ def spend_affinity(purchases: DataFrame, items_of_ad: DataFrame) -> DataFrame:
     return (
         purchases.join(advertised, "item_id", "left")
         .groupBy(F.col("user_id").alias("id"))
-        .agg(F.sum("units").alias("total"),
-             F.sum(F.when(F.col("advertised"), F.col("units")).otherwise(0.0)).alias("on_ad"),
+        .agg(F.sum("spent").alias("total"),
+             F.coalesce(F.sum(F.when(F.col("advertised"), F.col("spent"))), F.lit(0)).alias("on_ad"),
              F.count("advertised").alias("bought"))
         .select("id", ratio(F.col("on_ad"), F.col("total")).alias("affinity"), "bought")
     )
@@ -30,7 +31,7 @@ def spend_affinity_all_ads(purchases: DataFrame, items: DataFrame) -> DataFrame:
     spend = (
         purchases.join(items, "item_id", "left")
         .groupBy("ad", F.col("user_id").alias("id"))
-        .agg(F.sum("units").alias("on_ad"))
+        .agg(F.sum("spent").alias("on_ad"))
     )
     total = F.sum("on_ad").over(Window.partitionBy("id"))
     return (
@@ -50,11 +51,18 @@ def event_affinity(exposures: DataFrame) -> DataFrame:
     )
 
 
-def neighbour_affinity(links: DataFrame, affinity: DataFrame) -> DataFrame:
-    """Mean affinity of each user's neighbours, a missing affinity counting as 0."""
-    known = affinity.select(F.col("id").alias("dst"), "affinity")
+def neighbour_affinity(incidence: DataFrame, affinity: DataFrame, run: RunFolder) -> DataFrame:
+    """Mean affinity of each user's co-buyers, weighted by shared buckets; a missing affinity counts as 0.
+
+    Affinities are summed per bucket, then per user, less the user's own in each
+    bucket. All join sides are written, so hot buckets and users are split.
+    """
+    own = run.write(
+        incidence.join(affinity.select("id", "affinity"), "id", "left")
+        .withColumn("affinity", F.coalesce("affinity", F.lit(0.0))), "own_affinity")
+    sums = run.write(own.groupBy("item_id", "month").agg(exact_sum(F.col("affinity")).alias("whole")), "bucket_affinity")
+    others = exact_sum(F.col("whole")) - exact_sum(F.col("affinity"))
     return (
-        links.join(known, "dst", "left")
-        .groupBy(F.col("src").alias("id"))
-        .agg(F.round(F.avg(F.coalesce("affinity", F.lit(0.0))), 6).alias("neighbour_affinity"))
+        own.join(sums, ["item_id", "month"]).groupBy("id")
+        .agg(F.round(others / F.sum("others"), 6).alias("neighbour_affinity"))
     )

@@ -1,4 +1,9 @@
-"""The user graph: edges, neighbour lists and degrees."""
+"""The user graph: purchases as a bipartite graph, and a listing of consecutive buyers.
+
+Two users are neighbours once for every (item, month) *bucket* that both bought
+in. Measures over all co-buyers are sums over buckets, so no pair is ever built:
+a bucket of a million buyers is a million rows.
+"""
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -6,10 +11,9 @@ from pyspark.sql import functions as F
 from admesh.functions.columns import ratio
 from admesh.storage import RunFolder
 
-# A prime, so ids that share a factor or a power of ten still spread.
-SLOTS = 4093
 PAGE = 4096
 POPULAR = 1_000_000
+SLOTS = 4096
 
 
 def interactions(purchases: DataFrame) -> DataFrame:
@@ -17,21 +21,50 @@ def interactions(purchases: DataFrame) -> DataFrame:
     return purchases.select("user_id", "item_id", F.trunc("day", "month").alias("month")).distinct()
 
 
+def incidence(purchases: DataFrame, run: RunFolder) -> DataFrame:
+    """``id, item_id, month, others`` of buckets with several buyers; ``others`` counts a user's co-buyers.
+
+    Both join sides are scans of written tables, so a bucket that holds a large
+    part of the rows is split like any skewed join.
+    """
+    bought = run.write(interactions(purchases).withColumnRenamed("user_id", "id"), "interactions")
+    sizes = run.write(
+        bought.groupBy("item_id", "month").agg((F.count(F.lit(1)) - 1).alias("others")).filter("others > 0"), "buckets")
+    return bought.join(sizes, ["item_id", "month"]).select("id", "item_id", "month", "others")
+
+
+def degrees(incidence: DataFrame) -> DataFrame:
+    """``id, degree`` of every user with a co-buyer; a pair counts once per shared bucket."""
+    return incidence.groupBy("id").agg(F.sum("others").alias("degree"))
+
+
+def degree_centrality(users: DataFrame, degrees: DataFrame) -> DataFrame:
+    """``id, degree, centrality`` of every user; centrality is ``degree / (n - 1)``."""
+    others = users.agg(F.count(F.lit(1)) - 1).scalar()
+    degree = F.coalesce("degree", F.lit(0).cast("bigint"))
+    return (
+        users.join(degrees, "id", "left")
+        .select("id", degree.alias("degree"),
+                F.coalesce(ratio(degree, others), F.lit(0.0)).alias("centrality"))
+    )
+
+
 def edges(purchases: DataFrame, run: RunFolder, popular: int = POPULAR) -> DataFrame:
-    """Undirected edges between consecutive buyers of an item in a month.
+    """Undirected edges between consecutive buyers of an item in a month: a listing, not all co-buyers.
 
-    The buyers of an item in a month are ordered by first day, then ``id mod
-    SLOTS``, then id; each is linked to the next. Weight counts the (item,
-    month) pairs in which two users are linked. The edge count stays below the
-    row count of ``purchases`` however popular an item is.
+    The buyers of an item in a month are ordered by first day, then id; each is
+    linked to the next. Weight counts the (item, month) pairs in which two users
+    are linked. The edge count stays below the row count of ``purchases``
+    however popular an item is.
 
     An item with at most ``popular`` purchases is small enough to place each of
     its months whole, so one shuffle serves both the grouping and the window. A
     popular item's repeated purchases are folded on the map side and its buyers
-    ordered within (item, day, slot); only the ends of these runs, at most
-    2 * 31 * SLOTS per item and month, are then ordered across slots and days.
+    ordered within (item, day, slot), a slot being a range of ids; only the ends
+    of these runs, at most 2 * 31 * SLOTS per item and month, are then ordered
+    across slots and days.
     """
-    by_month = Window.partitionBy("item_id", "month").orderBy("day", "slot", "user_id")
+    by_month = Window.partitionBy("item_id", "month").orderBy("day", "user_id")
     by_slot = Window.partitionBy("item_id", "day", "slot").orderBy("user_id")
     buyer_before = F.lag("user_id")
 
@@ -39,6 +72,8 @@ def edges(purchases: DataFrame, run: RunFolder, popular: int = POPULAR) -> DataF
     popular_items = run.write(
         purchases.groupBy("item_id").count().filter(F.col("count") > popular).select("item_id"), "popular_items")
     bought = purchases.select("item_id", F.trunc("day", "month").alias("month"), "day", "user_id")
+    low, high = (bought.agg(f("user_id")).scalar() for f in (F.min, F.max))
+    slot = F.floor((F.col("user_id").cast("double") - low) / (high.cast("double") - low + 1) * SLOTS)
 
     ordinary = (
         _buyers(bought.join(popular_items, "item_id", "left_anti").repartition("item_id", "month"))
@@ -47,6 +82,7 @@ def edges(purchases: DataFrame, run: RunFolder, popular: int = POPULAR) -> DataF
     runs = (
         # Without the month, which the day gives back, so both uses share one shuffle.
         _buyers(bought.join(popular_items, "item_id", "left_semi")).drop("month")
+        .withColumn("slot", slot)
         .withColumn("before", buyer_before.over(by_slot))
         .withColumn("after", F.lead("user_id").over(by_slot))
     )
@@ -70,11 +106,8 @@ def edges(purchases: DataFrame, run: RunFolder, popular: int = POPULAR) -> DataF
 
 
 def _buyers(bought: DataFrame) -> DataFrame:
-    """Each buyer of an item in a month once, with the first day and a slot."""
-    return (
-        bought.groupBy("item_id", "month", "user_id").agg(F.min("day").alias("day"))
-        .withColumn("slot", F.pmod("user_id", F.lit(SLOTS)))
-    )
+    """Each buyer of an item in a month once, with the first day."""
+    return bought.groupBy("item_id", "month", "user_id").agg(F.min("day").alias("day"))
 
 
 def symmetric(edges: DataFrame) -> DataFrame:
@@ -84,40 +117,28 @@ def symmetric(edges: DataFrame) -> DataFrame:
     return edges.select(F.inline(F.array(F.struct("src", "dst", *more), back)))
 
 
-def degrees(edges: DataFrame) -> DataFrame:
-    """``id, degree`` of every user with an edge."""
-    return (
-        edges.select(F.explode(F.array("src", "dst")).alias("id"))
-        .groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
-    )
-
-
 def neighbours(edges: DataFrame, run: RunFolder, page_size: int = PAGE) -> DataFrame:
     """Sorted neighbour lists: ``id, page, neighbours``.
 
-    A user with at most ``page_size`` neighbours has one row, page 0. A larger
-    list is split by neighbour id, so that no row holds more than ``page_size``
-    ids and no task has to gather a whole hub.
+    A list is cut by position into pages of ``page_size`` neighbours, so page 0
+    always exists and every page but the last is full. Only a hub's links need
+    their positions worked out: links are counted per range of ids, the counts
+    summed up, and positions numbered within the ranges, so no task orders a
+    whole hub unless its ids are sparse, and then only their counts.
     """
+    links = symmetric(edges.select("src", "dst"))
     hubs = run.write(
-        degrees(edges).filter(F.col("degree") > page_size).select(F.col("id").alias("hub")), "hubs")
-    page = F.when(F.col("hub").isNotNull(), F.expr(f"(dst - pmod(dst, {page_size})) div {page_size}"))
+        links.groupBy("src").agg(F.count(F.lit(1)).alias("degree")).filter(F.col("degree") > page_size).select("src"),
+        "hubs")
+    many = links.join(hubs, "src", "left_semi").withColumn("range", F.expr(f"(dst - pmod(dst, {page_size})) div {page_size}"))
+    ahead = Window.partitionBy("src").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = many.groupBy("src", "range").agg(F.count(F.lit(1)).alias("n"))
+    offsets = counts.select("src", "range", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("offset"))
+    within = F.row_number().over(Window.partitionBy("src", "range").orderBy("dst")) - 1
+    paged = many.withColumn("within", within).join(offsets, ["src", "range"]).select(
+        "src", F.floor((F.col("offset") + F.col("within")) / page_size).cast("bigint").alias("page"), "dst")
+    ordinary = links.join(hubs, "src", "left_anti").select("src", F.lit(0).cast("bigint").alias("page"), "dst")
     return (
-        symmetric(edges.select("src", "dst")).join(hubs, F.col("src") == F.col("hub"), "left")
-        .select(F.col("src").alias("id"), page.otherwise(F.lit(0).cast("bigint")).alias("page"), "dst")
-        # The join need not keep a hub together, so it may split a skewed one.
-        .repartition("id", "page")
-        .groupBy("id", "page")
+        ordinary.unionByName(paged).groupBy(F.col("src").alias("id"), "page")
         .agg(F.sort_array(F.collect_list("dst")).alias("neighbours"))
     )
-
-
-def degree_centrality(users: DataFrame, edges: DataFrame) -> DataFrame:
-    """``id, degree, centrality`` of every user; centrality is ``degree / (n - 1)``."""
-    others = users.agg(F.count(F.lit(1)) - 1).scalar()
-    degree = F.coalesce("degree", F.lit(0).cast("bigint"))
-    return (
-        users.join(degrees(edges), "id", "left")
-        .select("id", degree.alias("degree"),
-                F.coalesce(ratio(degree, others), F.lit(0.0)).alias("centrality"))
-    )

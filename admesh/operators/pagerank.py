@@ -1,73 +1,40 @@
-"""PageRank over the user graph."""
+"""PageRank over all co-buyers, by way of their buckets."""
 
-import math
-
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from admesh.operators.graph import degrees, symmetric
+from admesh.functions.columns import exact_sum
 from admesh.storage import RunFolder
 
-# A user's links are spread over one task per this many.
-HUB = 100_000
-LINKS_PER_PARTITION = 4_000_000
-
 
-def pagerank(users: DataFrame, edges: DataFrame, run: RunFolder, rounds: int = 10, damping: float = 0.85,
-             rounds_per_write: int = 5, hub: int = HUB) -> DataFrame:
+def pagerank(users: DataFrame, incidence: DataFrame, run: RunFolder, rounds: int = 10, damping: float = 0.85) -> DataFrame:
     """``id, pagerank`` of every user after a fixed number of rounds.
 
-    Every round each user's rank becomes ``1 - damping + damping * sum(rank /
-    degree)`` over the neighbours, starting from 1. The links are partitioned
-    by source once and stay so for all rounds; a round moves only the ranks and
-    the map-side summed contributions. A hub's links are salted over several
-    partitions and its rank is copied to each. Ranks are written out every
-    ``rounds_per_write`` rounds, which bounds both plan and lineage.
+    Every round each user's rank becomes ``1 - damping + damping * sum(rank *
+    weight / degree)`` over the co-buyers, starting from 1; weight counts shared
+    buckets. A round sums the users' shares per bucket and the buckets per user,
+    less the user's own share in each, so it moves one row per purchase at most.
+    Shares are summed as decimals and do not depend on the order of rows. What a
+    round joins is written or a plain scan, so that a hot bucket or user is
+    split by the skew join; the writes also bound plan and lineage.
     """
-    ranks = run.write(degrees(edges).withColumn("pagerank", F.lit(1.0)), "ranks")
-    hubs = run.write(
-        ranks.filter(F.col("degree") > hub).select("id", _salts(F.col("degree"), hub).alias("salts")), "hubs")
-    links = _partitioned_links(edges, hubs).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for done in range(1, rounds + 1):
-            ranks = _round(links, ranks, damping, hub)
-            if done % rounds_per_write == 0 or done == rounds:
-                ranks = run.write(ranks, "ranks")
-    finally:
-        links.unpersist()
+    placed = run.write(incidence.select("id", "item_id", "month"), "placed")
+    ranks = run.write(
+        incidence.groupBy("id").agg(F.sum("others").alias("degree"), F.count(F.lit(1)).alias("buckets"))
+        .withColumn("pagerank", F.lit(1.0)), "ranks")
+    for _ in range(rounds):
+        share = (F.col("pagerank") / F.col("degree")).alias("share")
+        sums = run.write(
+            placed.join(ranks.select("id", share), "id").groupBy("item_id", "month")
+            .agg(exact_sum(F.col("share")).alias("whole")), "sums")
+        received = placed.join(sums, ["item_id", "month"]).groupBy("id").agg(exact_sum(F.col("whole")).alias("all"))
+        own = F.col("buckets") * F.col("pagerank") / F.col("degree")
+        ranks = run.write(
+            ranks.join(received, "id")
+            .select("id", "degree", "buckets", (F.lit(1.0 - damping) + damping * (F.col("all") - own)).alias("pagerank")),
+            "ranks")
     alone = 1.0 if rounds == 0 else 1.0 - damping
     return (
-        users.join(ranks, "id", "left")
+        users.join(ranks.select("id", "pagerank"), "id", "left")
         .select("id", F.coalesce("pagerank", F.lit(alone)).alias("pagerank"))
     )
-
-
-def _salts(degree, hub: int):
-    return F.ceil(degree / hub).cast("int")
-
-
-def _partitioned_links(edges: DataFrame, hubs: DataFrame) -> DataFrame:
-    """``src, salt, dst`` in both directions, placed and sorted by source and salt."""
-    salt = F.coalesce(F.pmod(F.col("dst"), F.col("salts")), F.lit(0)).cast("int")
-    cores = edges.sparkSession.sparkContext.defaultParallelism
-    partitions = max(cores, math.ceil(2 * edges.count() / LINKS_PER_PARTITION))
-    return (
-        symmetric(edges.select("src", "dst")).join(hubs, F.col("src") == F.col("id"), "left")
-        .select("src", salt.alias("salt"), "dst")
-        .repartition(partitions, "src", "salt")
-        .sortWithinPartitions("src", "salt")
-    )
-
-
-def _round(links: DataFrame, ranks: DataFrame, damping: float, hub: int) -> DataFrame:
-    """One round. The graph is symmetric, so counting a user's incoming links gives its degree."""
-    salts = F.sequence(F.lit(0), _salts(F.col("degree"), hub) - 1)
-    shares = ranks.select(F.col("id").alias("src"), F.explode(salts).alias("salt"),
-                          (F.col("pagerank") / F.col("degree")).alias("share"))
-    return (
-        links.join(shares, ["src", "salt"])
-        .groupBy(F.col("dst").alias("id"))
-        .agg(F.count(F.lit(1)).alias("degree"),
-             (F.lit(1.0 - damping) + damping * F.sum("share")).alias("pagerank"))
-    )

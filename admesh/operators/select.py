@@ -1,18 +1,19 @@
 """From scores to the users to show an ad to."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from admesh.functions.columns import utility_score
+from admesh.functions.columns import exact_sum, utility_score
+from admesh.storage import RunFolder
 
-# Spark trims a rank filter before the shuffle up to this many rows per group.
-TRIMMED_BEFORE_SHUFFLE = 1000
 SALTS = 512
 
 
-def utility(affinity: DataFrame, centrality: DataFrame) -> DataFrame:
-    """Join scores on ``id`` and add ``utility``; keeps the other affinity columns."""
-    largest = centrality.agg(F.max("centrality")).scalar()
+def utility(affinity: DataFrame, centrality: DataFrame, largest: Column) -> DataFrame:
+    """Join scores on ``id`` and add ``utility``; keeps the other affinity columns.
+
+    ``largest`` is the greatest centrality of all users.
+    """
     return (
         affinity.join(centrality.select("id", "centrality"), "id")
         .withColumn("utility", utility_score(F.coalesce("affinity", F.lit(0.0)), F.col("centrality"), largest))
@@ -27,7 +28,8 @@ def top_users(scores: DataFrame, k: int) -> DataFrame:
 def top_users_per_ad(scores: DataFrame, k: int) -> DataFrame:
     """The k best users of every ad with their ``rank``."""
     best_first = [F.desc("utility"), F.asc("id")]
-    if k > TRIMMED_BEFORE_SHUFFLE:
+    trimmed = scores.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+    if k > int(trimmed):
         # Beyond the built-in trimming, rank within salted parts of an ad first:
         # the k best of an ad are among the k best of its parts.
         part = Window.partitionBy("ad", F.pmod(F.xxhash64("id"), F.lit(SALTS))).orderBy(*best_first)
@@ -39,30 +41,31 @@ def top_users_per_ad(scores: DataFrame, k: int) -> DataFrame:
     )
 
 
-def non_adjacent(scores: DataFrame, links: DataFrame) -> DataFrame:
-    """Users ahead of all their scored neighbours, so no two picks are adjacent.
+def non_adjacent(scores: DataFrame, incidence: DataFrame, run: RunFolder) -> DataFrame:
+    """Users ahead of all the scored users who share a bucket with them, so no two picks are adjacent.
 
-    A user is compared with the best neighbour only, which a map-side maximum
-    finds without ever listing a hub's neighbours.
+    A user must be the best of every bucket it is in. A map-side maximum finds a
+    bucket's best, so its buyers are never compared in pairs. Scores are written
+    because they are used twice; the buckets' best because a scan on either side
+    lets the skew join split a hot bucket.
     """
     # Compares like the selection: higher utility, then lower id.
     standing = F.struct("utility", (-F.col("id")).alias("minus_id"))
-    rivals = scores.select(F.col("id").alias("dst"), standing.alias("rival"))
-    best = links.join(rivals, "dst").groupBy(F.col("src").alias("id")).agg(F.max("rival").alias("rival"))
-    return (
-        scores.join(best, "id", "left")
-        .filter(F.col("rival").isNull() | (standing > F.col("rival")))
-        .drop("rival")
-    )
+    scores = run.write(scores, "scores")
+    placed = run.write(
+        incidence.select("id", "item_id", "month").join(scores.select("id", standing.alias("standing")), "id"), "placed")
+    best = run.write(placed.groupBy("item_id", "month").agg(F.max("standing").alias("best")), "best")
+    beaten = placed.join(best, ["item_id", "month"]).filter("standing < best").select("id").distinct()
+    return scores.join(beaten, "id", "left_anti")
 
 
-def reach(picks: DataFrame, links: DataFrame) -> DataFrame:
-    """One row, ``reach``: how many unpicked users are adjacent to a pick."""
+def reach(picks: DataFrame, incidence: DataFrame) -> DataFrame:
+    """One row, ``reach``: how many unpicked users share a bucket with a pick."""
     picked = picks.select("id")
+    buckets = incidence.join(picked, "id", "left_semi").select("item_id", "month").distinct()
     return (
-        links.join(picked, F.col("src") == F.col("id"), "left_semi")
-        .select("dst").distinct()
-        .join(picked, F.col("dst") == F.col("id"), "left_anti")
+        incidence.join(buckets, ["item_id", "month"], "left_semi")
+        .select("id").distinct().join(picked, "id", "left_anti")
         .agg(F.count(F.lit(1)).alias("reach"))
     )
 
@@ -71,5 +74,5 @@ def ad_summary(scores: DataFrame) -> DataFrame:
     """Users, mean and largest utility of every ad."""
     return scores.groupBy("ad").agg(
         F.count(F.lit(1)).alias("users"),
-        F.round(F.avg("utility"), 6).alias("mean_utility"),
+        F.round(exact_sum(F.col("utility")) / F.count("utility"), 6).alias("mean_utility"),
         F.max("utility").alias("max_utility"))

@@ -1,11 +1,11 @@
 """Vertex records as tables.
 
-A user's record is one row, except that a hub's neighbour list continues on
-further rows with the same scores and another ``page``. NULL means "not
-computed"; 0.0 and the empty array mean "computed, none".
+A user's record is one row, page 0, whose neighbour list continues on further
+rows with the same scores and the next ``page`` once it is longer than a page.
+NULL means "not computed"; 0.0 and the empty array mean "computed, none".
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,20 +28,19 @@ def unscored(users: DataFrame) -> DataFrame:
     return users.select("id", F.lit(0).cast("bigint").alias("page"), *empty)
 
 
-def scored(users: DataFrame, affinity: DataFrame, centrality: DataFrame, neighbours: DataFrame) -> DataFrame:
-    """Vertices with all attributes. Isolated users get an empty neighbour list."""
-    largest = centrality.agg(F.max("centrality")).scalar()
+def scored(scores: DataFrame, neighbours: DataFrame, largest: Column) -> DataFrame:
+    """Vertices with all attributes from ``id, affinity, centrality`` and neighbour lists.
+
+    ``largest`` is the greatest centrality. Users without a list get an empty
+    one. Pass tables rather than queries: both are read twice, and a join of two
+    scans lets the skew join split a hub's pages.
+    """
+    utility = utility_score(F.coalesce("affinity", F.lit(0.0)), F.col("centrality"), largest)
+    alone = scores.join(neighbours.filter(F.col("page") == 0), "id", "left_anti").select(
+        "*", F.lit(0).cast("bigint").alias("page"), F.array().cast("array<bigint>").alias("neighbours"))
     return (
-        users.join(affinity.select("id", "affinity"), "id", "left")
-        .join(centrality.select("id", "centrality"), "id", "left")
-        .join(neighbours, "id", "left")
-        .select(
-            "id",
-            F.coalesce("page", F.lit(0).cast("bigint")).alias("page"),
-            "affinity",
-            "centrality",
-            utility_score(F.coalesce("affinity", F.lit(0.0)), F.col("centrality"), largest).alias("utility"),
-            F.coalesce("neighbours", F.array().cast("array<bigint>")).alias("neighbours"))
+        neighbours.join(scores, "id").unionByName(alone)
+        .select("id", "page", "affinity", "centrality", utility.alias("utility"), "neighbours")
     )
 
 
@@ -49,22 +48,21 @@ def read(vertices: DataFrame, attribute: str) -> DataFrame:
     """One attribute per user; neighbours come as one row per neighbour."""
     if attribute == "neighbours":
         return vertices.select("id", F.explode("neighbours").alias("neighbour"))
-    # Distinct folds a hub's pages and lets the optimizer drop joins that only
-    # feed other attributes.
-    return vertices.select(*dict.fromkeys(["id", attribute])).distinct()
+    return vertices.filter(F.col("page") == 0).select(*dict.fromkeys(["id", attribute]))
 
 
 def replace(vertices: DataFrame, updates: DataFrame, attribute: str) -> DataFrame:
     """Overwrite one attribute from ``updates``, NULL values included.
 
     Score updates hold one row per id. Neighbour updates hold a user's whole
-    new list as ``id, page, neighbours``. Ids without an update keep the old value.
+    new list as ``id, page, neighbours`` from page 0 on; they are read twice, so
+    pass a table rather than a query. Ids without an update keep the old value.
     """
     if attribute == "neighbours":
-        kept = vertices.join(updates, "id", "left_anti")
-        heads = vertices.select("id", *SCORES).distinct()
+        kept = vertices.join(updates.filter(F.col("page") == 0), "id", "left_anti")
+        heads = vertices.filter(F.col("page") == 0).select("id", *SCORES)
         return kept.unionByName(heads.join(updates.select("id", "page", "neighbours"), "id"))
-    changed = updates.select("id", F.col(attribute).alias("new"), F.lit(True).alias("hit"))
+    changed = updates_with_hit(updates, attribute)
     return (
         vertices.join(changed, "id", "left")
         .withColumn(attribute, F.when(F.col("hit"), F.col("new")).otherwise(F.col(attribute)))
@@ -73,9 +71,17 @@ def replace(vertices: DataFrame, updates: DataFrame, attribute: str) -> DataFram
 
 
 def replace_id(vertices: DataFrame, new_ids: DataFrame) -> DataFrame:
-    """Re-key vertices from ``id, new_id``. Other users' neighbour lists keep the old id."""
-    return (
-        vertices.join(new_ids.select("id", "new_id"), "id", "left")
-        .withColumn("id", F.coalesce("new_id", "id"))
-        .drop("new_id")
-    )
+    """Re-key vertices from ``id, new_id``. Other users' neighbour lists keep the old id.
+
+    An id is a key, so a NULL ``new_id`` is an error, raised when the rows are
+    read. Two vertices given the same id are two rows with that id, as two
+    records would be.
+    """
+    given = updates_with_hit(new_ids, "new_id")
+    key = F.when(F.col("hit"), F.coalesce("new", F.raise_error("a new id is NULL").cast("bigint")))
+    return vertices.join(given, "id", "left").withColumn("id", key.otherwise(F.col("id"))).drop("new", "hit")
+
+
+def updates_with_hit(updates: DataFrame, column: str) -> DataFrame:
+    """``id, new, hit``; ``hit`` tells a NULL update from none."""
+    return updates.select("id", F.col(column).alias("new"), F.lit(True).alias("hit"))

@@ -2,7 +2,7 @@
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from admesh.operators import affinity, graph, select, vertex
@@ -14,10 +14,10 @@ from admesh.storage import RunFolder
 class Audience:
     """Queries over the tables of ``folder``.
 
-    Purchases and edges feed several branches of most queries, so they are
-    written once to the run's folder and scanned from there, also by later
-    queries of the same object. ``close`` deletes them once the results are
-    stored elsewhere.
+    A table that several branches or queries read is written once to the run's
+    folder, when the first query that needs it is built, and scanned from there.
+    A query that reads the purchases once scans the sources instead. ``close``
+    deletes the written tables once the results are stored elsewhere.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -42,43 +42,61 @@ class Audience:
 
     @cached_property
     def purchases(self) -> DataFrame:
+        """Written, for queries that use both spend and graph."""
         return self.run.write(facts.purchases(self.spark, self.folder), "purchases")
 
+    def _purchases_once(self) -> DataFrame:
+        """The written purchases if there are any, else the sources."""
+        return self.__dict__.get("purchases") or facts.purchases(self.spark, self.folder)
+
+    @cached_property
+    def incidence(self) -> DataFrame:
+        return graph.incidence(self._purchases_once(), self.run)
+
+    @cached_property
+    def degrees(self) -> DataFrame:
+        """Written: read for the scores and for their maximum."""
+        return self.run.write(graph.degrees(self.incidence), "degrees")
+
     @cached_property
     def edges(self) -> DataFrame:
-        return self.run.write(graph.edges(self.purchases, self.run), "edges")
+        # Read for ordinary, popular and id ranges, so the purchases are written.
+        return graph.edges(self.purchases, self.run)
 
     @cached_property
-    def links(self) -> DataFrame:
-        """Both directions of every edge, without weights."""
-        return graph.symmetric(self.edges.select("src", "dst"))
+    def neighbours(self) -> DataFrame:
+        edges = self.run.write(self.edges, "edges")  # read for the hubs and for the lists
+        return self.run.write(graph.neighbours(edges, self.run), "neighbours")
 
-    def interactions(self) -> DataFrame:
-        return graph.interactions(facts.purchases(self.spark, self.folder))
+    @cached_property
+    def pagerank(self) -> DataFrame:
+        """Written: read for the scores and for their maximum."""
+        return self.run.write(pagerank(self.users, self.incidence, self.run), "pagerank")
 
-    def neighbours(self, page_size: int = graph.PAGE) -> DataFrame:
-        return graph.neighbours(self.edges, self.run, page_size)
+    def interactions(self) -> DataFrame:
+        return graph.interactions(self._purchases_once())
 
     def degree_centrality(self) -> DataFrame:
-        return graph.degree_centrality(self.users, self.edges)
+        return graph.degree_centrality(self.users, self.degrees)
 
-    def pagerank(self, rounds: int = 10) -> DataFrame:
-        return pagerank(self.users, self.edges, self.run, rounds)
-
-    def centrality(self, measure: str = "degree") -> DataFrame:
-        """``id, centrality`` by ``degree`` or ``pagerank``."""
+    def centrality(self, measure: str = "degree") -> tuple[DataFrame, Column]:
+        """``id, centrality`` by ``degree`` or ``pagerank``, and the greatest centrality."""
         if measure == "pagerank":
-            return self.pagerank().withColumnRenamed("pagerank", "centrality")
-        return self.degree_centrality().select("id", "centrality")
-
-    def _spend_affinity(self, ad: str) -> DataFrame:
+            return (self.pagerank.withColumnRenamed("pagerank", "centrality"),
+                    self.pagerank.agg(F.max("pagerank")).scalar())
+        others = self.users.agg(F.count(F.lit(1)) - 1).scalar()
+        greatest = self.degrees.agg(F.max("degree")).scalar()
+        return (self.degree_centrality().select("id", "centrality"),
+                F.coalesce(graph.ratio(greatest, others), F.lit(0.0)))
+
+    def _spend_affinity(self, ad: str, purchases: DataFrame) -> DataFrame:
         # Written, so that the join with all purchases is planned on its real size.
         items_of_ad = self.run.write(self.items.filter(F.col("ad") == ad).select("item_id"), "items_of_ad")
-        return affinity.spend_affinity(self.purchases, items_of_ad)
+        return affinity.spend_affinity(purchases, items_of_ad)
 
     def affinity_spend(self, ad: str) -> DataFrame:
         """Spend affinity of every user, NULL without purchases."""
-        known = self._spend_affinity(ad)
+        known = self._spend_affinity(ad, self._purchases_once())
         return self.users.join(known.select("id", "affinity"), "id", "left")
 
     def affinity_events(self) -> DataFrame:
@@ -86,12 +104,13 @@ class Audience:
 
     def utility(self, measure: str = "degree") -> DataFrame:
         """Score of every (ad, user) pair with a purchase of the ad's items."""
-        return select.utility(affinity.spend_affinity_all_ads(self.purchases, self.items), self.centrality(measure))
+        spend = affinity.spend_affinity_all_ads(self.purchases, self.items)
+        return select.utility(spend, *self.centrality(measure))
 
     def candidates(self, ad: str, measure: str = "degree") -> DataFrame:
         """Scores of the users who bought one ad's items."""
-        buyers = self._spend_affinity(ad).filter(F.col("bought") > 0).drop("bought")
-        return select.utility(buyers, self.centrality(measure))
+        buyers = self._spend_affinity(ad, self.purchases).filter(F.col("bought") > 0).drop("bought")
+        return select.utility(buyers, *self.centrality(measure))
 
     def select_users(self, ad: str, k: int = 20, measure: str = "degree") -> DataFrame:
         """The k users to show one ad to."""
@@ -102,15 +121,16 @@ class Audience:
         return select.top_users_per_ad(self.utility(), k)
 
     def select_non_adjacent(self, ad: str) -> DataFrame:
-        return select.non_adjacent(self.candidates(ad), self.links)
+        return select.non_adjacent(self.candidates(ad), self.incidence, self.run)
 
     def audience_reach(self, ad: str, k: int = 20) -> DataFrame:
         # Written: k rows that are joined twice.
         picks = self.run.write(self.select_users(ad, k), "picks")
-        return select.reach(picks, self.links)
+        return select.reach(picks, self.incidence)
 
     def neighbour_affinity(self, ad: str) -> DataFrame:
-        return affinity.neighbour_affinity(self.links, self.affinity_spend(ad))
+        known = self._spend_affinity(ad, self.purchases)
+        return affinity.neighbour_affinity(self.incidence, known, self.run)
 
     def ad_summary(self) -> DataFrame:
         return select.ad_summary(self.utility())
@@ -119,4 +139,12 @@ class Audience:
         return vertex.unscored(self.users)
 
     def vertex_table(self, ad: str) -> DataFrame:
-        return vertex.scored(self.users, self.affinity_spend(ad), self.degree_centrality(), self.neighbours())
+        others = self.users.agg(F.count(F.lit(1)) - 1).scalar()
+        _, greatest = self.centrality()
+        scores = (
+            self.users.join(self._spend_affinity(ad, self.purchases).select("id", "affinity"), "id", "left")
+            .join(self.degrees, "id", "left")
+            .select("id", "affinity",
+                    F.coalesce(graph.ratio(F.coalesce("degree", F.lit(0)), others), F.lit(0.0)).alias("centrality"))
+        )
+        return vertex.scored(self.run.write(scores, "scores"), self.neighbours, greatest)

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from admesh.functions.columns import sale_units
+from admesh.functions.columns import sale_value
 from admesh.sources.tables import table
 
 
@@ -19,30 +19,32 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def purchases(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order line: ``user_id, item_id, day, units`` (money spent)."""
+    """One row per order line of a known user: ``user_id, item_id, day, spent``."""
     lines = (
         table(spark, folder, "lineitem")
         .filter(F.col("l_partkey").isNotNull())
         .select("l_orderkey", F.col("l_partkey").alias("item_id"),
-                sale_units(F.col("l_extendedprice"), F.col("l_discount")).alias("units"))
+                sale_value(F.col("l_extendedprice"), F.col("l_discount")).alias("spent"))
     )
     orders = (
         table(spark, folder, "orders")
         .filter(F.col("o_custkey").isNotNull() & F.col("o_orderdate").isNotNull())
         .select("o_orderkey", F.col("o_custkey").alias("user_id"),
                 F.col("o_orderdate").cast("date").alias("day"))
+        .join(users(spark, folder), F.col("user_id") == F.col("id"), "left_semi")
     )
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select("user_id", "item_id", "day", "units")
+        .select("user_id", "item_id", "day", "spent")
     )
 
 
 def exposures(spark: SparkSession, folder: str) -> DataFrame:
-    """Ad events: ``user_id, ad, event_type``; the ad is the number in the event's JSON."""
+    """Ad events: ``user_id, ad, event_type``; the ad is the whole number in the event's JSON."""
+    number = F.get_json_object("props", "$.k")
     return (
         table(spark, folder, "events")
         .filter(F.col("user_id").isNotNull())
-        .select("user_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("ad"), "event_type")
+        .select("user_id", F.when(number.rlike("^-?[0-9]+$"), number.try_cast("bigint")).alias("ad"), "event_type")
         .filter(F.col("ad").isNotNull())
     )

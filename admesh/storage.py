@@ -14,11 +14,19 @@ _local_folder: tempfile.TemporaryDirectory | None = None
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a temporary folder only in local mode."""
+    """The session's ``spark.checkpoint.dir``; a temporary folder only in local mode.
+
+    On a cluster of several machines the folder must name a shared store, so a
+    path without a scheme or with ``file:`` is refused there. The ``local`` and
+    ``local-cluster`` masters run on one machine and may use either.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
+    one_machine = spark.sparkContext.master.startswith("local")
+    if folder and (one_machine or ("://" in folder and not folder.startswith("file:"))):
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if folder:
+        raise ValueError(f"spark.checkpoint.dir is {folder}, which other machines do not see; name a shared store")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     global _local_folder
     if _local_folder is None:
@@ -27,20 +35,33 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class RunFolder:
-    """A folder of its own for the tables of one run."""
+    """A folder of its own for the tables of one run, deleted at the latest when the JVM ends.
+
+    Spark has no public call that deletes files, so this uses the Hadoop file
+    system of a classic session. Over Spark Connect the folder stays until it is
+    deleted by other means.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{shared_folder(spark)}/admesh-{uuid.uuid4().hex}"
         self._numbers = itertools.count()
 
+    def _files(self):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` as a new table of this run and return a scan of it."""
-        path = f"{self.path}/{name}-{next(self._numbers)}"
+        number = next(self._numbers)
+        path = f"{self.path}/{name}-{number}"
         df.write.parquet(path)
+        if number == 0 and hasattr(self.spark, "_jvm"):
+            files, folder = self._files()
+            files.deleteOnExit(folder)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self) -> None:
         """Delete this run's tables. DataFrames that scan them stop working."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        files, path = self._files()
+        files.delete(path, True)

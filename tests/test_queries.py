@@ -55,3 +55,31 @@ def test_scans_read_only_what_they_need(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_extendedprice:double,l_discount:double>" in purchases
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz>" in purchases
     assert "EqualTo(p_brand,Brand#2)" in plan(facts.items(spark, FOLDER).filter("ad = 'Brand#2'"))
+
+
+def joins_without_a_shuffle(text):
+    """Sort-merge joins of the plan with a side that is not shuffled right below."""
+    lines = [line.replace("*(", "  ").replace("+- ", "   ").replace(":- ", "   ") for line in text.splitlines()]
+    depth = [len(line) - len(line.lstrip(" :0123456789)")) for line in lines]
+    bad = []
+    for i, line in enumerate(lines):
+        if "SortMergeJoin" not in line:
+            continue
+        sides = [j for j in range(i + 1, len(lines)) if depth[j] > depth[i]]
+        end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+        near = min(depth[j] for j in sides if j < end)
+        for j in (j for j in sides if j < end and depth[j] == near):
+            below = [lines[x] for x in range(j, min(j + 3, end))]
+            if not any("Exchange" in x for x in below):
+                bad.append(line.strip()[:120])
+    return bad
+
+
+@pytest.mark.parametrize("name", ["neighbour_affinity", "select_non_adjacent", "vertex_table"])
+def test_joins_shuffle_both_sides_so_that_skew_is_split(spark, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(entry.queries()[name](spark, FOLDER))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in text and joins_without_a_shuffle(text) == []

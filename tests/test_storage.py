@@ -1,3 +1,5 @@
+import subprocess
+import sys
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -5,6 +7,8 @@ import pytest
 
 from admesh import storage
 
+ROOT = Path(__file__).resolve().parent.parent
+
 
 def session(master, folder=None):
     conf = SimpleNamespace(get=lambda key, default: folder or default)
@@ -20,6 +24,18 @@ def test_no_machine_local_folder_on_a_cluster():
         storage.shared_folder(session("yarn"))
 
 
+@pytest.mark.parametrize("folder", ["file:///tmp/x", "/tmp/x", "file:/tmp/x"])
+def test_a_folder_of_one_machine_is_refused_on_a_cluster(folder):
+    with pytest.raises(ValueError, match="shared store"):
+        storage.shared_folder(session("yarn", folder))
+    assert storage.shared_folder(session("local-cluster[3,2,1000]", folder)) == folder
+
+
+def test_a_cluster_on_one_machine_needs_the_setting_too():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.shared_folder(session("local-cluster[3,2,1000]"))
+
+
 def test_local_mode_falls_back_to_a_temporary_folder():
     assert storage.shared_folder(session("local[2]")) == storage.shared_folder(session("local[2]"))
 
@@ -37,3 +53,16 @@ def test_remove_deletes_the_run_only(spark, run):
     run.remove()
     assert not Path(run.path).exists()
     assert kept.count() == 2
+
+
+def test_nothing_is_left_when_the_session_ends(tmp_path):
+    code = f"""
+from admesh.session import local_session
+from admesh.storage import RunFolder
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.config("spark.checkpoint.dir", "file://{tmp_path}/shared").getOrCreate()
+print(RunFolder(spark).write(spark.range(5), "numbers").count())
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=ROOT, timeout=120)
+    assert done.stdout.strip() == "5", done.stderr
+    assert list((tmp_path / "shared").glob("admesh-*")) == []

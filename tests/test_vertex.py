@@ -55,22 +55,19 @@ def test_read_gives_one_row_per_user_or_neighbour(vertices):
     assert records(vertex.read(vertices, "neighbours")) == [(1, 2), (1, 3), (2, 1), (2, 5000)]
 
 
+def test_a_null_new_id_is_an_error(vertices, table):
+    with pytest.raises(Exception, match="a new id is NULL"):
+        vertex.replace_id(vertices, table([(2, None)], "id bigint, new_id bigint")).collect()
+
+
 def test_scored_vertices_tell_unknown_from_none(table):
-    people = table([(1,), (2,), (3,)], "id bigint")
-    affinity = table([(1, 0.5), (2, None)], "id bigint, affinity double")
-    centrality = table([(1, 0.25), (2, 0.5), (3, 0.0)], "id bigint, centrality double")
+    scores = table([(1, 0.5, 0.25), (2, None, 0.5), (3, None, 0.0)], "id bigint, affinity double, centrality double")
     near = table([(1, 0, [2]), (2, 0, [1]), (2, 1, [9])], "id bigint, page bigint, neighbours array<bigint>")
-    assert records(vertex.scored(people, affinity, centrality, near)) == [
+    assert records(vertex.scored(scores, near, F.lit(0.5))) == [
         (1, 0, 0.5, 0.25, 0.25, [2]), (2, 0, None, 0.5, 0.0, [1]), (2, 1, None, 0.5, 0.0, [9]),
         (3, 0, None, 0.0, 0.0, [])]
 
 
-def test_reading_a_score_drops_joins_for_other_attributes(table):
-    people = table([(1,)], "id bigint")
-    full = vertex.scored(
-        people, table([(1, 0.5)], "id bigint, affinity double"),
-        table([(1, 0.25)], "id bigint, centrality double"),
-        table([(1, 0, [2])], "id bigint, page bigint, neighbours array<bigint>"))
-    plan = vertex.read(full, "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "Join" not in plan
-    assert vertex.read(full.withColumn("x", F.lit(1)), "affinity").first().affinity == 0.5
+def test_reading_an_attribute_needs_no_shuffle(vertices):
+    plan = vertex.read(vertices, "affinity")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
