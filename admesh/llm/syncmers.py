@@ -13,11 +13,12 @@ accidental matches add nothing.
 """
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -29,8 +30,8 @@ S = 6
 SIZE = 64
 SLACK = 64
 CHUNK = 500_000
-BUCKETS = 4096  # the most ranges of ids, whose bounds reach the driver
-BUCKET_ROWS = 50_000
+BUCKETS = 65_536  # the most ranges of ids, whose bounds reach the driver
+BUCKET_ROWS = 5_000
 
 PAIRED = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
           "near_edited double, near_next double")
@@ -116,6 +117,18 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fingerprint string")
 
 
+def _count_below(value: Column, edges: list[int]) -> Column:
+    """How many of the sorted ``edges`` are below the value, by way of every so-manieth edge."""
+    if not edges:
+        return F.lit(0)
+    step = math.isqrt(len(edges) - 1) + 1
+
+    def below(some):
+        return F.size(F.filter(some, lambda e: e < value))
+    coarse = F.greatest(below(F.lit(edges[::step])) - 1, F.lit(0)) * step
+    return coarse + below(F.slice(F.lit(edges), coarse + 1, F.lit(step)))
+
+
 def with_following(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """``doc_id, text, following``: each text with that of the next id, the last with the first's.
 
@@ -128,9 +141,8 @@ def with_following(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     steps = min(buckets, max(docs.sparkSession.sparkContext.defaultParallelism * 4, docs.count() // BUCKET_ROWS))
     shares = [i / steps for i in range(1, steps)]
     bounds = sorted(set(docs.approxQuantile("doc_id", shares, 0.5 / steps))) if shares else []
-    edges = F.lit([int(b) for b in bounds]) if bounds else F.array().cast("array<bigint>")
-    bucket = F.size(F.filter(edges, lambda b: b < F.col("doc_id")))
-    placed = docs.withColumn("bucket", F.when(F.col("doc_id").isNull(), -1).otherwise(bucket))
+    placed = docs.withColumn("bucket", F.when(F.col("doc_id").isNull(), -1).otherwise(
+        _count_below(F.col("doc_id"), [int(b) for b in bounds])))
     ranges = sorted((r.bucket, r.first) for r in placed.groupBy("bucket").agg(F.min("doc_id").alias("first")).collect())
     if not ranges:
         return docs.withColumn("following", F.lit(""))

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from admesh.llm import syncmers
 from admesh.llm.rolling import RangeHashes, mix
@@ -67,6 +68,13 @@ def test_every_document_gets_its_follower(table, buckets):
     assert got == {a: f"text {b}" for a, b in zip(ids, ids[1:] + ids[:1])}
 
 
+@pytest.mark.parametrize("edges", [[], [5], [1, 4, 9], list(range(0, 300, 7))])
+def test_values_are_ranked_among_the_edges(table, edges):
+    values = [-3, 0, 1, 4, 5, 6, 100, 293, 294, 295, 1000]
+    got = table([(v,) for v in values], "v bigint").select("v", syncmers._count_below(F.col("v"), edges).alias("n"))
+    assert {r.v: r.n for r in got.collect()} == {v: sum(e < v for e in edges) for v in values}
+
+
 def test_columns_match_a_plain_computation(spark):
     folder = "/root/testdata/sf0.001"
     rows = sorted((r.doc_id, r.text) for r in documents(spark, folder).collect())
