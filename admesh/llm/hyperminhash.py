@@ -14,8 +14,9 @@ it is six standard deviations off.
 
 Not all pairs of a group are needed to find its component. Equal sets collapse
 to one representative first. Then each member of a band is compared with the
-band's smallest id, the likeliest of these pairs per document first; only pairs
-that share a band and still lie in different components are compared further.
+band's smallest id, the likeliest of these pairs per document first, and with
+``TURNS`` further members as long as the band holds several components. At last
+all pairs of a band that still lie in different components are compared.
 """
 
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from admesh.llm.components import components
+from admesh.llm.components import components, roots
 from admesh.llm.rolling import RangeHashes, chunks, joined, mix, runs_of
 from admesh.llm.tables import table
 from admesh.storage import RunFolder
@@ -36,6 +37,7 @@ PERCENT = 75  # least similarity of a link
 REGISTERS = 160
 BAND = 4  # registers of 16 bits in a key of 64
 MANTISSA = 10
+TURNS = 2  # further members that a band is compared with before all of its open pairs
 CHUNK = 1_000_000
 
 _SPACE = np.zeros(256, bool)
@@ -149,14 +151,14 @@ def sketch(docs: DataFrame, count: int = REGISTERS) -> DataFrame:
 
 
 def _bands(reps: DataFrame, count: int) -> DataFrame:
-    """``doc_id, band, key`` with the packed registers of each band as key."""
+    """``doc_id, n_shingles, band, key`` with the packed registers of each band as key."""
     width = 2 * BAND
 
     def key(i: Column) -> Column:
         return F.substring(F.col("registers"), i * width + 1, F.lit(width))
     packed = F.transform(F.sequence(F.lit(0), F.lit(count // BAND - 1)),
                          lambda i: F.conv(F.hex(key(i)), 16, -10).cast("bigint"))
-    return reps.select("doc_id", F.posexplode(packed).alias("band", "key"))
+    return reps.select("doc_id", "n_shingles", F.posexplode(packed).alias("band", "key"))
 
 
 def _likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -224,35 +226,65 @@ def near_duplicates(docs: DataFrame, run: RunFolder, percent: int = PERCENT, cou
     stars = members.filter("doc_id != center").select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
     likely = run.write(_likely(stars, reps, percent), "likely")
     best = likely.groupBy("b").agg(F.max_by("a", "estimate").alias("a")).select("a", "b")
-    links = run.write(_confirmed(best, docs, percent), "confirmed")
-    labels = components(links, run)
-
-    def labelled(pairs):
-        own = labels.select(F.col("id"), F.col("component"))
+    first = run.write(_confirmed(best, docs, percent), "confirmed")
+    labels = roots(first.select(F.col("b").alias("id"), F.col("a").alias("parent")), run)
+
+    def joined_up(labels, pairs):
+        """Labels after the confirmed ones of ``pairs`` have linked their components."""
+        pairs = run.write(pairs, "pairs")
+        more = run.write(_confirmed(pairs, docs, percent), "confirmed") if pairs.head(1) else None
+        if more is None or not more.head(1):
+            return labels
+        for name in ("a", "b"):
+            own = labels.select(F.col("id").alias(name), F.col("component").alias("c" + name))
+            more = more.join(own, name, "left").withColumn("c" + name, F.coalesce("c" + name, name))
+        merged = components(more.select(F.col("ca").alias("a"), F.col("cb").alias("b")), run)
+        raised = merged.withColumnRenamed("id", "old").withColumnRenamed("component", "new")
+        every = labels.union(merged.join(labels, "id", "left_anti"))
+        return run.write(
+            every.join(raised, F.col("component") == F.col("old"), "left")
+            .select("id", F.coalesce("new", "component").alias("component")), "labels")
+
+    def apart(pairs):
+        """The pairs whose documents lie in different components."""
         for name in ("a", "b"):
-            pairs = pairs.join(own.select(F.col("id").alias(name), F.col("component").alias("c" + name)), name, "left")
+            own = labels.select(F.col("id").alias(name), F.col("component").alias("c" + name))
+            pairs = pairs.join(own, name, "left")
         return pairs.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
-    # Members of a band in different components: with the band's center first, then with each other.
-    open_ = run.write(labelled(likely.join(best, ["a", "b"], "left_anti")), "open")
-    if open_.head(1):
-        links = run.write(links.union(_confirmed(open_, docs, percent)), "confirmed")
-        labels = components(links, run)
-    named = members.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        "band", "key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    mixed = run.write(
-        named.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low != high").select("band", "key"), "mixed")
-    own = run.write(named.join(mixed, ["band", "key"]), "own")
+    def unsettled():
+        """Members of bands whose members lie in different components."""
+        named = members.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
+            "band", "key", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
+        mixed = run.write(
+            named.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+            .filter("low != high").select("band", "key"), "mixed")
+        return run.write(named.join(mixed, ["band", "key"]), "own")
+
+    def alike(one, two):
+        return 100 * F.least(one, two) >= percent * F.greatest(one, two)
+
+    # Members of a band in different components: with the band's center first, then with a few
+    # others of the band, which joins up most of a group, and at last with each other.
+    labels = joined_up(labels, apart(likely.join(best, ["a", "b"], "left_anti")))
+    own = unsettled()
+    for turn in range(TURNS):
+        centers = own.groupBy("band", "key").agg(F.min(F.struct(
+            F.xxhash64("doc_id", F.lit(turn)).alias("h"), F.col("doc_id").alias("center"),
+            F.col("component").alias("cc"), F.col("n_shingles").alias("nc"))).alias("c")).select("band", "key", "c.*")
+        pairs = own.join(centers, ["band", "key"]).filter((F.col("component") != F.col("cc")) & alike("n_shingles", "nc"))
+        pairs = pairs.select(F.least("doc_id", "center").alias("a"), F.greatest("doc_id", "center").alias("b")).distinct()
+        labels = joined_up(labels, _likely(pairs, reps, percent).select("a", "b"))
+        own = unsettled()
+
+    def side(name):
+        return own.select("band", "key", F.col("doc_id").alias(name), F.col("component").alias("c" + name),
+                          F.col("n_shingles").alias("n" + name))
     across = (
-        own.select("band", "key", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
-        .join(own.select("band", "key", F.col("doc_id").alias("b"), F.col("component").alias("cb")), ["band", "key"])
-        .filter("a < b and ca != cb").select("a", "b").distinct()
-        .join(stars, ["a", "b"], "left_anti"))
-    rest = run.write(_likely(across, reps, percent), "rest")
-    if rest.head(1):
-        links = run.write(links.union(_confirmed(rest, docs, percent)), "confirmed")
-        labels = components(links, run)
+        side("a").join(side("b"), ["band", "key"])
+        .filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & alike("na", "nb"))
+        .select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"))
+    labels = joined_up(labels, _likely(across, reps, percent).select("a", "b"))
     classes = groups.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "k1", "k2", F.coalesce("component", "doc_id").alias("class"), F.lit(True).alias("some"))
     found = (
