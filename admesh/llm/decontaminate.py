@@ -12,6 +12,10 @@ blocks of 16 bits one must be within ``RADIUS // 4`` bits, so every item is
 stored under all its blocks' neighbours of that distance and every window is
 looked up under its own blocks. Candidates are then verified exactly by the
 weighted similarity of their shingle multisets.
+
+At a similarity of 0.75 the shingles' cosine is about 0.857, so a bit differs
+with probability 0.172 and a pair by 11 bits on average. ``RADIUS`` lies four
+standard deviations above: of 64 bits more than 23 differ in 1 pair of 10,000.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +25,7 @@ from admesh.llm.tables import table
 from admesh.storage import RunFolder
 
 SHINGLE = 3
-RADIUS = 11
+RADIUS = 23
 BLOCKS = 4
 SIMILARITY = 0.75
 FIELD_WORDS = 16_384  # longs of the bit field of item shingles, whatever the number of items
@@ -51,14 +55,26 @@ def _shingles(words: Column) -> Column:
 
 
 def simhash(shingles: Column) -> Column:
-    """64 bits, each the sign of the weighted vote of the shingles' hash bits."""
-    def vote(bit):
-        total = F.aggregate(shingles, F.lit(0).cast("bigint"), lambda sum_, s: sum_ + F.when(
-            F.getbit(s["h"], bit) == 1, s["w"]).otherwise(-s["w"]))
-        return F.when(total > 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).otherwise(
+    """64 bits, each set if the shingles with that hash bit have more than half of the weight."""
+    def ones(bit):  # of two bits at once, one in each half of a long
+        return F.aggregate(shingles, F.lit(0).cast("bigint"), lambda sum_, s: sum_ + s["w"] * F.call_function(
+            "shiftrightunsigned", s["h"], bit).bitwiseAND(F.lit(1 << 32 | 1)))
+
+    def vote(sum_, total, bit):
+        return F.when(2 * sum_ > total, F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).otherwise(
             F.lit(0).cast("bigint"))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("bigint"),
-                       lambda all_, bit: all_.bitwiseOR(vote(bit)))
+
+    def signs(total):
+        summed = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda bit: F.struct(bit.alias("bit"), ones(bit).alias("ones")))
+        return F.aggregate(summed, F.lit(0).cast("bigint"), lambda all_, at: all_.bitwiseOR(
+            vote(at["ones"].bitwiseAND(F.lit((1 << 32) - 1)), total, at["bit"])).bitwiseOR(
+            vote(F.shiftrightunsigned(at["ones"], 32), total, at["bit"] + 32)))
+    return F.transform(F.array(weight(shingles)), signs)[0]  # the weight is summed once
+
+
+def weight(shingles: Column) -> Column:
+    """Code points of all shingles together."""
+    return F.aggregate(shingles, F.lit(0).cast("bigint"), lambda sum_, s: sum_ + s["w"])
 
 
 def _block(fingerprint: Column, block: int) -> Column:
@@ -70,15 +86,13 @@ def _near_masks() -> list[int]:
     return [m for m in range(1 << 16) if m.bit_count() <= RADIUS // BLOCKS]
 
 
-def _multiset_similarity(a: Column, b: Column) -> Column:
-    """Weight of the common shingles over the weight of all, repetitions counted."""
+def _multiset_similarity(a: Column, b: Column, weights: Column) -> Column:
+    """Weight of the common shingles over the weight of all, repetitions counted; ``weights`` is that of both sides."""
     def count(side, s):
-        return F.size(F.filter(side, lambda x: x["s"] == s["s"]))
-
-    def weight(combine):
-        return F.aggregate(F.array_union(a, b), F.lit(0).cast("bigint"),
-                           lambda sum_, s: sum_ + s["w"] * combine(count(a, s), count(b, s)))
-    return weight(F.least) / F.nullif(weight(F.greatest), F.lit(0).cast("bigint"))
+        return F.size(F.filter(side, lambda x: x == s))
+    common = F.aggregate(F.array_intersect(a, b), F.lit(0).cast("bigint"),
+                         lambda sum_, s: sum_ + F.length(s) * F.least(count(a, s), count(b, s)))
+    return common / F.nullif(weights - common, F.lit(0).cast("bigint"))
 
 
 def _field(hashes: DataFrame) -> Column:
@@ -95,16 +109,18 @@ def matches(docs: DataFrame, items: DataFrame, run: RunFolder, similarity: float
     """``doc_id, item_id, similarity, start, n_words``: each item's best window in each document.
 
     ``docs`` has ``doc_id, text``, ``items`` has ``item_id, text``; other columns
-    are ignored. One row per pair that reaches ``similarity``; among equally
-    good windows the first. Null texts are empty. Rows without an id are never
+    are ignored. One row per pair of which a laid window reaches ``similarity``;
+    the best is taken of these and of those up to three words beside them, and
+    among equally good windows the first. Null texts are empty. Rows without an id are never
     reported, and items with fewer than three words identify nothing. Rows
     that repeat an id count as one document or item.
     """
+    marks = simhash(F.col("shingles")).alias("fingerprint"), weight(F.col("shingles")).alias("weight")
     bench = run.write(
         items.filter(F.col("item_id").isNotNull())
         .select("item_id", words_of(F.col("text")).alias("words"))
         .withColumn("shingles", _shingles(F.col("words"))).filter(F.size("shingles") > 0)
-        .select("item_id", F.size("words").alias("n_words"), "shingles", simhash(F.col("shingles")).alias("fingerprint")),
+        .select("item_id", F.size("words").alias("n_words"), "shingles", *marks),
         "items")
     seeds = bench.select("item_id", "n_words", F.posexplode("shingles").alias("offset", "s")).select(
         F.col("s.h").alias("h"), "n_words", "offset").distinct()
@@ -120,37 +136,56 @@ def matches(docs: DataFrame, items: DataFrame, run: RunFolder, similarity: float
     laid = (
         possible.join(seeds, "h").select("doc_id", start.alias("start"), "n_words").distinct()
         .groupBy("doc_id").agg(F.collect_list(F.struct("start", "n_words")).alias("laid")))
+    first = F.greatest(F.col("start") - SHINGLE, F.lit(0))
+    before = F.slice("words", first + 1, F.col("start") - first)
     windows = run.write(
         texts.join(laid, "doc_id").select("doc_id", "words", F.explode("laid").alias("w"))
-        .select("doc_id", "w.start", "w.n_words", F.slice("words", F.col("w.start") + 1, F.col("w.n_words")).alias("own"))
-        .select("doc_id", "start", "n_words", F.concat_ws(" ", "own").alias("window")), "windows")
-    distinct = (
+        .select("doc_id", "words", "w.start", "w.n_words",
+                F.slice("words", F.col("w.start") + 1, F.col("w.n_words")).alias("own"))
+        .select("doc_id", "start", "n_words", F.concat_ws(" ", "own").alias("window"), before.alias("before"),
+                F.slice("words", F.col("start") + F.col("n_words") + 1, SHINGLE).alias("after")), "windows")
+    distinct = run.write(
         windows.select("window").distinct()
-        .withColumn("shingles", _shingles(F.split("window", " "))).filter(F.size("shingles") > 0)
-        .withColumn("fingerprint", simhash(F.col("shingles"))))
-    distinct = run.write(distinct, "distinct")
+        .withColumn("words", F.split("window", " ")).filter(F.size("words") >= SHINGLE)
+        .withColumn("shingles", _shingles(F.col("words")))
+        .select(F.monotonically_increasing_id().alias("window_id"), "window", F.col("shingles.s").alias("a"), *marks),
+        "distinct")
 
     def blocks(masks):
-        def of(block):
-            own = _block(F.col("fingerprint"), block)
-            return F.transform(F.lit(masks), lambda m: F.struct(
-                F.lit(block).alias("block"), own.bitwiseXOR(m.cast("bigint")).alias("value")))
-        return F.explode(F.concat(*map(of, range(BLOCKS)))).alias("key")
-    index = bench.select("item_id", "fingerprint", blocks(_near_masks())).select("item_id", "fingerprint", "key.*")
-    looked_up = distinct.select("window", F.col("fingerprint").alias("own"), "fingerprint", blocks([0])).select(
-        "window", "own", "key.*")
+        """A row for each block and mask, with the block's value under that mask."""
+        values = [F.struct(F.lit(block).alias("block"), _block(F.col("fingerprint"), block).bitwiseXOR(F.col("mask")).alias("value"))
+                  for block in range(BLOCKS)]
+        listed = F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>")
+        return lambda side: side.withColumn("mask", F.explode(listed)).withColumn("key", F.explode(F.array(*values))).select(
+            "*", "key.*").drop("mask", "key")
+    index = bench.select("item_id", "fingerprint", "weight").transform(blocks(_near_masks()))
+    looked_up = distinct.select("window_id", "fingerprint", "weight").transform(blocks([0]))
+    w, i = F.col("w.weight"), F.col("i.weight")
     candidates = (
-        looked_up.join(index, ["block", "value"])
-        .filter(F.bit_count(F.col("own").bitwiseXOR(F.col("fingerprint"))) <= RADIUS)
-        .select("window", "item_id").distinct())
+        looked_up.alias("w").join(index.hint("merge").alias("i"), ["block", "value"])  # planned as small as the items
+        .filter(F.bit_count(F.col("w.fingerprint").bitwiseXOR(F.col("i.fingerprint"))) <= RADIUS)
+        .filter(F.least(w, i) / F.greatest(w, i) >= similarity)  # what is common weighs no more than the lighter side
+        .select("window_id", "item_id").distinct())
     verified = (
-        candidates.join(distinct.select("window", F.col("shingles").alias("a")), "window")
-        .join(bench.select("item_id", F.col("shingles").alias("b")), "item_id")
-        .select("window", "item_id", _multiset_similarity(F.col("a"), F.col("b")).alias("similarity"))
+        candidates.join(distinct.select("window_id", "window", "a", F.col("weight").alias("own")), "window_id")
+        .join(bench.select("item_id", F.col("shingles.s").alias("b"), "weight"), "item_id")
+        .select("window", "item_id", "b", "weight",
+                _multiset_similarity(F.col("a"), F.col("b"), F.col("own") + F.col("weight")).alias("similarity"))
         .filter(F.col("similarity") >= similarity))
+    # An edit within a shingle of an end can make a window beside the laid one the best; a copy has no better one.
+    line = F.concat("before", F.split("window", " "), "after")
+    shifts = F.when(F.col("similarity") == 1, F.array(F.size("before"))).otherwise(
+        F.sequence(F.lit(0), F.size("before") + F.size("after")))
+    shifted = (
+        windows.join(verified, "window").withColumn("line", line).withColumn("shift", F.explode(shifts))
+        .select("doc_id", "item_id", (F.col("start") - F.size("before") + F.col("shift")).alias("start"), "n_words",
+                F.slice("line", F.col("shift") + 1, F.col("n_words")).alias("own"), "b", "weight")
+        .withColumn("shingles", _shingles(F.col("own"))).withColumn("own_weight", weight(F.col("shingles")))
+        .withColumn("similarity", _multiset_similarity(
+            F.col("shingles.s"), F.col("b"), F.col("own_weight") + F.col("weight"))))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("minus"), "n_words"))
     return (
-        windows.join(verified, "window").groupBy("doc_id", "item_id").agg(best.alias("b"))
+        shifted.groupBy("doc_id", "item_id").agg(best.alias("b"))
         .select("doc_id", "item_id", F.round("b.similarity", 6).alias("similarity"), (-F.col("b.minus")).alias("start"),
                 "b.n_words")
     )

@@ -90,6 +90,27 @@ def test_matches_agree_with_brute_force(table, run, seed):
     assert sum(got[k] == pytest.approx(want[k]) for k in want) >= 0.9 * len(want)
 
 
+def test_edited_passages_are_found_whatever_their_fingerprints(table, run):
+    r = random.Random(3)
+    vocabulary = ["".join(r.choices("abcdefghij", k=r.randrange(2, 9))) for _ in range(2_000)]
+    items, docs = [], []
+    for i in range(120):
+        passage = r.choices(vocabulary, k=r.randrange(24, 60))
+        edited = list(passage)
+        for _ in range(1 + (len(passage) > 45)):
+            edited[r.randrange(len(edited))] = "changed"
+        items.append((i, " ".join(passage)))
+        docs.append((i, " ".join(r.choices(vocabulary, k=20) + edited + r.choices(vocabulary, k=20))))
+    own, other = [[words(t) for _, t in side] for side in (docs, items)]
+    want = {}
+    for i, (w, x) in enumerate(zip(own, other)):
+        best = max(likeness(w[start:start + len(x)], x) for start in range(len(w) - len(x) + 1))
+        if best >= dc.SIMILARITY:
+            want[i, i] = pytest.approx(best, abs=1e-6)
+    got = {(g.doc_id, g.item_id): g.similarity for g in dc.matches(table(docs, DOC), table(items, ITEM), run).collect()}
+    assert got == want and len(want) > 60
+
+
 def test_fingerprints_and_words_are_the_stated_ones(table):
     text = "The ÉTÉ, of\n12 x_y; the été of 12"
     row = table([(text,)], "t string").select(dc.words_of(F.col("t")).alias("w")).select(
