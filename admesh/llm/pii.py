@@ -33,7 +33,7 @@ PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 LOOSE = {
     "email": rf"(?<!{_LOCAL}){_LOCAL}++ ?[\[(]at[\])] ?{_LABEL}++(?:(?:\.| ?[\[(]dot[\])] ?){_LABEL}++)++",
     "phone": r"(?<![0-9+(.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
-    "secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,128}+(?![A-Za-z0-9+/_-])",
+    "secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}+(?![A-Za-z0-9+/_-])",
 }
 VOTES = ("format", "gazetteer", "cue", "edge", "variety")
 CUES = {

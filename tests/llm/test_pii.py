@@ -94,6 +94,12 @@ def test_the_classifier_adds_secrets_and_keeps_the_base(spark, run):
     assert all(set(r.base) <= set(r.spans) for r in rows)
 
 
+def test_secrets_of_any_length_are_candidates():
+    for n in (20, 128, 129, 5_000):
+        run = ("aB3" * n)[:n]
+        assert [m.span() for m in re.finditer(pii.LOOSE["secret"], f"key {run}, more")] == [(4, 4 + n)]
+
+
 def test_redaction_replaces_each_span_once(table, run):
     rows = [(1, "mail a.b@c.de now\né +1 (234) 555-7890.", "en", "s", 40), (2, "nothing", "en", "s", 7),
             (2, "x 10.0.0.1", "en", "s", 10), (None, None, None, None, None), (4, "10.0.0.1.2@x.yz", "en", "s", 15)]
