@@ -1,7 +1,9 @@
 """The queries of this subpackage and their DuckDB twins, by registered name."""
 
 import corpus_pipeline
-from admesh.llm import chat, decontaminate, hosts, hyperminhash, likelihood, pieces, pii, quality, suffixes, syncmers
+from admesh.llm import (
+    chat, decontaminate, hosts, hyperminhash, likelihood, middle, pieces, pii, quality, suffixes, syncmers,
+)
 
 
 def queries() -> dict:
@@ -16,6 +18,7 @@ def queries() -> dict:
         "op8_pseudo_likelihood": likelihood.op8_pseudo_likelihood,
         "op9_pii": pii.op9_pii,
         "op10_chat_windows": chat.op10_chat_windows,
+        "op11_fill_in_middle": middle.op11_fill_in_middle,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -23,4 +26,5 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_host_reputation": hosts.ORACLE,
+        "op11_fill_in_middle": middle.ORACLE,
     }

@@ -1,0 +1,92 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from admesh.llm import middle
+
+DOC = "doc_id bigint, text string"
+
+
+def brute(doc_id, text):
+    """One document by plain string operations: the row of the query and the output."""
+    text = text or ""
+    units = re.findall("[A-Za-z]+|[^A-Za-z]", text)
+    h = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[i:i + 8], 16) for i in (0, 8, 16, 24))
+    n = len(units)
+    one, two = sorted((h1 % (n + 1), h2 % (n + 1)))
+    p, m, s = ("".join(units[a:b]) for a, b in ((0, one), (one, two), (two, n)))
+    if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        form, output = "plain", text
+    elif h4 % 100 < 20:
+        form, output = "spm", f"<S>{s}<P>{p}<M>{m}"
+    else:
+        form, output = "psm", f"<P>{p}<S>{s}<M>{m}"
+    sizes = (None, None) if form == "plain" else (len(p), len(m))
+    return (doc_id, n, form, *sizes, hashlib.sha256(output.encode()).hexdigest(),
+            hashlib.sha256(text.encode()).hexdigest()), output
+
+
+def digests(docs):
+    return sorted(map(tuple, middle.digested(middle.by_output(middle.cut(docs))).collect()), key=str)
+
+
+def texts(seed, count):
+    r = random.Random(seed)
+    alphabet = ["a", "Zq", "é", "漢", "😀", " ", "\n", "\x00", "<", "P>", "<P", "<S", ">", "<M>", "0"]
+    return [(i, "".join(r.choices(alphabet, [8, 8, 2, 2, 2, 5, 2, 1, 1, 1, 1, 1, 1, 0.02, 2], k=r.randrange(120)))) for i in range(count)]
+
+
+@pytest.mark.parametrize("units, piece", [(1, 1), (3, 5), (4096, 65536)])
+def test_rows_and_texts_match_plain_string_operations(table, monkeypatch, units, piece):
+    monkeypatch.setattr(middle, "UNITS", units)
+    monkeypatch.setattr(middle, "PIECE", piece)
+    rows = texts(units, 300)
+    want = [brute(*r) for r in rows]
+    assert digests(table(rows, DOC).repartition(5)) == sorted((w[0] for w in want), key=str)
+    assert {w[0][2] for w in want} == {"plain", "psm", "spm"}
+    for (doc_id, text), (_, output) in zip(rows, want):
+        starts = middle.unit_starts(text.encode())
+        h1, h2, h3, h4 = middle.draws(doc_id)
+        form = middle.form_of(text.encode(), h3, h4)
+        made = list(middle.pieces_of(text.encode(), starts, form, h1, h2))
+        assert b"".join(made).decode() == output and middle.restored(output, form) == text
+
+
+def test_outputs_are_texts_that_turn_back(table):
+    rows = texts(9, 200)
+    made = middle.transform(table(rows, DOC))
+    assert {r.doc_id: r.text for r in made.collect()} == {i: brute(i, t)[1] for i, t in rows}
+    assert {r.doc_id: r.text for r in middle.restore(made).collect()} == dict(rows)
+
+
+def test_sections_are_found_wherever_pieces_end():
+    output = "<P>ab <S <<S>cé<M>" "d<"
+    for size in range(1, len(output) + 1):
+        data = output.encode()
+        parser, got = middle.Parser("psm"), ["", "", ""]
+        found = [x for at in range(0, len(data), size) for x in parser.feed(data[at:at + size])] + list(parser.end())
+        got = [b"".join(d for s, d in found if s == section).decode() for section in range(3)]
+        assert got == ["ab <S <", "d<", "cé"]
+
+
+def test_an_output_without_its_marks_is_an_error():
+    with pytest.raises(ValueError, match="<M>"):
+        middle.restored("<P>a<S>b", "psm")
+
+
+def test_nulls_repeats_long_texts_extra_columns_and_empty_tables(table):
+    long = "word, " * 200_000 + "x" * 1_000_000
+    rows = [(None, "a b c d"), (None, None), (1, "one two"), (1, "one two"), (1, "three"), (2, ""), (3, None), (4, long)]
+    assert digests(table(rows, DOC)) == sorted((brute(*r)[0] for r in rows), key=str)
+    wide = table([r + (7, "x", b"z") for r in rows], DOC + ", row int, form string, data binary")
+    assert digests(wide) == digests(table(rows, DOC))
+    assert digests(table([], DOC)) == []
+    assert middle.transform(table([], DOC)).collect() == []
+
+
+def test_one_shuffle_serves_output_and_restoration(spark):
+    plan = middle.op11_fill_in_middle(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort ") == 2
