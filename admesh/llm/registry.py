@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 from admesh.llm import (
-    chat, decontaminate, hosts, hyperminhash, likelihood, middle, pieces, pii, quality, suffixes, syncmers,
+    chat, decontaminate, hosts, hyperminhash, licenses, likelihood, middle, pieces, pii, quality, suffixes, syncmers,
 )
 
 
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op9_pii": pii.op9_pii,
         "op10_chat_windows": chat.op10_chat_windows,
         "op11_fill_in_middle": middle.op11_fill_in_middle,
+        "op12_license_scan": licenses.op12_license_scan,
         "pipeline": corpus_pipeline.run,
     }
 
