@@ -2,7 +2,8 @@
 
 import corpus_pipeline
 from admesh.llm import (
-    chat, decontaminate, hosts, hyperminhash, licenses, likelihood, middle, pieces, pii, quality, suffixes, syncmers,
+    chat, decontaminate, hosts, hyperminhash, licenses, likelihood, middle, pieces, pii, quality, spelling, suffixes,
+    syncmers,
 )
 
 
@@ -20,6 +21,7 @@ def queries() -> dict:
         "op10_chat_windows": chat.op10_chat_windows,
         "op11_fill_in_middle": middle.op11_fill_in_middle,
         "op12_license_scan": licenses.op12_license_scan,
+        "op13_spelling_variants": spelling.op13_spelling_variants,
         "pipeline": corpus_pipeline.run,
     }
 

@@ -1,0 +1,151 @@
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from admesh.llm import spelling
+from admesh.llm.tables import table as scan
+
+DOC, WORD = "doc_id bigint, text string", "word string, n bigint"
+
+
+def count_words(rows):
+    """Words of documents by plain string operations."""
+    out = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 31 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            if len(run) >= 7:
+                out[run] += 1
+    return {w: n for w, n in out.items() if n >= 2}
+
+
+def apart(a, b):
+    """Whether the words differ by exactly one code point."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    short, long = sorted((a, b), key=len)
+    return len(long) - len(short) == 1 and any(long[:i] + long[i + 1:] == short for i in range(len(long)))
+
+
+def near_of(words):
+    """Neighbours of every word: any two that agree in themselves or with a code point left out are compared."""
+    groups = defaultdict(set)
+    for w in words:
+        for left in {w, *(w[:i] + w[i + 1:] for i in range(len(w)))}:
+            groups[left].add(w)
+    near = {w: set() for w in words}
+    for group in groups.values():
+        for a in group:
+            near[a].update(b for b in group if b not in near[a] and apart(a, b))
+    return near
+
+
+def brute(words):
+    near = near_of(words)
+    form = {}
+    for w, n in words.items():
+        best = min(near[w], key=lambda x: (-words[x], x), default=None)
+        if best is not None and words[best] >= 10 * n:
+            form[w] = best
+
+    def root(w):
+        return root(form[w]) if w in form else w
+    return sorted((w, n, len(near[w]), form.get(w, ""), words.get(form.get(w), -1), root(w)) for w, n in words.items())
+
+
+def got(df):
+    return sorted((r.word, r.n, r.n_near, r.form or "", -1 if r.form_n is None else r.form_n, r.root) for r in df.collect())
+
+
+def vocabulary(seed, alphabet, length, count):
+    r = random.Random(seed)
+    return {"".join(r.choices(alphabet, k=r.randrange(length))): r.choice([1, 2, 3, 20, 40, 500, 5000]) for _ in range(count)}
+
+
+@pytest.mark.parametrize("partitions", ["1", "7"])
+@pytest.mark.parametrize("alphabet, length, count", [("ab", 8, 200), ("abé漢😀", 6, 400), ("abcdefgh", 9, 700)])
+def test_variants_match_brute_force(spark, table, run, alphabet, length, count, partitions):
+    words = vocabulary(1, alphabet, length, count)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = table(sorted(words.items(), key=lambda x: hash(x)), WORD)
+        assert got(spelling.variants(rows, run)) == brute(words)
+        pairs = sorted((r.a, r.b) for r in spelling.near_pairs(rows, run).collect())
+        assert pairs == sorted((a, b) for a, near in near_of(words).items() for b in near if a < b)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_nodes_are_the_tries_nodes():
+    words = sorted(vocabulary(4, "abc", 7, 150))
+    number, shared = {}, Counter(w[:d] for w in words for d in range(len(w) + 1))
+    rows = list(spelling.number_nodes(iter(words), 0))
+    assert [last for _, last in rows] == [False] * (len(words) - 1) + [True]
+    for i, (w, (nodes, _)) in enumerate(zip(words, rows)):
+        depth = len(w) if i in (0, len(words) - 1) else max(d for d in range(len(w) + 1) if shared[w[:d]] > 1)
+        assert len(nodes) == depth + 1
+        for d, x in enumerate(nodes):
+            assert number.setdefault(w[:d], x) == x
+    assert len(set(number.values())) == len(number)
+
+
+def test_ranges_agree_on_the_nodes_they_share(spark, table, run):
+    words = sorted(vocabulary(5, "ab", 12, 300))
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        from pyspark.sql import functions as F
+        made = run.write(spelling.numbered(table([(w, 1) for w in words], WORD), F.col("word"), "ahead"), "made")
+        known = spelling.renames(made, F.col("word"), "ahead")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = made.orderBy("place").collect()
+    assert [r.word for r in rows] == words and sum(r.edge & 1 for r in rows) > 5
+    number = {}
+    for r in rows:
+        for d in range(len(r.ahead) // 8):
+            x = int.from_bytes(r.ahead[8 * d:8 * d + 8], "little")
+            assert number.setdefault(r.word[:d], known.get(x, x)) == known.get(x, x)
+    assert len(set(number.values())) == len(number)
+
+
+def test_words_and_slips_are_the_stated_ones(spark, table):
+    rows = [(i, f"Wonderful{i % 7} ÉLÈVESÀ×÷ straße élèvesà WONDERFUL, naïvely-spelling short {'abcdefgh' * (i % 3)}") for i in range(200)]
+    rows += [(None, "nothing nothing"), (3, None), (4, "")]
+    seen = Counter(r.word for r in spelling.occurrences(table(rows, DOC)).collect())
+    assert {w: n for w, n in seen.items() if n >= 2} == count_words(rows) and len(seen) > 20
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_a_table_of_documents_matches_brute_force(spark, folder):
+    rows = [(r.doc_id, r.text) for r in scan(spark, folder, "documents").collect()]
+    assert got(spelling.op13_spelling_variants(spark, folder)) == brute(count_words(rows))
+
+
+def test_nulls_repeats_long_words_extra_columns_and_empty_tables(table, run):
+    long = "ab" * 100_000
+    rows = [("cat", 5), ("cat", 6), ("cut", 200), ("at", 1), (None, 3), ("", 4), ("t", 1), (long, 1), (long + "c", 30)]
+    want = sorted([("cat", 11, 2, "cut", 200, "cut"), ("cut", 200, 1, "", -1, "cut"), ("at", 1, 2, "cat", 11, "cut"),
+                   ("", 4, 1, "", -1, ""), ("t", 1, 2, "", -1, "t"), (long, 1, 1, long + "c", 30, long + "c"),
+                   (long + "c", 30, 1, "", -1, long + "c")])
+    assert got(spelling.variants(table(rows, WORD), run)) == want
+    wide = table([r + (1, "x") for r in rows], WORD + ", id int, form string")
+    assert got(spelling.variants(wide, run)) == want
+    assert spelling.variants(table([], WORD), run).collect() == []
+    assert spelling.near_pairs(table([], WORD), run).collect() == []
+
+
+def test_a_hot_pair_of_nodes_is_counted_not_listed(table, run):
+    words = {f"comm{chr(0x4E00 + i)}n": 1 + i for i in range(3000)} | {"common": 100_000, "commn": 7}
+    rows = {r.word: r for r in spelling.variants(table(sorted(words.items()), WORD), run).collect()}
+    assert all(r.n_near == 3001 and r.form == "common" for w, r in rows.items() if w not in ("common", "commn") and r.n <= 10_000)
+    assert rows["commn"].n_near == 3001 and rows["common"].form is None
