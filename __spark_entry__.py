@@ -50,22 +50,23 @@ def _as_text(vertices: DataFrame) -> DataFrame:
     return vertices.withColumn("neighbours", id_list(F.col("neighbours")))
 
 
-def _cleared(column: str, updates: DataFrame) -> DataFrame:
-    """Updates of every third user only, NULL for every sixth."""
-    third = updates.filter(F.pmod("id", F.lit(3)) == 0)
-    return third.withColumn(column, F.when(F.pmod("id", F.lit(6)) != 0, F.col(column)))
+def _set_centrality(audience: Audience) -> DataFrame:
+    """The scored table with PageRank as every user's centrality, NULL for users without co-buyers."""
+    known = audience.degrees.select("id", F.lit(True).alias("linked"))
+    updates = audience.pagerank.join(known, "id", "left").select(
+        "id", F.when(F.col("linked"), F.round("pagerank", 6)).alias("centrality"))
+    return audience.vertex_table(AD, vertex.replace(audience.vertex_heads(AD), updates, "centrality"))
 
 
-def _set_centrality(audience: Audience) -> DataFrame:
-    """The scored table with PageRank as the centrality of some users, and none for others."""
-    updates = audience.pagerank.select("id", F.round("pagerank", 6).alias("centrality"))
-    return vertex.replace(audience.vertex_table(AD), _cleared("centrality", updates), "centrality")
+def _seen(audience: Audience) -> DataFrame:
+    """Event affinity to ad 7."""
+    return event_affinity(audience.exposures.filter(F.col("ad") == 7))
 
 
 def _set_utility(audience: Audience) -> DataFrame:
-    """The scored table with the event affinity to ad 7 as the utility of some users."""
-    events = event_affinity(audience.exposures.filter(F.col("ad") == 7)).select("id", F.col("affinity").alias("utility"))
-    return vertex.replace(audience.vertex_table(AD), _cleared("utility", events), "utility")
+    """The scored table with the event affinity to ad 7 as every user's utility, NULL without events."""
+    updates = audience.users.join(_seen(audience), "id", "left").select("id", F.col("affinity").alias("utility"))
+    return audience.vertex_table(AD, vertex.replace(audience.vertex_heads(AD), updates, "utility"))
 
 
 def _set_affinity(audience: Audience) -> DataFrame:
@@ -73,9 +74,20 @@ def _set_affinity(audience: Audience) -> DataFrame:
 
 
 def _set_neighbours(audience: Audience) -> DataFrame:
-    """The scored table where every third user's list becomes the user alone, or NULL."""
-    alone = audience.users.select("id", F.lit(0).cast("bigint").alias("page"), F.array("id").alias("neighbours"))
-    return vertex.replace(audience.vertex_table(AD), _cleared("neighbours", alone), "neighbours")
+    """The scored table where every user's list becomes the user alone, NULL for users who saw no ad."""
+    known = audience.exposures.select(F.col("user_id").alias("id")).distinct().withColumn("known", F.lit(True))
+    alone = audience.run.write(
+        audience.users.join(known, "id", "left")
+        .select("id", F.lit(0).cast("bigint").alias("page"), F.when(F.col("known"), F.array("id")).alias("neighbours")), "alone")
+    return vertex.replace(audience.vertex_table(AD), alone, "neighbours")
+
+
+def _vertex_store(audience: Audience) -> DataFrame:
+    """The stored vertex table after the event affinities to ad 7 have replaced those users' affinity in place."""
+    store = audience.vertex_store(AD)
+    updates = audience.run.write(_seen(audience), "updates")
+    store.update(updates, lambda old: vertex.replace(old, updates, "affinity"), audience.run)
+    return store.read()
 
 
 def _replace_id(audience: Audience) -> DataFrame:
@@ -90,8 +102,7 @@ def _replace_id(audience: Audience) -> DataFrame:
 
 def _vertex_update(audience: Audience) -> DataFrame:
     """Spend affinity, overwritten by the event affinity to ad 7 where there were events."""
-    events = event_affinity(audience.exposures.filter(F.col("ad") == 7))
-    return vertex.read(vertex.replace(_set_affinity(audience), events, "affinity"), "affinity")
+    return vertex.read(vertex.replace(_set_affinity(audience), _seen(audience), "affinity"), "affinity")
 
 
 def _rounded(scores: DataFrame, column: str) -> DataFrame:
@@ -120,8 +131,8 @@ def _audience_queries() -> dict[str, Query]:
         "vertex_update": _on(_vertex_update),
         "read_id": _on(lambda a: vertex.read(a.vertex_ids(), "id")),
         "read_affinity": _on(lambda a: vertex.read(_set_affinity(a), "affinity")),
-        "read_centrality": _on(lambda a: vertex.read(a.vertex_table(AD), "centrality")),
-        "read_utility": _on(lambda a: vertex.read(a.vertex_table(AD), "utility")),
+        "read_centrality": _on(lambda a: vertex.read(a.vertex_heads(AD), "centrality")),
+        "read_utility": _on(lambda a: vertex.read(a.vertex_heads(AD), "utility")),
         "read_neighbours": _on(lambda a: vertex.read(a.vertex_table(AD), "neighbours")),
         "replace_id": _on(_replace_id),
         "replace_affinity": _on(lambda a: _as_text(_set_affinity(a))),
@@ -145,6 +156,16 @@ def _audience_queries() -> dict[str, Query]:
         "ad_summary": _on(lambda a: a.ad_summary()),
         "select_non_adjacent": _on(lambda a: a.select_non_adjacent(AD)),
         "audience_reach": _on(lambda a: a.audience_reach(AD, 20)),
+        "hop_distance": _on(lambda a: a.hop_distance(AD, 20)),
+        "components": _on(lambda a: a.components()),
+        "communities": _on(lambda a: a.communities(5)),
+        "triangles": _on(lambda a: a.triangles()),
+        "core_numbers": _on(lambda a: a.core_numbers()),
+        "next_purchase": _on(lambda a: a.next_purchase()),
+        "audience_cube": _on(lambda a: a.audience_cube()),
+        "affinity_stream": _on(lambda a: a.affinity_stream()),
+        "vertex_store": _on(lambda a: _as_text(_vertex_store(a))),
+        "cover_users": _on(lambda a: a.cover_users(AD, 20)),
     }
 
 
@@ -247,12 +268,75 @@ _VERTICES = {
 }
 
 
+# Breadth-first levels: a user's first one stays.
+_HOPS = {
+    "hops(id, hops) USING KEY (id)": """
+        SELECT id, 0::BIGINT FROM picks
+        UNION
+        SELECT p.dst, min(h.hops) + 1 FROM hops h JOIN pairs p ON p.src = h.id
+        WHERE p.dst NOT IN (SELECT id FROM recurring.hops) GROUP BY 1""",
+}
+_COMPONENTS = {
+    "reached(id, component) USING KEY (id)": """
+        SELECT id, id FROM users
+        UNION
+        SELECT p.dst, min(h.component) FROM reached h JOIN pairs p ON p.src = h.id JOIN recurring.reached r ON r.id = p.dst
+        WHERE h.component < r.component GROUP BY 1""",
+}
+# Each bucket takes its users' most frequent label, then each user its buckets' most frequent label.
+_COMMUNITIES = {
+    "placed": """
+        SELECT user_id AS id, item_id, month FROM purchases
+        WHERE (item_id, month) IN (SELECT (item_id, month) FROM purchases GROUP BY ALL HAVING count(*) > 1)""",
+    "labels_0": "SELECT id, id AS label FROM users",
+} | {name: body for i in range(1, 6) for name, body in {
+    f"given_{i}": f"""
+        SELECT item_id, month, label FROM (
+            SELECT item_id, month, label, row_number() OVER (PARTITION BY item_id, month ORDER BY count(*) DESC, label) AS place
+            FROM placed JOIN labels_{i - 1} USING (id) GROUP BY 1, 2, 3) WHERE place = 1""",
+    f"votes_{i}": f"""
+        SELECT id, label FROM (
+            SELECT id, label, row_number() OVER (PARTITION BY id ORDER BY count(*) DESC, label) AS place
+            FROM placed JOIN given_{i} USING (item_id, month) GROUP BY 1, 2) WHERE place = 1""",
+    f"labels_{i}": f"SELECT u.id, coalesce(v.label, u.id) AS label FROM users u LEFT JOIN votes_{i} v ON v.id = u.id",
+}.items()}
+_TRIANGLES = {
+    "corners": """
+        SELECT unnest([a.src, a.dst, b.dst]) AS id FROM edges a JOIN edges b ON b.src = a.dst
+        JOIN edges c ON c.src = a.src AND c.dst = b.dst""",
+    "counted": "SELECT id, count(*) AS n FROM corners GROUP BY 1",
+    "linked": "SELECT src AS id, count(*) AS degree FROM links GROUP BY 1",
+}
+_CORE_ROUNDS = 40
+_CORES = {"cores_0": "SELECT src AS id, count(*) AS core FROM links GROUP BY 1"} | {
+    f"cores_{i}": f"""
+        SELECT id, max(least(core, place)) AS core FROM (
+            SELECT l.src AS id, c.core, row_number() OVER (PARTITION BY l.src ORDER BY c.core DESC) AS place
+            FROM links l JOIN cores_{i - 1} c ON c.id = l.dst) GROUP BY 1"""
+    for i in range(1, _CORE_ROUNDS + 1)
+}
+# Every user reaches itself and its co-buyers; each round picks the candidate with most users not reached before.
+_COVER = {
+    "reach": "SELECT src AS id, dst AS met FROM pairs UNION SELECT id, id FROM users",
+    "buyers": "SELECT s.id FROM spend s JOIN users USING (id) WHERE bought > 0",
+    "pick_0": "SELECT NULL::BIGINT AS id, 0::BIGINT AS gain WHERE false",
+    "met_0": "SELECT NULL::BIGINT AS id WHERE false",
+} | {name: body for i in range(1, 21) for name, body in {
+    f"pick_{i}": f"""
+        SELECT id, count(*) AS gain FROM reach JOIN buyers USING (id) WHERE met NOT IN (SELECT id FROM met_{i - 1})
+        GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1""",
+    f"met_{i}": f"SELECT id FROM met_{i - 1} UNION SELECT met FROM reach WHERE id IN (SELECT id FROM pick_{i})",
+}.items()}
+
+
 def _sql(query: str, *more: dict[str, str]) -> str:
     steps = dict(_STEPS)
     for extra in more:
         steps |= extra
-    named = ",\n".join(f"{name} AS ({body})" for name, body in steps.items())
-    return f"WITH {named}\n{query}"
+    recursive = "RECURSIVE " if any("USING KEY" in name for name in steps) else ""
+    hint = {name: "MATERIALIZED " for name in steps if name.startswith(("cores_", "pick_", "met_", "labels_"))}
+    named = ",\n".join(f"{name} AS {hint.get(name, '')}({body})" for name, body in steps.items())
+    return f"WITH {recursive}{named}\n{query}"
 
 
 def _unscored(page="CAST(0 AS BIGINT)", affinity="CAST(NULL AS DOUBLE)", centrality="CAST(NULL AS DOUBLE)",
@@ -284,17 +368,16 @@ def _audience_oracles() -> dict[str, str]:
             source="JOIN customer ON c_custkey = u.id")),
         "replace_affinity": _sql(_unscored(affinity="a.affinity", source="JOIN affinity a ON a.id = u.id")),
         "replace_centrality": _sql("""
-            SELECT v.id, page, affinity, CASE WHEN v.id % 6 = 0 THEN NULL WHEN v.id % 3 = 0 THEN round(pagerank, 6)
-                ELSE centrality END AS centrality, utility, neighbours
+            SELECT v.id, page, affinity, CASE WHEN v.id IN (SELECT id FROM degrees) THEN round(pagerank, 6) END AS centrality,
+                utility, neighbours
             FROM vertices v JOIN rank_10 r ON r.id = v.id""", _VERTICES, _ROUNDS),
         "replace_utility": _sql("""
-            SELECT v.id, page, v.affinity, centrality,
-                CASE WHEN e.id IS NULL THEN utility WHEN v.id % 6 = 0 THEN NULL ELSE e.affinity END AS utility, neighbours
-            FROM vertices v LEFT JOIN affinity_by_events e ON e.id = v.id AND e.ad = 7 AND e.id % 3 = 0""", _VERTICES),
+            SELECT v.id, page, v.affinity, centrality, e.affinity AS utility, neighbours
+            FROM vertices v LEFT JOIN affinity_by_events e ON e.id = v.id AND e.ad = 7""", _VERTICES),
         "replace_neighbours": _sql("""
-            SELECT id, page, affinity, centrality, utility, CASE WHEN id % 6 = 0 THEN NULL
-                WHEN id % 3 = 0 THEN CAST(id AS VARCHAR) ELSE neighbours END AS neighbours
-            FROM vertices WHERE id % 3 <> 0 OR page = 0""", _VERTICES),
+            SELECT id, page, affinity, centrality, utility,
+                CASE WHEN id IN (SELECT id FROM exposures) THEN CAST(id AS VARCHAR) END AS neighbours
+            FROM vertices WHERE page = 0""", _VERTICES),
         "interactions": _sql("SELECT user_id, item_id, month FROM purchases"),
         "edges": _sql("SELECT * FROM edges"),
         "edges_symmetric": _sql("SELECT * FROM links"),
@@ -328,4 +411,43 @@ def _audience_oracles() -> dict[str, str]:
         "audience_reach": _sql("""
             SELECT count(DISTINCT dst) AS reach FROM pairs
             WHERE src IN (SELECT id FROM picks) AND dst NOT IN (SELECT id FROM picks)""", _SCORES),
+        "hop_distance": _sql("SELECT u.id, h.hops FROM users u LEFT JOIN hops h USING (id)", _SCORES, _HOPS),
+        "components": _sql("SELECT id, component FROM reached", _COMPONENTS),
+        "communities": _sql("SELECT id, label AS community FROM labels_5", _COMMUNITIES),
+        "triangles": _sql("""
+            SELECT u.id, coalesce(degree, 0) AS degree, coalesce(n, 0) AS triangles,
+                round(coalesce(2 * n / nullif(CAST(degree * (degree - 1) AS DOUBLE), 0), 0.0), 6) AS clustering
+            FROM users u LEFT JOIN linked USING (id) LEFT JOIN counted USING (id)""", _TRIANGLES),
+        # The rounds must have ended: the last one may change nothing.
+        "core_numbers": _sql(f"""
+            SELECT u.id, CASE WHEN EXISTS (
+                    SELECT 1 FROM cores_{_CORE_ROUNDS} a JOIN cores_{_CORE_ROUNDS - 1} b ON a.id = b.id AND a.core <> b.core)
+                THEN error('more rounds are needed') ELSE coalesce(core, 0) END AS core
+            FROM users u LEFT JOIN cores_{_CORE_ROUNDS} USING (id)""", _CORES),
+        "next_purchase": """
+            WITH e AS (
+                SELECT event_id, ts, user_id AS id, TRY_CAST(props->>'$.k' AS BIGINT) AS ad, event_type
+                FROM events WHERE user_id IS NOT NULL AND regexp_full_match(props->>'$.k', '-?[0-9]+')
+                    AND TRY_CAST(props->>'$.k' AS BIGINT) IS NOT NULL),
+            p AS (
+                SELECT id, ts, min(event_id) AS purchase_id, arg_min(ad, event_id) AS purchase_ad
+                FROM e WHERE event_type = 'purchase' GROUP BY 1, 2)
+            SELECT s.event_id, s.id, s.ad, p.purchase_id, p.purchase_ad, (epoch_us(p.ts) - epoch_us(s.ts)) // 1000000 AS seconds
+            FROM (SELECT * FROM e WHERE event_type IN ('view', 'click')) s ASOF LEFT JOIN p ON p.id = s.id AND s.ts <= p.ts""",
+        "audience_cube": _sql("""
+            SELECT p_brand AS ad, c_mktsegment AS segment, month, grouping(p_brand, c_mktsegment, month) AS grouping_id,
+                count(DISTINCT p.user_id) AS users, CAST(sum(spent) AS DOUBLE) AS spent,
+                CAST(sum(CAST(utility AS DECIMAL(18, 6))) AS DOUBLE) / count(utility) AS mean_utility
+            FROM (SELECT user_id, p_brand, month, sum(spent) AS spent FROM purchases JOIN part ON p_partkey = item_id
+                  WHERE p_brand IS NOT NULL GROUP BY 1, 2, 3) p
+            JOIN scores_by_ad s ON s.ad = p_brand AND s.id = user_id JOIN customer ON c_custkey = user_id
+            GROUP BY CUBE (p_brand, c_mktsegment, month)""", _SCORES),
+        "affinity_stream": _sql("SELECT * FROM affinity_by_events"),
+        "vertex_store": _sql("""
+            SELECT v.id, page, CASE WHEN e.id IS NOT NULL THEN e.affinity ELSE v.affinity END AS affinity, centrality, utility,
+                neighbours
+            FROM vertices v LEFT JOIN affinity_by_events e ON e.id = v.id AND e.ad = 7""", _VERTICES),
+        "cover_users": _sql(
+            "SELECT rank, id, gain, CAST(sum(gain) OVER (ORDER BY rank) AS BIGINT) AS reached FROM ("
+            + " UNION ALL ".join(f"SELECT {i}::BIGINT AS rank, id, gain FROM pick_{i}" for i in range(1, 21)) + ")", _COVER),
     }

@@ -26,6 +26,13 @@ def utility_score(affinity: Column, centrality: Column, largest: Column) -> Colu
     return F.round(F.coalesce(ratio(affinity * centrality, largest), F.lit(0.0)), 6)
 
 
+def whole_seconds(start: Column, end: Column) -> Column:
+    """Full seconds from one time without a zone to a later one."""
+    passed = end - start
+    days, hours, minutes, seconds = (F.extract(F.lit(part), passed) for part in ("DAY", "HOUR", "MINUTE", "SECOND"))
+    return F.floor(((days * 24 + hours).cast("bigint") * 60 + minutes) * 60 + seconds).cast("bigint")
+
+
 def id_list(ids: Column) -> Column:
     """An id array as comma-joined text."""
     return F.array_join(F.transform(ids, lambda x: x.cast("string")), ",")

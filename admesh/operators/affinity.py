@@ -40,15 +40,17 @@ def spend_affinity_all_ads(purchases: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def event_affinity(exposures: DataFrame) -> DataFrame:
-    """Share of a user's exposures to an ad that ended in a click or purchase."""
+def event_counts(exposures: DataFrame) -> DataFrame:
+    """``id, ad, taken, shown``: a user's clicks and purchases on an ad, and these with the views."""
     def seen(*kinds: str):
         return F.count(F.when(F.col("event_type").isin(*kinds), True))
-    return (
-        exposures.groupBy(F.col("user_id").alias("id"), "ad")
-        .agg(seen("click", "purchase").alias("taken"), seen("view", "click", "purchase").alias("shown"))
-        .select("id", "ad", ratio(F.col("taken"), F.col("shown")).alias("affinity"))
-    )
+    return exposures.groupBy(F.col("user_id").alias("id"), "ad").agg(
+        seen("click", "purchase").alias("taken"), seen("view", "click", "purchase").alias("shown"))
+
+
+def event_affinity(exposures: DataFrame) -> DataFrame:
+    """Share of a user's exposures to an ad that ended in a click or purchase."""
+    return event_counts(exposures).select("id", "ad", ratio(F.col("taken"), F.col("shown")).alias("affinity"))
 
 
 def neighbour_affinity(incidence: DataFrame, affinity: DataFrame, run: RunFolder) -> DataFrame:

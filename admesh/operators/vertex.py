@@ -28,27 +28,37 @@ def unscored(users: DataFrame) -> DataFrame:
     return users.select("id", F.lit(0).cast("bigint").alias("page"), *empty)
 
 
-def scored(scores: DataFrame, neighbours: DataFrame, largest: Column) -> DataFrame:
-    """Vertices with all attributes from ``id, affinity, centrality`` and neighbour lists.
+def heads(scores: DataFrame, largest: Column) -> DataFrame:
+    """The scores of vertices, one row each, from ``id, affinity, centrality``; ``largest`` is the greatest centrality."""
+    utility = utility_score(F.coalesce("affinity", F.lit(0.0)), F.col("centrality"), largest)
+    return scores.select("id", "affinity", "centrality", utility.alias("utility"))
+
+
+def with_lists(heads: DataFrame, neighbours: DataFrame) -> DataFrame:
+    """Vertices with all attributes from their scores and neighbour lists; users without a list get an empty one.
 
-    ``largest`` is the greatest centrality. Users without a list get an empty
-    one. Pass tables rather than queries: both are read twice, and a join of two
+    Pass tables rather than queries: both are read twice, and a join of two
     scans lets the skew join split a hub's pages.
     """
-    utility = utility_score(F.coalesce("affinity", F.lit(0.0)), F.col("centrality"), largest)
-    alone = scores.join(neighbours.filter(F.col("page") == 0), "id", "left_anti").select(
+    alone = heads.join(neighbours.filter(F.col("page") == 0), "id", "left_anti").select(
         "*", F.lit(0).cast("bigint").alias("page"), F.array().cast("array<bigint>").alias("neighbours"))
     return (
-        neighbours.join(scores, "id").unionByName(alone)
-        .select("id", "page", "affinity", "centrality", utility.alias("utility"), "neighbours")
+        neighbours.join(heads, "id").unionByName(alone)
+        .select("id", "page", *SCORES, "neighbours")
     )
 
 
+def scored(scores: DataFrame, neighbours: DataFrame, largest: Column) -> DataFrame:
+    """Vertices with all attributes from ``id, affinity, centrality`` and neighbour lists, see the parts above."""
+    return with_lists(heads(scores, largest), neighbours)
+
+
 def read(vertices: DataFrame, attribute: str) -> DataFrame:
-    """One attribute per user; neighbours come as one row per neighbour."""
+    """One attribute per user, of vertices or their heads; neighbours come as one row per neighbour."""
     if attribute == "neighbours":
         return vertices.select("id", F.explode("neighbours").alias("neighbour"))
-    return vertices.filter(F.col("page") == 0).select(*dict.fromkeys(["id", attribute]))
+    vertices = vertices.filter(F.col("page") == 0) if "page" in vertices.columns else vertices
+    return vertices.select(*dict.fromkeys(["id", attribute]))
 
 
 def replace(vertices: DataFrame, updates: DataFrame, attribute: str) -> DataFrame:

@@ -5,10 +5,17 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from admesh.operators import affinity, graph, select, vertex
+from admesh.functions.columns import whole_seconds
+from admesh.operators import affinity, graph, select, spread, structure, vertex
+from admesh.operators.asof import next_after
+from admesh.operators.cover import cover_users
+from admesh.operators.cube import user_cube
 from admesh.operators.pagerank import pagerank
+from admesh.sinks.store import Store
 from admesh.sources import facts
 from admesh.storage import RunFolder
+from admesh.streaming.affinity import SCHEMA as COUNTS
+from admesh.streaming.affinity import affinities, update_affinity
 
 
 class Audience:
@@ -63,10 +70,14 @@ class Audience:
         # Read for ordinary, popular and id ranges, so the purchases are written.
         return graph.edges(self.purchases, self.run)
 
+    @cached_property
+    def listing(self) -> DataFrame:
+        """The edges, written: read for hubs and lists, and more than once for triangles and cores."""
+        return self.run.write(self.edges, "edges")
+
     @cached_property
     def neighbours(self) -> DataFrame:
-        edges = self.run.write(self.edges, "edges")  # read for the hubs and for the lists
-        return self.run.write(graph.neighbours(edges, self.run), "neighbours")
+        return self.run.write(graph.neighbours(self.listing, self.run), "neighbours")
 
     @cached_property
     def pagerank(self) -> DataFrame:
@@ -123,10 +134,66 @@ class Audience:
     def select_non_adjacent(self, ad: str) -> DataFrame:
         return select.non_adjacent(self.candidates(ad), self.incidence, self.run)
 
+    def _picks(self, ad: str, k: int) -> DataFrame:
+        """The k best users' ids, written: few rows that are read more than once."""
+        return self.run.write(self.select_users(ad, k).select("id"), "picks")
+
     def audience_reach(self, ad: str, k: int = 20) -> DataFrame:
-        # Written: k rows that are joined twice.
-        picks = self.run.write(self.select_users(ad, k), "picks")
-        return select.reach(picks, self.incidence)
+        return select.reach(self._picks(ad, k), self.incidence)
+
+    def hop_distance(self, ad: str, k: int = 20) -> DataFrame:
+        """Every user's steps between co-buyers from the nearest of an ad's picks."""
+        return spread.hop_distance(self.users, self._picks(ad, k), self.incidence, self.run)
+
+    def components(self) -> DataFrame:
+        return spread.user_components(self.users, self.incidence, self.run)
+
+    def communities(self, rounds: int = 5) -> DataFrame:
+        return spread.communities(self.users, self.incidence, self.run, rounds)
+
+    def triangles(self) -> DataFrame:
+        return structure.triangles(self.users, self.listing, self.run)
+
+    def core_numbers(self) -> DataFrame:
+        return structure.core_numbers(self.users, self.listing, self.run)
+
+    def cover_users(self, ad: str, k: int = 20) -> DataFrame:
+        """The k buyers of an ad's items who together reach most users."""
+        buyers = self._spend_affinity(ad, self.purchases).filter(F.col("bought") > 0).select("id")
+        return cover_users(buyers.join(self.users, "id", "left_semi"), self.incidence, self.run, k)
+
+    def next_purchase(self) -> DataFrame:
+        """Each view or click of an ad with the user's next purchase event, of whatever ad, and the seconds between."""
+        events = facts.ad_events(self.spark, self.folder)
+        bought = (
+            events.filter(F.col("event_type") == "purchase").groupBy("id", "at")
+            .agg(F.min(F.struct("event_id", "ad", "at")).alias("purchase")))
+        seen = events.filter(F.col("event_type").isin("view", "click")).select("event_id", "id", "ad", "at")
+        return next_after(seen, bought, "id", "at", "purchase").select(
+            "event_id", "id", "ad", F.col("purchase.event_id").alias("purchase_id"), F.col("purchase.ad").alias("purchase_ad"),
+            whole_seconds(F.col("at"), F.col("purchase.at")).alias("seconds"))
+
+    def audience_cube(self) -> DataFrame:
+        """Users, spend and mean utility by every combination of ad, segment and month."""
+        by_month = (
+            self.purchases.join(self.items, "item_id")
+            .groupBy("ad", F.col("user_id").alias("id"), F.trunc("day", "month").alias("month")).agg(F.sum("spent").alias("spent")))
+        scores = self.utility().select("ad", "id", "utility")
+        rows = by_month.filter(F.col("ad").isNotNull()).join(scores, ["ad", "id"]).join(
+            facts.segments(self.spark, self.folder), "id")
+        return user_cube(rows, ["ad", "segment", "month"], "spent", "utility")
+
+    def vertex_store(self, ad: str) -> Store:
+        """An ad's vertex table in a store of its own, which lives as long as this run's tables."""
+        store = Store(self.spark, self.run.place("vertices"), vertex.SCHEMA)
+        store.write(self.vertex_table(ad))
+        return store
+
+    def affinity_stream(self) -> DataFrame:
+        """W9 from a stream of the event files that are there now."""
+        store = Store(self.spark, self.run.place("affinities"), COUNTS)
+        update_affinity(self.spark, self.folder, store, self.run.place("progress"), self.run, pattern="events*.parquet")
+        return affinities(store)
 
     def neighbour_affinity(self, ad: str) -> DataFrame:
         known = self._spend_affinity(ad, self.purchases)
@@ -138,13 +205,20 @@ class Audience:
     def vertex_ids(self) -> DataFrame:
         return vertex.unscored(self.users)
 
-    def vertex_table(self, ad: str) -> DataFrame:
+    def vertex_heads(self, ad: str) -> DataFrame:
+        """The vertex table's scores without the neighbour lists, one row per user."""
         others = self.users.agg(F.count(F.lit(1)) - 1).scalar()
         _, greatest = self.centrality()
         scores = (
-            self.users.join(self._spend_affinity(ad, self.purchases).select("id", "affinity"), "id", "left")
+            self.users.join(self._spend_affinity(ad, self._purchases_once()).select("id", "affinity"), "id", "left")
             .join(self.degrees, "id", "left")
             .select("id", "affinity",
                     F.coalesce(graph.ratio(F.coalesce("degree", F.lit(0)), others), F.lit(0.0)).alias("centrality"))
         )
-        return vertex.scored(self.run.write(scores, "scores"), self.neighbours, greatest)
+        return vertex.heads(scores, greatest)
+
+    def vertex_table(self, ad: str, heads: DataFrame | None = None) -> DataFrame:
+        """All attributes of every user; ``heads`` takes the place of the computed scores."""
+        self.purchases  # written before the scores read them, as the listing needs them too
+        heads = self.vertex_heads(ad) if heads is None else heads
+        return vertex.with_lists(self.run.write(heads, "heads"), self.neighbours)

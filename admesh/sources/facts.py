@@ -39,12 +39,32 @@ def purchases(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def exposures(spark: SparkSession, folder: str) -> DataFrame:
-    """Ad events: ``user_id, ad, event_type``; the ad is the whole number in the event's JSON."""
+def with_ad(events: DataFrame) -> DataFrame:
+    """The events of known users that name an ad, with ``ad``: the whole number in the event's JSON."""
     number = F.get_json_object("props", "$.k")
     return (
-        table(spark, folder, "events")
-        .filter(F.col("user_id").isNotNull())
-        .select("user_id", F.when(number.rlike("^-?[0-9]+$"), number.try_cast("bigint")).alias("ad"), "event_type")
+        events.filter(F.col("user_id").isNotNull())
+        .withColumn("ad", F.when(number.rlike("^-?[0-9]+$"), number.try_cast("bigint")))
         .filter(F.col("ad").isNotNull())
     )
+
+
+def exposures_of(events: DataFrame) -> DataFrame:
+    """``user_id, ad, event_type`` of raw events."""
+    return with_ad(events).select("user_id", "ad", "event_type")
+
+
+def exposures(spark: SparkSession, folder: str) -> DataFrame:
+    """Ad events: ``user_id, ad, event_type``."""
+    return exposures_of(table(spark, folder, "events"))
+
+
+def ad_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Ad events with their time: ``event_id, at, id, ad, event_type``."""
+    return with_ad(table(spark, folder, "events")).select(
+        "event_id", F.col("ts").alias("at"), F.col("user_id").alias("id"), "ad", "event_type")
+
+
+def segments(spark: SparkSession, folder: str) -> DataFrame:
+    """``id, segment`` of every user."""
+    return table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"))

@@ -51,14 +51,19 @@ class RunFolder:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` as a new table of this run and return a scan of it."""
+    def place(self, name: str) -> str:
+        """A new path of this run, deleted with its tables."""
         number = next(self._numbers)
-        path = f"{self.path}/{name}-{number}"
-        df.write.parquet(path)
         if number == 0 and hasattr(self.spark, "_jvm"):
             files, folder = self._files()
+            files.mkdirs(folder)
             files.deleteOnExit(folder)
+        return f"{self.path}/{name}-{number}"
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` as a new table of this run and return a scan of it."""
+        path = self.place(name)
+        df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self) -> None:

@@ -1,0 +1,106 @@
+"""The bucketed store, and the stream that keeps affinities in one."""
+
+import datetime as dt
+import random
+from pathlib import Path
+
+import pytest
+
+from admesh.operators import vertex
+from admesh.operators.affinity import event_affinity
+from admesh.sinks.store import Store
+from admesh.sources import facts
+from admesh.sources.tables import SCHEMAS
+from admesh.streaming.affinity import SCHEMA as COUNTS
+from admesh.streaming.affinity import affinities, update_affinity
+
+VERTEX = "id bigint, page bigint, affinity double, centrality double, utility double, neighbours array<bigint>"
+
+
+def files(path):
+    return {f: f.stat().st_mtime_ns for f in Path(path).rglob("*.parquet")}
+
+
+def vertices(n=60):
+    return [(i, p, i / 7, None, 0.5, [i + 1, p]) for i in range(n) for p in range(1 + (i % 9 == 0))]
+
+
+def test_an_update_leaves_other_buckets_files_alone(spark, table, run):
+    store = Store(spark, run.place("store"), vertex.SCHEMA, buckets=8)
+    store.write(table(vertices(), VERTEX))
+    before = files(store.path)
+    assert len(before) == 8 and sorted(map(tuple, store.read().collect())) == vertices()
+    updates = table([(3, 9.0), (4, None), (999, 1.0)], "id bigint, affinity double")
+    touched = store.update(updates, lambda old: vertex.replace(old, updates, "affinity"), run)
+    want = [(i, p, {3: 9.0, 4: None}.get(i, a), *rest) for i, p, a, *rest in vertices()]
+    assert sorted(map(tuple, store.read().collect())) == want
+    after, names = files(store.path), {f"bucket={b}" for b in touched}
+    assert 0 < len(touched) <= 3
+    assert {f for f in before if f.parent.name not in names} == {f for f in after if f.parent.name not in names}
+    assert all(before[f] == after[f] for f in before if f.parent.name not in names)
+    assert not {f for f in before if f.parent.name in names} & after.keys()
+
+
+def test_lists_are_replaced_page_by_page(spark, table, run):
+    store = Store(spark, run.place("store"), vertex.SCHEMA, buckets=4)
+    store.write(table(vertices(), VERTEX))
+    updates = table([(0, 0, [5]), (1, 0, [6]), (1, 1, [7])], "id bigint, page bigint, neighbours array<bigint>")
+    store.update(updates, lambda old: vertex.replace(old, updates, "neighbours"), run)
+    got = {(r.id, r.page): r.neighbours for r in store.read().filter("id < 3").collect()}
+    assert got == {(0, 0): [5], (1, 0): [6], (1, 1): [7], (2, 0): [3, 0]}
+
+
+def test_a_read_of_some_buckets_scans_their_directories(spark, table, run):
+    store = Store(spark, run.place("store"), vertex.SCHEMA, buckets=8)
+    store.write(table(vertices(), VERTEX))
+    plan = store.read([2, 5])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_upserts_agree_with_a_dictionary(spark, table, run, seed):
+    r, known = random.Random(seed), {}
+    store = Store(spark, run.place("store"), COUNTS, buckets=5)
+    for _ in range(3):
+        batch = {(r.randrange(12), r.choice([1, 2, None])): (r.randrange(9), r.randrange(9)) for _ in range(8)}
+        store.upsert(run.write(table([(*k, *v) for k, v in batch.items()], COUNTS), "batch"), ["id", "ad"], run)
+        known |= batch
+        assert {(x.id, x.ad): (x.taken, x.shown) for x in store.read().collect()} == known
+
+
+def events(seed, n, start):
+    r = random.Random(seed)
+    return [(start + i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=r.randrange(600)), r.choice([1, 1, 2, 3, None]),
+             r.choice(["view", "click", "purchase", "signup"]), 1.0, r.choice(['{"k": 5}', '{"k": 6}', '{"k": "x"}', None]))
+            for i in range(n)]
+
+
+def rows(df):
+    return sorted((r.id, r.ad, r.affinity) for r in df.collect())
+
+
+def test_the_stream_follows_the_files(spark, table, run):
+    source, progress = run.place("source"), run.place("progress")
+    store = Store(spark, run.place("store"), COUNTS, buckets=4)
+    seen = []
+    for i, start in enumerate((0, 100, 200)):
+        # The last ten events of a file come again in the next one.
+        own = events(i, 100, start)
+        table(own + seen[-10:], SCHEMAS["events"]).coalesce(1).write.mode("append").parquet(source)
+        seen += own
+        update_affinity(spark, source, store, progress, run, files=1)
+        assert rows(affinities(store)) == rows(event_affinity(facts.exposures_of(table(seen, SCHEMAS["events"]))))
+        stored = files(store.path)
+        update_affinity(spark, source, store, progress, run)  # nothing new: nothing counted again, nothing written
+        assert files(store.path) == stored
+
+
+def test_events_later_than_the_delay_are_dropped(spark, table, run):
+    source, progress = run.place("source"), run.place("progress")
+    store = Store(spark, run.place("store"), COUNTS, buckets=2)
+    at = dt.datetime
+    for batch in ([(1, at(2024, 3, 1), 7, "view", 1.0, '{"k": 5}')],
+                  [(2, at(2024, 2, 25), 7, "click", 1.0, '{"k": 5}'), (3, at(2023, 1, 1), 7, "click", 1.0, '{"k": 5}')]):
+        table(batch, SCHEMAS["events"]).coalesce(1).write.mode("append").parquet(source)
+        update_affinity(spark, source, store, progress, run, delay="10 days")
+    assert [tuple(r) for r in store.read().collect()] == [(7, 5, 1, 2)]

@@ -1,0 +1,91 @@
+"""Triangles and cores against brute force and sequential peeling."""
+
+import random
+from itertools import combinations
+
+import pytest
+
+from admesh.operators.structure import core_numbers, triangles
+
+EDGE = "src bigint, dst bigint, weight bigint"
+
+
+def graph_of(seed, people=40, n=150, hub=True):
+    r = random.Random(seed)
+    edges = {tuple(sorted(r.sample(range(people), 2))) for _ in range(n)}
+    if hub:
+        edges |= {(0, u) for u in range(1, 2 * people)}
+    return sorted(edges)
+
+
+def near_of(edges):
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    return near
+
+
+GRAPHS = [graph_of(1), graph_of(2, hub=False), [], [(1, 2), (1, 3), (2, 3)], [(i, i + 1) for i in range(30)],
+          list(combinations(range(9), 2)) + [(8, 20), (20, 21)]]
+
+
+@pytest.mark.parametrize("edges", GRAPHS)
+def test_triangles_match_every_triple(table, run, edges):
+    near = near_of(edges)
+    users = sorted({*near, 99})
+    want = {}
+    for u in users:
+        own = near.get(u, set())
+        n = sum(b in near[a] for a, b in combinations(sorted(own), 2))
+        want[u] = len(own), n, round(2 * n / (len(own) * (len(own) - 1)), 6) if len(own) > 1 else 0.0
+    got = triangles(table([(u,) for u in users], "id bigint"), table([(*e, 1) for e in edges], EDGE), run).collect()
+    assert {r.id: (r.degree, r.triangles, r.clustering) for r in got} == want and len(got) == len(users)
+
+
+def test_a_hub_owns_few_of_its_edges(table, run, monkeypatch):
+    edges, lists, write = graph_of(3, people=50), [], run.write
+
+    def seen(df, name):
+        out = write(df, name)
+        if name == "own_neighbours":
+            lists.extend(out.collect())
+        return out
+    monkeypatch.setattr(run, "write", seen)
+    triangles(table([(0,)], "id bigint"), table([(*e, 1) for e in edges], EDGE), run).collect()
+    assert lists and max(len(r.own) for r in lists) <= (2 * len(edges)) ** 0.5
+    assert 0 not in {r.id for r in lists}
+
+
+def peeled(edges, users):
+    near = {u: set(v) for u, v in near_of(edges).items()}
+    core, k = {u: 0 for u in users}, 0
+    while near:
+        u = min(near, key=lambda x: (len(near[x]), x))
+        k = max(k, len(near[u]))
+        core[u] = k
+        for v in near.pop(u):
+            near[v].discard(u)
+    return core
+
+
+@pytest.mark.parametrize("edges", GRAPHS)
+def test_cores_match_peeling(table, run, edges):
+    users = sorted({*near_of(edges), 99})
+    got = core_numbers(table([(u,) for u in users], "id bigint"), table([(*e, 1) for e in edges], EDGE), run).collect()
+    assert {r.id: r.core for r in got} == peeled(edges, users) and len(got) == len(users)
+
+
+def test_only_users_beside_a_change_are_asked_again(table, run, monkeypatch):
+    tail = [(100 + i, 101 + i) for i in range(12)]
+    edges, asked, write = list(combinations(range(8), 2)) + tail, [], run.write
+
+    def seen(df, name):
+        out = write(df, name)
+        if name == "asked":
+            asked.append({r.id for r in out.collect()})
+        return out
+    monkeypatch.setattr(run, "write", seen)
+    core_numbers(table([(0,)], "id bigint"), table([(*e, 1) for e in edges], EDGE), run)
+    assert len(asked) > 3 and all(not a & set(range(8)) for a in asked[1:])
+    assert all(len(b) <= len(a) for a, b in zip(asked, asked[1:]))
