@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from admesh.llm.components import roots
+from admesh.operators.components import roots
 from admesh.llm.rolling import chunks
 from admesh.llm.tables import documents
 from admesh.storage import RunFolder
