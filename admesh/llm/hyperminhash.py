@@ -15,21 +15,31 @@ it is six standard deviations off.
 Not all pairs of a group are needed to find its component. Equal sets collapse
 to one representative first. Then each member of a band is compared with the
 band's smallest id, the likeliest of these pairs per document first, and with
-``TURNS`` further members as long as the band holds several components. At last
-all pairs of a band that still lie in different components are compared.
+``TURNS`` further members as long as the band holds several components.
+
+What is left are bands whose members do not all belong together: often a large
+group of texts that are alike, but not enough for a link. Listing their pairs
+would cost the group's square, so they meet through rare shingles. In an order
+of all shingles by frequency, two linked sets agree in one of their first few (as
+many as one may miss, and one more: Bayardo, Ma and Srikant, "Scaling up all
+pairs similarity search"); the place of the first that agrees bounds what can
+still agree after it (Xiao et al., "Efficient similarity joins for near
+duplicate detection"). Texts that are alike through common passages have
+their rarest shingles to themselves and never meet.
 """
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from admesh.operators.components import components, roots
 from admesh.llm.rolling import RangeHashes, chunks, joined, mix, runs_of
 from admesh.llm.tables import table
+from admesh.operators.components import components, roots
 from admesh.storage import RunFolder
 
 WORDS = 5
@@ -37,7 +47,8 @@ PERCENT = 75  # least similarity of a link
 REGISTERS = 160
 BAND = 4  # registers of 16 bits in a key of 64
 MANTISSA = 10
-TURNS = 2  # further members that a band is compared with before all of its open pairs
+TURNS = 2  # further members that a band is compared with before its rare shingles
+STEP = 1.05  # between size classes
 CHUNK = 1_000_000
 
 _SPACE = np.zeros(256, bool)
@@ -203,6 +214,64 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return texts.groupBy("a", "b").agg(text("a"), text("b")).mapInArrow(run, "a bigint, b bigint")
 
 
+def _sets(members: DataFrame, docs: DataFrame) -> DataFrame:
+    """``doc_id, component, size, h``: a row for every shingle of the members ``doc_id, component``."""
+    def run(batches):
+        for part in chunks(batches, CHUNK):
+            sets = shingles(part.column("text").cast(pa.binary()).to_pylist())
+            sizes = np.array([len(s) for s in sets], np.int64)
+            ids, owners = (np.repeat(part.column(c).to_numpy(), sizes) for c in ("doc_id", "component"))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(owners), pa.array(np.repeat(sizes, sizes)),
+                 pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))], ["doc_id", "component", "size", "h"])
+    texts = (
+        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(members, "doc_id")
+        .groupBy("doc_id", "component").agg(F.max("text").alias("text")))
+    return texts.mapInArrow(run, "doc_id bigint, component bigint, size bigint, h bigint")
+
+
+def _rare_pairs(members: DataFrame, docs: DataFrame, run: RunFolder, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of members in different components that can reach the similarity, by their rarest shingles.
+
+    Sets of sizes x and y need ``percent * (x + y) / (100 + percent)`` common
+    shingles. In the order of frequency, then hash, a first common shingle at
+    place i leaves at most x - i of them. So the smaller set (of equal ones, that
+    of the smaller id) is entered with its first x / 7 shingles, at 75 percent,
+    and the larger looks up its first y / 4, each only among the sizes for which
+    it could still be the first. Shingles of one document alone come first in
+    the order and meet nothing, so only their number is needed. Whole components
+    are matched before documents, so that a component's own pairs are not listed.
+    """
+    sets = _sets(members, docs)
+    frequent = run.write(sets.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "frequent")
+    own = Window.partitionBy("doc_id")
+    size, place = F.col("size"), F.col("place")
+    alone = size - F.count(F.lit(1)).over(own)
+    left = size - place  # this one and those after it
+    rare = run.write(
+        sets.join(frequent, "h").withColumn("place", alone + F.row_number().over(own.orderBy("n", "h")) - 1)
+        .filter(100 * left >= percent * size).select("h", "doc_id", "component", "size", "place"), "rare")
+
+    def size_class(n):
+        return F.floor(F.log(n.cast("double")) / math.log(STEP))
+    entered = rare.filter((100 + percent) * left >= 2 * percent * size).select(
+        "h", size_class(size).alias("class"), F.col("doc_id").alias("a"), F.col("component").alias("ca"),
+        size.alias("na"), place.alias("i"))
+    least = F.ceil(percent * size / 100)
+    most = F.least(size, F.floor((100 + percent) * left / percent) - size)
+    asked = rare.filter(most >= least).select(
+        "h", F.explode(F.sequence(size_class(least), size_class(most))).alias("class"), F.col("doc_id").alias("b"),
+        F.col("component").alias("cb"), size.alias("nb"), place.alias("j"))
+    key = ["h", "class"]
+    mixed = entered.select(*key, "ca").distinct().join(asked.select(*key, "cb").distinct(), key).filter("ca != cb")
+    possible = (
+        ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))))
+        & (100 * F.col("na") >= percent * F.col("nb"))
+        & ((100 + percent) * F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j")) >= percent * (F.col("na") + F.col("nb"))))
+    met = mixed.join(entered, [*key, "ca"]).join(asked, [*key, "cb"]).filter(possible)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, run: RunFolder, percent: int = PERCENT, count: int = REGISTERS) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``doc_id, text``.
 
@@ -265,7 +334,7 @@ def near_duplicates(docs: DataFrame, run: RunFolder, percent: int = PERCENT, cou
         return 100 * F.least(one, two) >= percent * F.greatest(one, two)
 
     # Members of a band in different components: with the band's center first, then with a few
-    # others of the band, which joins up most of a group, and at last with each other.
+    # others of the band, which joins up most of a group, and at last through rare shingles.
     labels = joined_up(labels, apart(likely.join(best, ["a", "b"], "left_anti")))
     own = unsettled()
     for turn in range(TURNS):
@@ -277,13 +346,8 @@ def near_duplicates(docs: DataFrame, run: RunFolder, percent: int = PERCENT, cou
         labels = joined_up(labels, _likely(pairs, reps, percent).select("a", "b"))
         own = unsettled()
 
-    def side(name):
-        return own.select("band", "key", F.col("doc_id").alias(name), F.col("component").alias("c" + name),
-                          F.col("n_shingles").alias("n" + name))
-    across = (
-        side("a").join(side("b"), ["band", "key"])
-        .filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & alike("na", "nb"))
-        .select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"))
+    still = own.select("doc_id", "component").distinct()
+    across = _rare_pairs(run.write(still, "open"), docs, run, percent).join(stars, ["a", "b"], "left_anti")
     labels = joined_up(labels, _likely(across, reps, percent).select("a", "b"))
     classes = groups.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "k1", "k2", F.coalesce("component", "doc_id").alias("class"), F.lit(True).alias("some"))

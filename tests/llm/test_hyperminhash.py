@@ -112,3 +112,38 @@ def test_a_very_long_text(table, run):
     rows = [(1, long), (2, long + " end"), (3, "x" * 1_000_000)]
     assert got(hm.near_duplicates(table(rows, DOC), run)) == [
         (1, 199_996, 1, True), (2, 199_997, 1, False), (3, 1, 3, True)]
+
+
+def test_alike_but_unlinked_texts_do_not_meet_in_pairs(table, run, monkeypatch):
+    """Thousands of texts alike at 0.6 to 0.74, some of which are linked."""
+    r = random.Random(7)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(3_000):
+        text = list(base)
+        for at in r.sample(range(5, 195), 4 if i % 100 else 1):
+            text[at] = f"own{i}_{at}"
+        rows.append((i, " ".join(text)))
+    sizes, write = {}, run.write
+
+    def seen(df, name):
+        out = write(df, name)
+        sizes.setdefault(name, []).append(out.count())
+        return out
+    monkeypatch.setattr(run, "write", seen)
+    got = {x.doc_id: x.component_id for x in hm.near_duplicates(table(rows, DOC), run).collect()}
+    sets = {i: shingle_set(t) for i, t in rows}
+    near = {i: min((j for j in sets if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])), default=i) for i in range(0, 3_000, 100)}
+    assert all(got[i] == got[j] for i, j in near.items())
+    assert max(sizes["pairs"]) < 10 * len(rows)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_rare_shingles_lose_no_link(table, run, seed):
+    rows = copies(seed, groups=8, size=15)
+    sets = {i: shingle_set(t) for i, t in rows}
+    linked = {(a, b) for a in sets for b in sets if a < b and sets[a] and sets[a] != sets[b]
+              and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    members = table([(i, i) for i, t in rows if sets[i]], "doc_id bigint, component bigint")
+    met = {(x.a, x.b) for x in hm._rare_pairs(members, table(rows, DOC), run, 75).collect()}
+    assert linked <= met and linked and len(met) < len(sets) ** 2 / 2
