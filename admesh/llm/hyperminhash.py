@@ -162,14 +162,17 @@ def sketch(docs: DataFrame, count: int = REGISTERS) -> DataFrame:
 
 
 def _bands(reps: DataFrame, count: int) -> DataFrame:
-    """``doc_id, n_shingles, band, key`` with the packed registers of each band as key."""
+    """``doc_id, key`` with a 64-bit key of the band's number and packed registers, for each band.
+
+    Two bands of different content meet under a key about never; if they do, they
+    are two candidates more.
+    """
     width = 2 * BAND
 
     def key(i: Column) -> Column:
-        return F.substring(F.col("registers"), i * width + 1, F.lit(width))
-    packed = F.transform(F.sequence(F.lit(0), F.lit(count // BAND - 1)),
-                         lambda i: F.conv(F.hex(key(i)), 16, -10).cast("bigint"))
-    return reps.select("doc_id", "n_shingles", F.posexplode(packed).alias("band", "key"))
+        return F.xxhash64(i, F.substring(F.col("registers"), i * width + 1, F.lit(width)))
+    keys = F.transform(F.sequence(F.lit(0), F.lit(count // BAND - 1)), key)
+    return reps.select("doc_id", F.explode(keys).alias("key"))
 
 
 def _likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -214,24 +217,24 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return texts.groupBy("a", "b").agg(text("a"), text("b")).mapInArrow(run, "a bigint, b bigint")
 
 
-def _sets(members: DataFrame, docs: DataFrame) -> DataFrame:
-    """``doc_id, component, size, h``: a row for every shingle of the members ``doc_id, component``."""
+def _sets(members: DataFrame, docs: DataFrame, repeated: bool) -> DataFrame:
+    """``doc_id, h, size``: a row for every shingle of the members, with their number; ``repeated`` if ids may repeat."""
     def run(batches):
         for part in chunks(batches, CHUNK):
             sets = shingles(part.column("text").cast(pa.binary()).to_pylist())
             sizes = np.array([len(s) for s in sets], np.int64)
-            ids, owners = (np.repeat(part.column(c).to_numpy(), sizes) for c in ("doc_id", "component"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids), pa.array(owners), pa.array(np.repeat(sizes, sizes)),
-                 pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))], ["doc_id", "component", "size", "h"])
-    texts = (
-        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(members, "doc_id")
-        .groupBy("doc_id", "component").agg(F.max("text").alias("text")))
-    return texts.mapInArrow(run, "doc_id bigint, component bigint, size bigint, h bigint")
+                [pa.array(np.repeat(part.column("doc_id").to_numpy(), sizes)),
+                 pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)),
+                 pa.array(np.repeat(sizes, sizes).astype(np.int32))], ["doc_id", "h", "size"])
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(members.select("doc_id"), "doc_id")
+    if repeated:
+        texts = texts.groupBy("doc_id").agg(F.max("text").alias("text"))
+    return texts.mapInArrow(run, "doc_id bigint, h bigint, size int")
 
 
-def _rare_pairs(members: DataFrame, docs: DataFrame, run: RunFolder, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of members in different components that can reach the similarity, by their rarest shingles.
+def _rare_pairs(members: DataFrame, docs: DataFrame, run: RunFolder, percent: int, repeated: bool = True) -> DataFrame:
+    """Pairs ``a, b`` of members ``doc_id, component`` in different components that can reach the similarity, by their rarest shingles.
 
     Sets of sizes x and y need ``percent * (x + y) / (100 + percent)`` common
     shingles. In the order of frequency, then hash, a first common shingle at
@@ -242,15 +245,16 @@ def _rare_pairs(members: DataFrame, docs: DataFrame, run: RunFolder, percent: in
     the order and meet nothing, so only their number is needed. Whole components
     are matched before documents, so that a component's own pairs are not listed.
     """
-    sets = _sets(members, docs)
+    sets = _sets(members, docs, repeated)
     frequent = run.write(sets.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "frequent")
     own = Window.partitionBy("doc_id")
-    size, place = F.col("size"), F.col("place")
+    size, place = F.col("size").cast("bigint"), F.col("place")
     alone = size - F.count(F.lit(1)).over(own)
     left = size - place  # this one and those after it
     rare = run.write(
         sets.join(frequent, "h").withColumn("place", alone + F.row_number().over(own.orderBy("n", "h")) - 1)
-        .filter(100 * left >= percent * size).select("h", "doc_id", "component", "size", "place"), "rare")
+        .filter(100 * left >= percent * size).join(members, "doc_id")
+        .select("h", "doc_id", "component", size.alias("size"), "place"), "rare")
 
     def size_class(n):
         return F.floor(F.log(n.cast("double")) / math.log(STEP))
@@ -289,9 +293,9 @@ def near_duplicates(docs: DataFrame, run: RunFolder, percent: int = PERCENT, cou
     reps = groups.select("doc_id", "n_shingles", "registers")
     bands = run.write(_bands(reps, count), "bands")
     shared = run.write(
-        bands.groupBy("band", "key").agg(F.min("doc_id").alias("center"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1").drop("n"), "shared")
-    members = run.write(bands.join(shared, ["band", "key"]), "members")
+        bands.groupBy("key").agg(F.min("doc_id").alias("center"), F.max("doc_id").alias("last"))
+        .filter("center < last").drop("last"), "shared")
+    members = run.write(bands.join(shared, "key").join(reps.select("doc_id", "n_shingles"), "doc_id"), "members")
     stars = members.filter("doc_id != center").select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
     likely = run.write(_likely(stars, reps, percent), "likely")
     best = likely.groupBy("b").agg(F.max_by("a", "estimate").alias("a")).select("a", "b")
@@ -324,11 +328,11 @@ def near_duplicates(docs: DataFrame, run: RunFolder, percent: int = PERCENT, cou
     def unsettled():
         """Members of bands whose members lie in different components."""
         named = members.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-            "band", "key", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
+            "key", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
         mixed = run.write(
-            named.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            .filter("low != high").select("band", "key"), "mixed")
-        return run.write(named.join(mixed, ["band", "key"]), "own")
+            named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+            .filter("low != high").select("key"), "mixed")
+        return run.write(named.join(mixed, "key"), "own")
 
     def alike(one, two):
         return 100 * F.least(one, two) >= percent * F.greatest(one, two)
@@ -338,16 +342,17 @@ def near_duplicates(docs: DataFrame, run: RunFolder, percent: int = PERCENT, cou
     labels = joined_up(labels, apart(likely.join(best, ["a", "b"], "left_anti")))
     own = unsettled()
     for turn in range(TURNS):
-        centers = own.groupBy("band", "key").agg(F.min(F.struct(
+        centers = own.groupBy("key").agg(F.min(F.struct(
             F.xxhash64("doc_id", F.lit(turn)).alias("h"), F.col("doc_id").alias("center"),
-            F.col("component").alias("cc"), F.col("n_shingles").alias("nc"))).alias("c")).select("band", "key", "c.*")
-        pairs = own.join(centers, ["band", "key"]).filter((F.col("component") != F.col("cc")) & alike("n_shingles", "nc"))
+            F.col("component").alias("cc"), F.col("n_shingles").alias("nc"))).alias("c")).select("key", "c.*")
+        pairs = own.join(centers, "key").filter((F.col("component") != F.col("cc")) & alike("n_shingles", "nc"))
         pairs = pairs.select(F.least("doc_id", "center").alias("a"), F.greatest("doc_id", "center").alias("b")).distinct()
         labels = joined_up(labels, _likely(pairs, reps, percent).select("a", "b"))
         own = unsettled()
 
     still = own.select("doc_id", "component").distinct()
-    across = _rare_pairs(run.write(still, "open"), docs, run, percent).join(stars, ["a", "b"], "left_anti")
+    repeated = bool(known.groupBy("doc_id").count().filter("count > 1").head(1))
+    across = _rare_pairs(run.write(still, "open"), docs, run, percent, repeated).join(stars, ["a", "b"], "left_anti")
     labels = joined_up(labels, _likely(across, reps, percent).select("a", "b"))
     classes = groups.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "k1", "k2", F.coalesce("component", "doc_id").alias("class"), F.lit(True).alias("some"))
