@@ -1,14 +1,18 @@
 """Benchmark decontamination in DataFrame operations only.
 
 Documents and benchmark items are compared as words (lower case, letters and
-digits). A window of an item's size that shares no three-word shingle with any
-item is unlike all of them, so windows are laid where a shared shingle puts
-them: a bit field of fixed size tells which shingles of a document can be
-shared, and a join settles it. Equal windows collapse to one.
+digits). A document and an item are looked at together if they share one of the
+item's rarest shingles: of its three-word shingles, the rarest in the corpus that
+carry more than a quarter of its weight. A window of similarity 0.75 misses less
+than that, so it holds one of them, while passages of frequent words meet
+nothing. Windows of the item's size are then laid where any shared shingle puts
+them. A bit field tells which shingles of a document can be an item's, so the
+corpus is read once for these and once more for the few documents with windows.
+Equal windows collapse to one.
 
 Each window and item has a 64-bit SimHash of its shingles, weighted by their
-length. Fingerprints within ``RADIUS`` bits are found by a multi-index: of four
-blocks of 16 bits one must be within ``RADIUS // 4`` bits, so every item is
+length. Fingerprints within ``RADIUS`` bits are found by a multi-index: of eight
+blocks of 8 bits one must be within ``RADIUS // 8`` bits, so every item is
 stored under all its blocks' neighbours of that distance and every window is
 looked up under its own blocks. Candidates are then verified exactly by the
 weighted similarity of their shingle multisets.
@@ -18,7 +22,7 @@ with probability 0.172 and a pair by 11 bits on average. ``RADIUS`` lies four
 standard deviations above: of 64 bits more than 23 differ in 1 pair of 10,000.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from admesh.llm.tables import table
@@ -26,9 +30,11 @@ from admesh.storage import RunFolder
 
 SHINGLE = 3
 RADIUS = 23
-BLOCKS = 4
+BLOCKS = 8
+BITS = 64 // BLOCKS
 SIMILARITY = 0.75
-FIELD_WORDS = 16_384  # longs of the bit field of item shingles, whatever the number of items
+FIELD_BITS = 16  # of the bit field for each distinct item shingle,
+FIELD_WORDS = 1 << 20  # up to so many longs (8 MB); more shingles make it let more through, for the join to settle
 
 
 def words_of(text: Column) -> Column:
@@ -78,31 +84,92 @@ def weight(shingles: Column) -> Column:
 
 
 def _block(fingerprint: Column, block: int) -> Column:
-    return F.shiftrightunsigned(fingerprint, 16 * block).bitwiseAND(F.lit(0xFFFF).cast("bigint"))
+    return F.shiftrightunsigned(fingerprint, BITS * block).bitwiseAND(F.lit((1 << BITS) - 1).cast("bigint"))
 
 
 def _near_masks() -> list[int]:
-    """All 16-bit values with at most ``RADIUS // BLOCKS`` bits set."""
-    return [m for m in range(1 << 16) if m.bit_count() <= RADIUS // BLOCKS]
+    """All values of a block with at most ``RADIUS // BLOCKS`` bits set."""
+    return [m for m in range(1 << BITS) if m.bit_count() <= RADIUS // BLOCKS]
 
 
-def _multiset_similarity(a: Column, b: Column, weights: Column) -> Column:
-    """Weight of the common shingles over the weight of all, repetitions counted; ``weights`` is that of both sides."""
-    def count(side, s):
-        return F.size(F.filter(side, lambda x: x == s))
-    common = F.aggregate(F.array_intersect(a, b), F.lit(0).cast("bigint"),
-                         lambda sum_, s: sum_ + F.length(s) * F.least(count(a, s), count(b, s)))
-    return common / F.nullif(weights - common, F.lit(0).cast("bigint"))
+def _under_blocks(side: DataFrame, masks: list[int]) -> DataFrame:
+    """A row for each block of ``fingerprint`` and mask, with the block's value under that mask."""
+    values = [F.struct(F.lit(block).alias("block"), _block(F.col("fingerprint"), block).bitwiseXOR(F.col("mask")).alias("value"))
+              for block in range(BLOCKS)]
+    listed = F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>")
+    return side.withColumn("mask", F.explode(listed)).withColumn("key", F.explode(F.array(*values))).select(
+        "*", "key.*").drop("mask", "key")
 
 
-def _field(hashes: DataFrame) -> Column:
-    """The items' shingle hashes as an array of longs with a bit set for each."""
-    slot = F.pmod("h", F.lit(64 * FIELD_WORDS))
+def _similar(sides: DataFrame, keys: list[str], bench: DataFrame, similarity: float) -> DataFrame:
+    """``keys, item, similarity`` of the windows that reach it.
+
+    ``sides`` holds ``keys, item, shingles, weight``, one row for each key and
+    item. Similarity is the weight of the common shingles over the weight of
+    all, repetitions counted, by one row per distinct shingle of either side.
+    """
+    key = [*keys, "item"]
+    own = sides.select(*key, "weight", F.explode("shingles.s").alias("s")).groupBy(*key, "weight", "s").agg(
+        F.count(F.lit(1)).alias("n"))
+    item = bench.select("item", F.col("weight").alias("whole"), F.explode("shingles.s").alias("s")).groupBy(
+        "item", "whole", "s").agg(F.count(F.lit(1)).alias("m"))
+    common = F.sum(F.length("s") * F.least("n", "m"))
+    return (
+        own.join(item, ["item", "s"]).groupBy(*key, "weight", "whole").agg(common.alias("common"))
+        .select(*key, (F.col("common") / (F.col("weight") + F.col("whole") - F.col("common"))).alias("similarity"))
+        .filter(F.col("similarity") >= similarity))
+
+
+def _field(hashes: DataFrame) -> tuple[Column, int]:
+    """The distinct shingle hashes as an array of longs with a bit set for each, and the number of bits."""
+    words = min(FIELD_WORDS, 1 << (hashes.count() * FIELD_BITS // 64).bit_length())
+    slot = F.pmod("h", F.lit(64 * words))
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(slot, F.lit(64)).cast("int"))
     longs = hashes.groupBy(F.floor(slot / 64).alias("id")).agg(F.bit_or(bit).alias("bits"))
-    every = hashes.sparkSession.range(FIELD_WORDS).join(longs, "id", "left")
+    every = hashes.sparkSession.range(words).join(longs, "id", "left")
     listed = F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits"))))
-    return every.agg(listed["bits"].alias("field")).scalar()
+    return every.agg(listed["bits"].alias("field")).scalar(), 64 * words
+
+
+def _rarest(seeds: DataFrame, hits: DataFrame, similarity: float) -> DataFrame:
+    """``h, item``: of every item, the shingles rarest in ``hits`` with more weight together than a similar window may miss."""
+    each = seeds.groupBy("item", "whole", "h").agg(F.sum("w").alias("w"))
+    met = hits.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("item").orderBy("n", "h").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        each.join(met, "h", "left").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
+        .withColumn("before", F.coalesce(F.sum("w").over(order), F.lit(0).cast("bigint")))
+        .filter((F.col("n") > 0) & (F.col("before") <= (1 - similarity) * F.col("whole"))).select("h", "item"))
+
+
+def windows_of(texts: DataFrame, bench: DataFrame, run: RunFolder, similarity: float = SIMILARITY) -> DataFrame:
+    """The windows laid in ``doc_id, words``: ``doc_id, item, start, n_words, window, before, after``.
+
+    ``before`` and ``after`` are the up to three words beside the window.
+    """
+    seeds = run.write(
+        bench.select("item", "n_words", F.col("weight").alias("whole"), F.posexplode("shingles").alias("offset", "s")).select(
+            F.col("s.h").alias("h"), F.col("s.w").alias("w"), "item", "n_words", "whole", "offset"), "seeds")
+    hashes = seeds.select("h").distinct()
+    field, bits = _field(hashes)
+    h = F.col("h")
+    hits = run.write(
+        texts.select("doc_id", "words", F.explode(_starts(F.col("words"))).alias("at"))
+        .select("doc_id", "at", F.size("words").alias("size"), _shingle_hash(F.col("words"), F.col("at")).alias("h"))
+        .filter(F.getbit(F.get(field, F.floor(F.pmod(h, F.lit(bits)) / 64).cast("int")),
+                         F.pmod(h, F.lit(64)).cast("int")) == 1), "hits")
+    pairs = run.write(hits.join(_rarest(seeds, hits, similarity), "h").select("doc_id", "item").distinct(), "pairs")
+    start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("offset"), F.col("size") - F.col("n_words")))
+    laid = run.write(
+        pairs.join(seeds, "item").join(hits, ["doc_id", "h"]).select("doc_id", "item", start.alias("start"), "n_words").distinct()
+        .groupBy("doc_id").agg(F.collect_list(F.struct("item", "start", "n_words")).alias("laid")), "laid")
+    first = F.greatest(F.col("start") - SHINGLE, F.lit(0))
+    before = F.slice("words", first + 1, F.col("start") - first)
+    return run.write(
+        texts.join(laid, "doc_id").select("doc_id", "words", F.explode("laid").alias("w"))
+        .select("doc_id", "words", "w.*", F.slice("words", F.col("w.start") + 1, F.col("w.n_words")).alias("own"))
+        .select("doc_id", "item", "start", "n_words", F.concat_ws(" ", "own").alias("window"), before.alias("before"),
+                F.slice("words", F.col("start") + F.col("n_words") + 1, SHINGLE).alias("after")), "windows")
 
 
 def matches(docs: DataFrame, items: DataFrame, run: RunFolder, similarity: float = SIMILARITY) -> DataFrame:
@@ -120,72 +187,37 @@ def matches(docs: DataFrame, items: DataFrame, run: RunFolder, similarity: float
         items.filter(F.col("item_id").isNotNull())
         .select("item_id", words_of(F.col("text")).alias("words"))
         .withColumn("shingles", _shingles(F.col("words"))).filter(F.size("shingles") > 0)
-        .select("item_id", F.size("words").alias("n_words"), "shingles", *marks),
+        .select(F.monotonically_increasing_id().alias("item"), "item_id", F.size("words").alias("n_words"), "shingles", *marks),
         "items")
-    seeds = bench.select("item_id", "n_words", F.posexplode("shingles").alias("offset", "s")).select(
-        F.col("s.h").alias("h"), "n_words", "offset").distinct()
-    field = _field(seeds)
     texts = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", words_of(F.col("text")).alias("words"))
-    h = F.col("h")
-    possible = (
-        texts.select("doc_id", "words", F.explode(_starts(F.col("words"))).alias("at"))
-        .select("doc_id", "at", F.size("words").alias("size"), _shingle_hash(F.col("words"), F.col("at")).alias("h"))
-        .filter(F.getbit(F.get(field, F.floor(F.pmod(h, F.lit(64 * FIELD_WORDS)) / 64).cast("int")),
-                         F.pmod(h, F.lit(64)).cast("int")) == 1))
-    start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("offset"), F.col("size") - F.col("n_words")))
-    laid = (
-        possible.join(seeds, "h").select("doc_id", start.alias("start"), "n_words").distinct()
-        .groupBy("doc_id").agg(F.collect_list(F.struct("start", "n_words")).alias("laid")))
-    first = F.greatest(F.col("start") - SHINGLE, F.lit(0))
-    before = F.slice("words", first + 1, F.col("start") - first)
-    windows = run.write(
-        texts.join(laid, "doc_id").select("doc_id", "words", F.explode("laid").alias("w"))
-        .select("doc_id", "words", "w.start", "w.n_words",
-                F.slice("words", F.col("w.start") + 1, F.col("w.n_words")).alias("own"))
-        .select("doc_id", "start", "n_words", F.concat_ws(" ", "own").alias("window"), before.alias("before"),
-                F.slice("words", F.col("start") + F.col("n_words") + 1, SHINGLE).alias("after")), "windows")
+    windows = windows_of(texts, bench, run, similarity)
     distinct = run.write(
-        windows.select("window").distinct()
+        windows.select("window", "item").distinct()
         .withColumn("words", F.split("window", " ")).filter(F.size("words") >= SHINGLE)
-        .withColumn("shingles", _shingles(F.col("words")))
-        .select(F.monotonically_increasing_id().alias("window_id"), "window", F.col("shingles.s").alias("a"), *marks),
-        "distinct")
-
-    def blocks(masks):
-        """A row for each block and mask, with the block's value under that mask."""
-        values = [F.struct(F.lit(block).alias("block"), _block(F.col("fingerprint"), block).bitwiseXOR(F.col("mask")).alias("value"))
-                  for block in range(BLOCKS)]
-        listed = F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>")
-        return lambda side: side.withColumn("mask", F.explode(listed)).withColumn("key", F.explode(F.array(*values))).select(
-            "*", "key.*").drop("mask", "key")
-    index = bench.select("item_id", "fingerprint", "weight").transform(blocks(_near_masks()))
-    looked_up = distinct.select("window_id", "fingerprint", "weight").transform(blocks([0]))
-    w, i = F.col("w.weight"), F.col("i.weight")
+        .withColumn("shingles", _shingles(F.col("words"))).select("window", "item", "shingles", *marks), "distinct")
+    index = _under_blocks(bench.select("item", "fingerprint", F.col("weight").alias("whole")), _near_masks())
+    looked_up = _under_blocks(distinct.select("window", "item", F.col("fingerprint"), "weight"), [0])
+    w, i = F.col("w.weight"), F.col("i.whole")
     candidates = (
-        looked_up.alias("w").join(index.hint("merge").alias("i"), ["block", "value"])  # planned as small as the items
+        looked_up.alias("w").join(index.alias("i"), ["item", "block", "value"])
         .filter(F.bit_count(F.col("w.fingerprint").bitwiseXOR(F.col("i.fingerprint"))) <= RADIUS)
         .filter(F.least(w, i) / F.greatest(w, i) >= similarity)  # what is common weighs no more than the lighter side
-        .select("window_id", "item_id").distinct())
-    verified = (
-        candidates.join(distinct.select("window_id", "window", "a", F.col("weight").alias("own")), "window_id")
-        .join(bench.select("item_id", F.col("shingles.s").alias("b"), "weight"), "item_id")
-        .select("window", "item_id", "b", "weight",
-                _multiset_similarity(F.col("a"), F.col("b"), F.col("own") + F.col("weight")).alias("similarity"))
-        .filter(F.col("similarity") >= similarity))
+        .select("window", "item").distinct())
+    found = run.write(
+        _similar(distinct.join(candidates, ["window", "item"], "left_semi"), ["window"], bench, similarity), "found")
     # An edit within a shingle of an end can make a window beside the laid one the best; a copy has no better one.
     line = F.concat("before", F.split("window", " "), "after")
     shifts = F.when(F.col("similarity") == 1, F.array(F.size("before"))).otherwise(
         F.sequence(F.lit(0), F.size("before") + F.size("after")))
-    shifted = (
-        windows.join(verified, "window").withColumn("line", line).withColumn("shift", F.explode(shifts))
-        .select("doc_id", "item_id", (F.col("start") - F.size("before") + F.col("shift")).alias("start"), "n_words",
-                F.slice("line", F.col("shift") + 1, F.col("n_words")).alias("own"), "b", "weight")
-        .withColumn("shingles", _shingles(F.col("own"))).withColumn("own_weight", weight(F.col("shingles")))
-        .withColumn("similarity", _multiset_similarity(
-            F.col("shingles.s"), F.col("b"), F.col("own_weight") + F.col("weight"))))
+    shifted = run.write(
+        windows.join(found, ["window", "item"]).withColumn("line", line).withColumn("shift", F.explode(shifts))
+        .select("doc_id", "item", (F.col("start") - F.size("before") + F.col("shift")).alias("start"), "n_words",
+                F.concat_ws(" ", F.slice("line", F.col("shift") + 1, F.col("n_words"))).alias("own")).distinct()
+        .withColumn("shingles", _shingles(F.split("own", " "))).withColumn("weight", weight(F.col("shingles"))), "shifted")
     best = F.max(F.struct("similarity", (-F.col("start")).alias("minus"), "n_words"))
     return (
-        shifted.groupBy("doc_id", "item_id").agg(best.alias("b"))
+        _similar(shifted, ["doc_id", "start", "n_words", "own"], bench, similarity).join(bench.select("item", "item_id"), "item")
+        .groupBy("doc_id", "item_id").agg(best.alias("b"))
         .select("doc_id", "item_id", F.round("b.similarity", 6).alias("similarity"), (-F.col("b.minus")).alias("start"),
                 "b.n_words")
     )
@@ -193,7 +225,8 @@ def matches(docs: DataFrame, items: DataFrame, run: RunFolder, similarity: float
 
 def keep_clean(docs: DataFrame, items: DataFrame, run: RunFolder, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, unchanged; rows with a null id stay."""
-    leaks = matches(docs, items, run, similarity).select("doc_id").distinct()
+    # Written, so that the join with all documents is planned on its size.
+    leaks = run.write(matches(docs, items, run, similarity).select("doc_id").distinct(), "leaks")
     return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
 
 

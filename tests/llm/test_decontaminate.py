@@ -38,11 +38,11 @@ def likeness(a, b):
 
 
 def brute(docs, items):
-    """Every window of an item's size against every item."""
+    """Every window of an item's size against every item, whatever the fingerprints."""
     out = {}
     sizes = sorted({len(words(t)) for _, t in items if len(words(t)) >= 3})
-    marks = [(i, words(t), fingerprint(words(t))) for i, t in items if len(words(t)) >= 3]
-    known = {s for _, w, _ in marks for s in shingles(w)}
+    marks = [(i, words(t)) for i, t in items if len(words(t)) >= 3]
+    known = {s for _, w in marks for s in shingles(w)}
     for doc, text in docs:
         w = words(text)
         hits = [i for i, s in enumerate(shingles(w)) if s in known]  # a window without one is unlike all items
@@ -52,9 +52,8 @@ def brute(docs, items):
                 own = w[start:start + size]
                 if len(own) < 3:
                     continue
-                mark = fingerprint(own)
-                for item, other, f in marks:
-                    if (mark ^ f).bit_count() <= dc.RADIUS and likeness(own, other) >= dc.SIMILARITY:
+                for item, other in marks:
+                    if len(other) == size and likeness(own, other) >= dc.SIMILARITY:
                         key = (round(likeness(own, other), 6), -start, len(own))
                         out[doc, item] = max(out.get((doc, item), (0, 0, 0)), key)
     return {k: v[0] for k, v in out.items()}
@@ -122,7 +121,7 @@ def test_the_masks_reach_every_fingerprint_within_the_radius():
     r, masks = random.Random(1), set(dc._near_masks())
     for _ in range(500):
         flips = sum(1 << b for b in r.sample(range(64), dc.RADIUS))
-        assert any(flips >> 16 * i & 0xFFFF in masks for i in range(dc.BLOCKS))
+        assert any(flips >> dc.BITS * i & (1 << dc.BITS) - 1 in masks for i in range(dc.BLOCKS))
 
 
 def test_planted_passages_are_found_and_nothing_else(spark, run):
@@ -153,3 +152,31 @@ def test_nulls_repeats_extra_columns_and_empty_tables(table, run):
     assert sorted(str(r.doc_id) for r in dc.keep_clean(wide, table(items, ITEM), run).collect()) == ["2", "3", "None"]
     assert dc.matches(table([], DOC), table(items, ITEM), run).collect() == []
     assert dc.keep_clean(wide, table([], ITEM), run).count() == 6
+
+
+def test_windows_meet_few_items_and_fewer_of_many(spark, table, run, monkeypatch):
+    """Pairs of windows and items that are compared, as a share of all pairs, with the benchmark and with ten times as many items."""
+    folder, r = "/root/testdata/sf0.01", random.Random(2)
+    items = [(x.item_id, x.text) for x in scan(spark, folder, "benchmark").collect()]
+    vocabulary = " ".join(t for _, t in items).split()
+    more = items + [(10_000 + i, " ".join(r.choices(vocabulary, k=30))) for i in range(9 * len(items))]
+    sizes, write = {}, run.write
+
+    def seen(df, name):
+        out = write(df, name)
+        sizes[name] = out.select("window").distinct().count() * 1.0 if name == "windows" else out.count()
+        return out
+    monkeypatch.setattr(run, "write", seen)
+    shares = []
+    for some in (items, more):
+        dc.matches(scan(spark, folder, "documents"), table(some, ITEM), run).collect()
+        shares.append(sizes["distinct"] / (sizes["windows"] * len(some)))
+    assert shares[0] < 1.5 / len(items) and shares[1] < shares[0] / 2  # about one item for each window
+
+
+def test_long_items_are_verified_in_time(table, run):
+    r = random.Random(4)
+    words_ = [f"w{r.randrange(3_000)}" for _ in range(20_000)]
+    text = " ".join(["before"] * 50 + words_[:9_000] + ["other"] * 500 + words_[9_500:] + ["after"] * 50)
+    (got,) = dc.matches(table([(1, text)], DOC), table([(1, " ".join(words_))], ITEM), run).collect()
+    assert got.n_words == 20_000 and got.similarity > 0.9
