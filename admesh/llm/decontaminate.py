@@ -19,7 +19,8 @@ weighted similarity of their shingle multisets.
 
 At a similarity of 0.75 the shingles' cosine is about 0.857, so a bit differs
 with probability 0.172 and a pair by 11 bits on average. ``RADIUS`` lies four
-standard deviations above: of 64 bits more than 23 differ in 1 pair of 10,000.
+standard deviations above: of 64 bits more than 23 differ in 1 pair of 10,000. A window
+that repeats one shingle many times over has a smaller cosine and can be missed.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -55,7 +56,7 @@ def _starts(words: Column) -> Column:
 def _shingles(words: Column) -> Column:
     """``h, w, s`` of each shingle: hash, weight (code points) and text."""
     def at(i):
-        s = F.concat_ws(" ", F.slice(words, i + 1, SHINGLE))
+        s = F.concat_ws(" ", *(F.get(words, i + k) for k in range(SHINGLE)))  # a slice would copy the whole array
         return F.struct(_shingle_hash(words, i).alias("h"), F.length(s).cast("bigint").alias("w"), s.alias("s"))
     return F.transform(_starts(words), at)
 
@@ -186,7 +187,8 @@ def matches(docs: DataFrame, items: DataFrame, run: RunFolder, similarity: float
     bench = run.write(
         items.filter(F.col("item_id").isNotNull())
         .select("item_id", words_of(F.col("text")).alias("words"))
-        .withColumn("shingles", _shingles(F.col("words"))).filter(F.size("shingles") > 0)
+        .filter(F.size("words") >= SHINGLE)  # not by the shingles: the filter would take their expression along
+        .withColumn("shingles", _shingles(F.col("words")))
         .select(F.monotonically_increasing_id().alias("item"), "item_id", F.size("words").alias("n_words"), "shingles", *marks),
         "items")
     texts = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", words_of(F.col("text")).alias("words"))
@@ -213,7 +215,8 @@ def matches(docs: DataFrame, items: DataFrame, run: RunFolder, similarity: float
         windows.join(found, ["window", "item"]).withColumn("line", line).withColumn("shift", F.explode(shifts))
         .select("doc_id", "item", (F.col("start") - F.size("before") + F.col("shift")).alias("start"), "n_words",
                 F.concat_ws(" ", F.slice("line", F.col("shift") + 1, F.col("n_words"))).alias("own")).distinct()
-        .withColumn("shingles", _shingles(F.split("own", " "))).withColumn("weight", weight(F.col("shingles"))), "shifted")
+        .withColumn("words", F.split("own", " ")).withColumn("shingles", _shingles(F.col("words")))
+        .select("doc_id", "item", "start", "n_words", "own", "shingles", weight(F.col("shingles")).alias("weight")), "shifted")
     best = F.max(F.struct("similarity", (-F.col("start")).alias("minus"), "n_words"))
     return (
         _similar(shifted, ["doc_id", "start", "n_words", "own"], bench, similarity).join(bench.select("item", "item_id"), "item")
