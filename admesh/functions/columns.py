@@ -1,4 +1,6 @@
-from pyspark.sql import Column
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Sums of these stay exact whatever the order of rows: 4 places of price and discount, 16 of a share.
@@ -36,3 +38,21 @@ def whole_seconds(start: Column, end: Column) -> Column:
 def id_list(ids: Column) -> Column:
     """An id array as comma-joined text."""
     return F.array_join(F.transform(ids, lambda x: x.cast("string")), ",")
+
+
+def quantile_bounds(values: DataFrame, column: str, pieces: int) -> list[int]:
+    """Up to ``pieces - 1`` ids that cut the column into ranges of about equal count, however the ids are spread."""
+    shares = [i / pieces for i in range(1, pieces)]
+    return sorted({int(b) for b in values.approxQuantile(column, shares, 0.5 / pieces)}) if shares else []
+
+
+def range_of(value: Column, bounds: list[int]) -> Column:
+    """The number of sorted ``bounds`` below the value, by way of every so-manieth of them."""
+    if not bounds:
+        return F.lit(0)
+    step = math.isqrt(len(bounds) - 1) + 1
+
+    def below(some: Column) -> Column:
+        return F.size(F.filter(some, lambda b: b < value))
+    first = F.greatest(below(F.lit(bounds[::step])) - 1, F.lit(0)) * step
+    return first + below(F.slice(F.lit(bounds), first + 1, F.lit(step)))

@@ -8,12 +8,13 @@ a bucket of a million buyers is a million rows.
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from admesh.functions.columns import ratio
+from admesh.functions.columns import quantile_bounds, range_of, ratio
 from admesh.storage import RunFolder
 
 PAGE = 4096
 POPULAR = 1_000_000
 SLOTS = 4096
+RANGES = 4096
 
 
 def interactions(purchases: DataFrame) -> DataFrame:
@@ -60,9 +61,9 @@ def edges(purchases: DataFrame, run: RunFolder, popular: int = POPULAR) -> DataF
     An item with at most ``popular`` purchases is small enough to place each of
     its months whole, so one shuffle serves both the grouping and the window. A
     popular item's repeated purchases are folded on the map side and its buyers
-    ordered within (item, day, slot), a slot being a range of ids; only the ends
-    of these runs, at most 2 * 31 * SLOTS per item and month, are then ordered
-    across slots and days.
+    ordered within (item, day, slot), a slot being a range of ids between two
+    quantiles of the popular items' buyers; only the ends of these runs, at most
+    2 * 31 * SLOTS per item and month, are then ordered across slots and days.
     """
     by_month = Window.partitionBy("item_id", "month").orderBy("day", "user_id")
     by_slot = Window.partitionBy("item_id", "day", "slot").orderBy("user_id")
@@ -72,8 +73,8 @@ def edges(purchases: DataFrame, run: RunFolder, popular: int = POPULAR) -> DataF
     popular_items = run.write(
         purchases.groupBy("item_id").count().filter(F.col("count") > popular).select("item_id"), "popular_items")
     bought = purchases.select("item_id", F.trunc("day", "month").alias("month"), "day", "user_id")
-    low, high = (bought.agg(f("user_id")).scalar() for f in (F.min, F.max))
-    slot = F.floor((F.col("user_id").cast("double") - low) / (high.cast("double") - low + 1) * SLOTS)
+    hot = bought.join(popular_items, "item_id", "left_semi")
+    slot = range_of(F.col("user_id"), quantile_bounds(hot, "user_id", SLOTS) if popular_items.head(1) else [])
 
     ordinary = (
         _buyers(bought.join(popular_items, "item_id", "left_anti").repartition("item_id", "month"))
@@ -81,7 +82,7 @@ def edges(purchases: DataFrame, run: RunFolder, popular: int = POPULAR) -> DataF
     )
     runs = (
         # Without the month, which the day gives back, so both uses share one shuffle.
-        _buyers(bought.join(popular_items, "item_id", "left_semi")).drop("month")
+        _buyers(hot).drop("month")
         .withColumn("slot", slot)
         .withColumn("before", buyer_before.over(by_slot))
         .withColumn("after", F.lead("user_id").over(by_slot))
@@ -123,14 +124,16 @@ def neighbours(edges: DataFrame, run: RunFolder, page_size: int = PAGE) -> DataF
     A list is cut by position into pages of ``page_size`` neighbours, so page 0
     always exists and every page but the last is full. Only a hub's links need
     their positions worked out: links are counted per range of ids, the counts
-    summed up, and positions numbered within the ranges, so no task orders a
-    whole hub unless its ids are sparse, and then only their counts.
+    summed up, and positions numbered within the ranges. Ranges lie between
+    quantiles of the hubs' neighbours, at most RANGES of them, so no task orders
+    a whole hub or more than RANGES counts of it, however sparse the ids are.
     """
     links = symmetric(edges.select("src", "dst"))
     hubs = run.write(
         links.groupBy("src").agg(F.count(F.lit(1)).alias("degree")).filter(F.col("degree") > page_size).select("src"),
         "hubs")
-    many = links.join(hubs, "src", "left_semi").withColumn("range", F.expr(f"(dst - pmod(dst, {page_size})) div {page_size}"))
+    many = links.join(hubs, "src", "left_semi")
+    many = many.withColumn("range", range_of(F.col("dst"), quantile_bounds(many, "dst", RANGES) if hubs.head(1) else []))
     ahead = Window.partitionBy("src").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     counts = many.groupBy("src", "range").agg(F.count(F.lit(1)).alias("n"))
     offsets = counts.select("src", "range", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("offset"))

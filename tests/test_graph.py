@@ -3,7 +3,9 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
+from admesh.functions.columns import quantile_bounds, range_of
 from admesh.operators import graph
 from admesh.operators.pagerank import pagerank
 
@@ -88,6 +90,22 @@ def test_a_sparse_hub_of_5000_has_two_pages(spark, run):
     assert rows(pages) == [(0, 4096), (1, 904)]
 
 
+def test_ranges_are_even_however_ids_are_spread(spark):
+    """99 % of the ids lie in 1 % of their range."""
+    ids = spark.range(20_000).selectExpr("if(id % 100 = 0, id * 50000, id) as x").cache()
+    bounds = quantile_bounds(ids, "x", 64)
+    sizes = ids.groupBy(range_of(F.col("x"), bounds).alias("r")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high")).orderBy("r").collect()
+    assert len(sizes) > 50 and max(r.n for r in sizes) < 2 * 20_000 / 64
+    assert all(a.high < b.low for a, b in zip(sizes, sizes[1:]))
+    assert range_of(F.col("x"), [])._jc.toString() == "0"
+
+
+def test_clustered_ids_of_a_hot_item_are_linked_right(table, run):
+    bought = [(u if u % 100 else u * 10**6, 7, dt.date(2020, 1, 1 + u % 3), 1.0) for u in range(1_000)]
+    assert rows(graph.edges(table(bought, PURCHASE), run, popular=0)) == chained(bought)
+
+
 def users(table, *ids):
     return table([(i,) for i in ids], "id bigint")
 
