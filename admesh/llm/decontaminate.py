@@ -34,7 +34,7 @@ RADIUS = 23
 BLOCKS = 8
 BITS = 64 // BLOCKS
 SIMILARITY = 0.75
-FIELD_BITS = 16  # of the bit field for each distinct item shingle,
+FIELD_BITS = 256  # of the bit field for each distinct item shingle, of which a bit is set,
 FIELD_WORDS = 1 << 20  # up to so many longs (8 MB); more shingles make it let more through, for the join to settle
 
 

@@ -1,20 +1,30 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network.
 
 Every token is masked once and predicted from the two tokens on either side; the
-sum of the conditional log-probabilities scores the document. Tokens are words,
-hashed to 65,536 slots. Slots are dealt to ``CLASSES`` classes by their counts in
-the whole corpus: the network predicts the class from the neighbours' classes,
-and the slot follows from its share of the class.
-
-The network (one embedding table per offset, a tanh layer, a softmax) is trained
-in numpy where the data lies, on every token: in each round every task starts from the same
-weights, runs gradient descent over its part of the corpus, and the tasks'
-weights are averaged as whole numbers, so the average does not depend on order.
-Counts and weights are summed on the map side; what reaches the driver is
-bounded by the slots and the size of the network.
+sum of the conditional log-probabilities scores the document. Tokens are words.
+A table counts every word of the corpus by its 32-bit hash; the words are laid
+into slots whose number grows with the table, two per word at least, up to
+``SLOTS``. So a word is itself up to millions of words, and rare words share
+slots beyond.
+
+The network is a hierarchical softmax over the context's hidden layer: it
+predicts a class, then a leaf of that class, and the slot follows from its share
+of the leaf. The most frequent slots have a class or a leaf of their own, the
+rest are dealt to the other leaves. A context enters through one embedding table
+per offset, with a row of its own for each frequent word and hashed rows for the
+others. Both softmaxes depend on the context, so the probabilities of all slots
+add up to one and swapping two rare words changes the score.
+
+It is trained in numpy where the data lies, on every token: in each round every
+task starts from the same weights, runs gradient descent over its part of the
+corpus and hands on the blocks of weights it changed. Each block is averaged over
+the tasks that changed it, as whole numbers, so the average does not depend on
+order. What reaches the driver is bounded by the slots and the network.
 """
 
+import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,84 +35,125 @@ from admesh.llm.rolling import RangeHashes, chunks, joined, runs_of
 from admesh.llm.tables import documents
 from admesh.storage import RunFolder
 
-SLOTS = 1 << 16
-CLASSES = 128
+SLOTS = 1 << 22  # the most slots, whose counts reach the driver and all tasks
+CLASSES = 64
+ALONE = 16  # classes of one frequent slot each
+LEAVES = 64  # of every other class
+OWN = 48  # leaves of one slot each
+ROWS = 4_096  # embeddings of words for each offset,
+OWN_ROWS = 3_072  # of which so many belong to one slot each
 HIDDEN = 32
 OFFSETS = (-2, -1, 1, 2)
 ROUNDS = 2
-BATCH = 512
-RATE = 0.05
-CHUNK = 1_000_000
+BATCH = 4_096
+RATE = 0.07
+CHUNK = 2_000_000
 STEP = 16_384  # tokens scored together
-_SCALE = 1 << 24
+BLOCK = 32  # weights averaged together
+_SCALE = 1 << 20
 
 _WORD = np.zeros(256, bool)
 _WORD[128:] = _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = True
 
 
 def tokens(texts: list[str]) -> list[np.ndarray]:
-    """The slots of every text's words, lower-cased runs of letters and digits."""
+    """The 32-bit hashes of every text's words, lower-cased runs of letters and digits."""
     buffer, at = joined([t.lower().encode() for t in texts])
     starts, ends = runs_of(_WORD[buffer])
-    slots = (RangeHashes(buffer).of(starts, ends) >> np.uint64(48)).astype("<u2")
-    return np.split(slots, np.searchsorted(starts, at[1:-1])) if texts else []
+    hashes = (RangeHashes(buffer).of(starts, ends) >> np.uint64(32)).astype("<u4")
+    return np.split(hashes, np.searchsorted(starts, at[1:-1])) if texts else []
 
 
 def tokenize(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and its slots as little-endian 16-bit numbers; a null text has none."""
+    """``doc_id`` and its word hashes as little-endian 32-bit numbers; a null text has none."""
     def run(batches: Iterator[pa.RecordBatch]):
         for part in chunks(batches, CHUNK):
             found = tokens([t or "" for t in part.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([s.tobytes() for s in found], pa.binary())], ["doc_id", "slots"])
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, slots binary")
+                [part.column("doc_id"), pa.array([s.tobytes() for s in found], pa.binary())], ["doc_id", "words"])
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, words binary")
 
 
-def slot_counts(tokenized: DataFrame) -> np.ndarray:
-    """How often each slot occurs in the corpus."""
+def word_counts(tokenized: DataFrame, held: int = 1_000_000) -> DataFrame:
+    """``word, n`` of every word of the corpus; a task sums up ``held`` words at a time."""
     def run(batches):
-        total = np.zeros(SLOTS, np.int64)
+        word, n = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(n)], ["word", "n"])
         for batch in batches:
-            total += np.bincount(np.frombuffer(b"".join(batch.column("slots").to_pylist()), "<u2"), minlength=SLOTS)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["slot", "n"])
-    counted = tokenized.select("slots").mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
-    table = counted.toArrow()
-    out = np.zeros(SLOTS, np.int64)
-    out[table.column("slot").to_numpy()] = table.column("n").to_numpy()
+            for part in chunks(iter([batch]), 8 * CHUNK, "words"):
+                new, count = np.unique(np.frombuffer(b"".join(part.column("words").to_pylist()), "<u4"), return_counts=True)
+                word, at = np.unique(np.concatenate([word, new]), return_inverse=True)
+                n = np.bincount(at, np.concatenate([n, count]), minlength=len(word)).astype(np.int64)
+                if len(word) > held:
+                    yield rows()
+                    word, n = word[:0], n[:0]
+        if len(word):
+            yield rows()
+    return tokenized.select("words").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def slot_counts(words: DataFrame, most: int = SLOTS) -> np.ndarray:
+    """How often the words of each slot occur; two slots for every word, at least 65,536, up to ``most``."""
+    bits = min(max(math.ceil(math.log2(max(2 * words.count(), 1))), 16), int(math.log2(most)))
+    counted = words.groupBy(F.shiftright("word", 32 - bits).alias("slot")).agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << bits, np.int64)
+    out[counted.column("slot").to_numpy()] = counted.column("n").to_numpy()
     return out
 
 
-def classes_of(counts: np.ndarray, classes: int = CLASSES) -> tuple[np.ndarray, np.ndarray]:
-    """Class of each slot, and the logarithm of the slot's share of its class.
+class Lexicon(NamedTuple):
+    """For each slot its class, its leaf in the class, the logarithm of its share of the leaf, and its embedding row."""
+
+    class_: np.ndarray
+    leaf: np.ndarray
+    share: np.ndarray
+    row: np.ndarray
+
+    def slots(self, words: np.ndarray) -> np.ndarray:
+        return words >> np.uint32(32 - int(math.log2(len(self.share))))
+
 
-    Half of the classes hold one frequent slot each; the other slots are dealt
-    to the rest in turns, there and back, so that those weigh about the same.
+def lexicon(counts: np.ndarray) -> Lexicon:
+    """Deal the slots out by their counts.
+
+    The ``ALONE`` most frequent have a class each. The next go to the other
+    classes in turns, one leaf a turn for ``OWN`` turns; the rest take turns over
+    the leaves that are left, so that classes weigh about the same.
     """
     order = np.argsort(-counts, kind="stable")
-    alone = classes // 2
-    rest = np.arange(SLOTS - alone)
-    width = classes - alone
-    turn, place = rest // width, rest % width
-    out = np.empty(SLOTS, np.uint8)
-    out[order[:alone]] = np.arange(alone)
-    out[order[alone:]] = alone + np.where(turn % 2 == 0, place, width - 1 - place)
-    smoothed = counts + 1.0
-    return out, np.log(smoothed / np.bincount(out, smoothed, minlength=classes)[out])
-
-
-def initial(counts: np.ndarray, classes: np.ndarray) -> dict[str, np.ndarray]:
-    """Fixed random weights; the output starts at the classes' shares."""
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    width = CLASSES - ALONE
+    turn, place = (rank - ALONE) // width, (rank - ALONE) % width
+    alone = rank < ALONE
+    class_ = np.where(alone, rank, ALONE + np.where(turn % 2 == 0, place, width - 1 - place)).astype(np.uint8)
+    leaf = np.where(alone, 0, np.where(turn < OWN, turn, OWN + (turn - OWN) % (LEAVES - OWN))).astype(np.uint8)
+    smoothed = counts + 0.1
+    whole = class_.astype(np.int64) * LEAVES + leaf
+    share = np.log(smoothed / np.bincount(whole, smoothed, minlength=CLASSES * LEAVES)[whole]).astype(np.float32)
+    row = np.where(rank < OWN_ROWS, rank, OWN_ROWS + rank % (ROWS - OWN_ROWS)).astype(np.uint16)
+    return Lexicon(class_, leaf, share, row)
+
+
+def initial(counts: np.ndarray, words: Lexicon) -> dict[str, np.ndarray]:
+    """Fixed random weights; both softmaxes start at the shares of classes and leaves."""
     r = np.random.default_rng(1)
-    totals = np.bincount(classes, counts + 1.0, minlength=CLASSES)
-    return {"embed": (r.standard_normal((len(OFFSETS), CLASSES + 1, HIDDEN)) * 0.1).astype(np.float32),
+    whole = words.class_.astype(np.int64) * LEAVES + words.leaf
+    totals = np.bincount(whole, counts + 0.1, minlength=CLASSES * LEAVES).reshape(CLASSES, LEAVES) + 1e-6
+    return {"embed": (r.standard_normal((len(OFFSETS), ROWS + 1, HIDDEN)) * 0.1).astype(np.float32),
             "hidden": np.zeros(HIDDEN, np.float32),
             "out": (r.standard_normal((HIDDEN, CLASSES)) * 0.1).astype(np.float32),
-            "bias": np.log(totals / totals.sum()).astype(np.float32)}
+            "bias": np.log(totals.sum(1) / totals.sum()).astype(np.float32),
+            "deep": (r.standard_normal((CLASSES, HIDDEN, LEAVES)) * 0.1).astype(np.float32),
+            "deep_bias": np.log(totals / totals.sum(1, keepdims=True)).astype(np.float32)}
 
 
 def flat(weights: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([w.ravel() for w in weights.values()])
+    """All weights in a row, filled up to whole blocks."""
+    line = np.concatenate([w.ravel() for w in weights.values()])
+    return np.concatenate([line, np.zeros(-len(line) % BLOCK, np.float32)])
 
 
 def shaped(values: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
@@ -113,13 +164,28 @@ def shaped(values: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndar
     return out
 
 
-def neighbours(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """All tokens' classes in a row, and each one's neighbours'; ``CLASSES`` beyond a text's ends."""
+class Tokens(NamedTuple):
+    """Tokens in a row: what is predicted, and the rows of the neighbours (``ROWS`` beyond a text's ends)."""
+
+    class_: np.ndarray
+    leaf: np.ndarray
+    around: np.ndarray
+    share: np.ndarray
+
+    def part(self, lo: int, size: int) -> "Tokens":
+        return Tokens(self.class_[lo:lo + size], self.leaf[lo:lo + size], self.around[:, lo:lo + size], self.share[lo:lo + size])
+
+
+def in_context(texts: list[np.ndarray], words: Lexicon) -> Tokens:
+    """The tokens of all texts, given as word hashes."""
     reach = max(OFFSETS)
-    gap = np.full(reach, CLASSES, np.int64)
-    line = np.concatenate([gap, *(x for own in ids for x in (own, gap))])
-    at = np.flatnonzero(line != CLASSES)
-    return line[at], np.stack([line[at + o] for o in OFFSETS])
+    sizes = np.array([len(t) for t in texts], np.int64)
+    slots = words.slots(np.concatenate([*texts, np.zeros(0, np.uint32)]))
+    at = np.arange(len(slots)) + reach * (1 + np.repeat(np.arange(len(texts)), sizes))
+    line = np.full(len(slots) + reach * (len(texts) + 1), ROWS, np.uint16)
+    line[at] = words.row[slots]
+    around = np.stack([line[at + o] for o in OFFSETS]) if len(at) else np.zeros((len(OFFSETS), 0), np.uint16)
+    return Tokens(words.class_[slots], words.leaf[slots], around, words.share[slots])
 
 
 def activation(weights, around: np.ndarray) -> np.ndarray:
@@ -129,76 +195,129 @@ def activation(weights, around: np.ndarray) -> np.ndarray:
     return np.tanh(total, out=total)
 
 
-def class_scores(weights, target: np.ndarray, around: np.ndarray) -> np.ndarray:
-    """Log-probability of every target class given its neighbours."""
-    out = np.empty(len(target), np.float32)
-    for lo in range(0, len(target), STEP):
-        own = target[lo:lo + STEP]
-        logits = activation(weights, around[:, lo:lo + STEP]) @ weights["out"] + weights["bias"]
-        picked = logits[np.arange(len(own)), own]
-        top = logits.max(1, keepdims=True)
-        np.subtract(logits, top, out=logits)
-        np.exp(logits, out=logits)
-        out[lo:lo + STEP] = picked - top[:, 0] - np.log(logits.sum(1))
+def _probabilities(logits: np.ndarray) -> np.ndarray:
+    logits -= logits.max(1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(1, keepdims=True)
+    return logits
+
+
+def _by_class(class_: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The classes of several leaves that occur, each with its tokens' places."""
+    order = np.argsort(class_, kind="stable")
+    ends = np.searchsorted(class_[order], np.arange(ALONE, CLASSES + 1))
+    for c in range(ALONE, CLASSES):
+        lo, hi = ends[c - ALONE], ends[c - ALONE + 1]
+        if lo < hi:
+            yield c, order[lo:hi]
+
+
+def token_scores(weights, every: Tokens) -> np.ndarray:
+    """Log-probability of every token given its neighbours."""
+    out = np.empty(len(every.class_), np.float32)
+    for lo in range(0, len(out), STEP):
+        own = every.part(lo, STEP)
+        hidden = activation(weights, own.around)
+        near = _probabilities(hidden @ weights["out"] + weights["bias"])[np.arange(len(own.class_)), own.class_]
+        for c, at in _by_class(own.class_):
+            leaves = _probabilities(hidden[at] @ weights["deep"][c] + weights["deep_bias"][c])
+            near[at] *= leaves[np.arange(len(at)), own.leaf[at]]
+        out[lo:lo + STEP] = np.log(np.maximum(near, np.float32(1e-37))) + own.share
     return out
 
 
-def descend(weights, target: np.ndarray, around: np.ndarray, rate: float) -> None:
-    """One pass of gradient descent over the tokens, in place, in batches."""
-    for lo in range(0, len(target), BATCH):
-        own, near = target[lo:lo + BATCH], around[:, lo:lo + BATCH]
-        hidden = activation(weights, near)
-        logits = hidden @ weights["out"] + weights["bias"]
-        logits -= logits.max(1, keepdims=True)
-        np.exp(logits, out=logits)
-        error = logits / logits.sum(1, keepdims=True)
-        error[np.arange(len(own)), own] -= 1
-        back = (error @ weights["out"].T) * (1 - hidden**2)
-        # A batch's step is as long as that of some dozens of its tokens one by one.
-        step = np.float32(rate * 32 / len(own))
+def descend(weights, every: Tokens, rate: float) -> None:
+    """One pass of gradient descent over the tokens, in place, in batches.
+
+    A weight moves by the sum of the slopes of the n tokens of the batch that it
+    takes part in, over the square root of n.
+    """
+    for lo in range(0, len(every.class_), BATCH):
+        own = every.part(lo, BATCH)
+        size = len(own.class_)
+        hidden = activation(weights, own.around)
+        error = _probabilities(hidden @ weights["out"] + weights["bias"])
+        error[np.arange(size), own.class_] -= 1
+        back = error @ weights["out"].T
+        for c, at in _by_class(own.class_):
+            near = hidden[at]
+            wrong = _probabilities(near @ weights["deep"][c] + weights["deep_bias"][c])
+            wrong[np.arange(len(at)), own.leaf[at]] -= 1
+            back[at] += wrong @ weights["deep"][c].T
+            step = np.float32(rate / math.sqrt(len(at)))
+            weights["deep"][c] -= step * (near.T @ wrong)
+            weights["deep_bias"][c] -= step * wrong.sum(0)
+        step = np.float32(rate / math.sqrt(size))
         weights["out"] -= step * (hidden.T @ error)
         weights["bias"] -= step * error.sum(0)
-        back *= step
-        weights["hidden"] -= back.sum(0)
-        for i in range(len(OFFSETS)):
-            # Sums per class by a product with one-hot rows, faster than scattered adds.
-            hot = np.zeros((len(own), CLASSES + 1), np.float32)
-            hot[np.arange(len(own)), near[i]] = 1
-            weights["embed"][i] -= hot.T @ back
+        back *= 1 - hidden * hidden
+        weights["hidden"] -= step * back.sum(0)
+        for i, rows in enumerate(own.around):
+            order = np.argsort(rows, kind="stable")
+            rows = rows[order]
+            first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+            n = np.diff(first, append=size)
+            sums = np.add.reduceat(back[order], first, axis=0)
+            weights["embed"][i][rows[first]] -= (rate / np.sqrt(n)).astype(np.float32)[:, None] * sums
 
 
-def _texts(batches, classes) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    for part in chunks(batches, CHUNK, "slots"):
-        yield part, [classes[np.frombuffer(s, "<u2")].astype(np.int64) for s in part.column("slots").to_pylist()]
+def _texts(batches) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    for batch in batches:
+        for part in chunks(iter([batch]), CHUNK, "words"):
+            yield part, [np.frombuffer(s, "<u4") for s in part.column("words").to_pylist()]
 
 
-def train(tokenized: DataFrame, classes: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> dict:
+def train(tokenized: DataFrame, words: Lexicon, counts: np.ndarray, rounds: int = ROUNDS) -> dict:
     """Weights averaged over the tasks after each round of local descent."""
-    weights = initial(counts, classes)
+    weights = initial(counts, words)
     sc = tokenized.sparkSession.sparkContext
-    dealt = sc.broadcast(classes)
+    dealt = sc.broadcast(words)
     for round_ in range(rounds):
         shared = sc.broadcast(weights)
 
         def run(batches, rate=RATE / (1 + round_)):
             own = {k: v.copy() for k, v in shared.value.items()}
-            seen = 0
-            for _, ids in _texts(batches, dealt.value):
-                target, around = neighbours(ids)
-                descend(own, target, around, rate)
-                seen += len(target)
-            if seen:
-                values = np.round(flat(own).astype(np.float64) * _SCALE).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values)], ["i", "v"])
+            for _, texts in _texts(batches):
+                descend(own, in_context(texts, dealt.value), rate)
+            before, after = flat(shared.value).reshape(-1, BLOCK), flat(own).reshape(-1, BLOCK)
+            moved = np.flatnonzero((before != after).any(1))
+            values = np.round(after[moved].astype(np.float64) * _SCALE).astype("<i8")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(moved), pa.array([v.tobytes() for v in values], pa.binary())], ["block", "data"])
+
+        def average(batches):
+            # Blocks arrive in order, so one sum is held at a time.
+            out: dict[str, list] = {"block": [], "n": [], "data": []}
+            block, n, total = None, 0, None
+            for batch in batches:
+                for b, data in zip(batch.column("block").to_pylist(), batch.column("data").to_pylist()):
+                    if b != block:
+                        if block is not None:
+                            _add(out, block, n, total)
+                        block, n, total = b, 0, np.zeros(BLOCK, np.int64)
+                    n += 1
+                    total = total + np.frombuffer(data, "<i8")
+            if block is not None:
+                _add(out, block, n, total)
+            yield pa.RecordBatch.from_pydict(out, pa.schema([("block", pa.int64()), ("n", pa.int64()), ("data", pa.binary())]))
         averaged = (
-            tokenized.select("slots").mapInArrow(run, "i bigint, v bigint").groupBy("i")
-            .agg(F.sum("v").alias("v"), F.count(F.lit(1)).alias("n")).toArrow().sort_by("i"))
+            tokenized.select("words").mapInArrow(run, "block bigint, data binary")
+            .repartition("block").sortWithinPartitions("block").mapInArrow(average, "block bigint, n bigint, data binary").toArrow())
         if averaged.num_rows:
-            mean = averaged.column("v").to_numpy() / averaged.column("n").to_numpy() / _SCALE
-            weights = shaped(mean, weights)
+            line = flat(weights).astype(np.float64).reshape(-1, BLOCK)
+            sums = np.frombuffer(b"".join(averaged.column("data").to_pylist()), "<i8").reshape(-1, BLOCK)
+            line[averaged.column("block").to_numpy()] = sums / averaged.column("n").to_numpy()[:, None] / _SCALE
+            weights = shaped(line.ravel(), weights)
+        shared.destroy()
+    dealt.destroy()
     return weights
 
 
+def _add(out: dict[str, list], block: int, n: int, total: np.ndarray) -> None:
+    for name, value in zip(out, (block, n, total.tobytes())):
+        out[name].append(value)
+
+
 def score_documents(docs: DataFrame, run_folder: RunFolder) -> DataFrame:
     """``doc_id, n_tokens, log_likelihood, mean_log_likelihood`` of every row of ``doc_id, text``.
 
@@ -207,18 +326,16 @@ def score_documents(docs: DataFrame, run_folder: RunFolder) -> DataFrame:
     one row; other columns are ignored.
     """
     tokenized = run_folder.write(tokenize(docs), "tokens")
-    counts = slot_counts(tokenized)
-    classes, share = classes_of(counts)
-    weights = train(tokenized, classes, counts)
-    model = tokenized.sparkSession.sparkContext.broadcast((weights, classes, share))
+    counts = slot_counts(run_folder.write(word_counts(tokenized), "words"))
+    words = lexicon(counts)
+    weights = train(tokenized, words, counts)
+    model = tokenized.sparkSession.sparkContext.broadcast((weights, words))
 
     def run(batches):
-        weights, classes, share = model.value
-        for part, ids in _texts(batches, classes):
-            target, around = neighbours(ids)
-            line = class_scores(weights, target, around).astype(np.float64)
-            line += share[np.frombuffer(b"".join(part.column("slots").to_pylist()), "<u2")]
-            sizes = np.array([len(i) for i in ids], np.int64)
+        weights, words = model.value
+        for part, texts in _texts(batches):
+            line = token_scores(weights, in_context(texts, words)).astype(np.float64)
+            sizes = np.array([len(t) for t in texts], np.int64)
             sums = np.concatenate([[0.0], np.cumsum(line)])
             ends = np.cumsum(sizes)
             total = sums[ends] - sums[ends - sizes]

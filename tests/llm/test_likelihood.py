@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -14,95 +15,177 @@ def grammar(r, sentences):
     return " ".join(f"the {r.choice(subject)} {r.choice(verb)} a {r.choice(thing)} today" for _ in range(sentences))
 
 
-def model(texts, rounds=12):
-    ids = lm.tokens(texts)
-    counts = np.bincount(np.concatenate(ids), minlength=lm.SLOTS)
-    classes, share = lm.classes_of(counts)
-    weights = lm.initial(counts, classes)
+def counted(texts, bits=16):
+    words = np.concatenate([*lm.tokens(texts), np.zeros(0, np.uint32)])
+    return np.bincount(words >> np.uint32(32 - bits), minlength=1 << bits).astype(np.int64)
+
+
+def model(texts, rounds=30):
+    counts = counted(texts)
+    words = lm.lexicon(counts)
+    weights = lm.initial(counts, words)
     before = {k: v.copy() for k, v in weights.items()}
-    target, around = lm.neighbours([classes[i].astype(np.int64) for i in ids])
+    every = lm.in_context(lm.tokens(texts), words)
     for _ in range(rounds):
-        lm.descend(weights, target, around, lm.RATE)
-    return before, weights, classes, share
+        lm.descend(weights, every, lm.RATE)
+    return before, weights, words
+
 
+def mean_score(weights, words, text):
+    return lm.token_scores(weights, lm.in_context(lm.tokens([text]), words)).mean()
 
-def mean_score(weights, classes, text):
-    target, around = lm.neighbours([classes[i].astype(np.int64) for i in lm.tokens([text])])
-    return lm.class_scores(weights, target, around).mean()
 
+def plain_score(weights, words, text):
+    """Log-probability of a text, one token at a time in plain Python."""
+    (hashes,) = lm.tokens([text])
+    slots = [int(h) >> 32 - int(math.log2(len(words.share))) for h in hashes]
+    rows = [lm.ROWS] * 2 + [int(words.row[s]) for s in slots] + [lm.ROWS] * 2
 
-def test_the_network_beats_the_shares_on_held_out_text_and_prefers_its_order():
+    def log_softmax(x, at):
+        return x[at] - max(x) - math.log(sum(math.exp(v - max(x)) for v in x))
+    total = 0.0
+    for i, slot in enumerate(slots):
+        near = [rows[i], rows[i + 1], rows[i + 3], rows[i + 4]]
+        hidden = [math.tanh(sum(float(weights["embed"][k][n][j]) for k, n in enumerate(near)) + float(weights["hidden"][j]))
+                  for j in range(lm.HIDDEN)]
+        c, leaf = int(words.class_[slot]), int(words.leaf[slot])
+        total += log_softmax([sum(h * float(w) for h, w in zip(hidden, weights["out"][:, k])) + float(weights["bias"][k])
+                              for k in range(lm.CLASSES)], c) + float(words.share[slot])
+        if c >= lm.ALONE:
+            total += log_softmax([sum(h * float(w) for h, w in zip(hidden, weights["deep"][c][:, k])) + float(weights["deep_bias"][c][k])
+                                  for k in range(lm.LEAVES)], leaf)
+    return total
+
+
+def test_the_network_beats_unigrams_on_held_out_text_and_prefers_its_order():
     r = random.Random(1)
-    before, weights, classes, _ = model([grammar(r, 40) for _ in range(40)])
+    before, weights, words = model([grammar(r, 40) for _ in range(40)])
     fresh = grammar(r, 60)
-    words = fresh.split()
-    r.shuffle(words)
-    assert mean_score(weights, classes, fresh) > mean_score(before, classes, fresh) + 1
-    assert mean_score(weights, classes, fresh) > mean_score(weights, classes, " ".join(words)) + 1
+    shuffled = fresh.split()
+    r.shuffle(shuffled)
+    assert mean_score(weights, words, fresh) > mean_score(before, words, fresh) + 1
+    assert mean_score(weights, words, fresh) > mean_score(weights, words, " ".join(shuffled)) + 1
+
+
+def test_scores_match_plain_python():
+    r = random.Random(2)
+    texts = [grammar(r, 20) + " " + " ".join(f"rare{r.randrange(5000)}" for _ in range(300)) for _ in range(20)]
+    _, weights, words = model(texts, 3)
+    for text in [grammar(r, 2), "rare17 the rare4000", "", "unseen words only"]:
+        got = lm.token_scores(weights, lm.in_context(lm.tokens([text]), words)).sum()
+        assert got == pytest.approx(plain_score(weights, words, text), rel=1e-4, abs=1e-4)
+
+
+def test_swapping_two_rare_words_changes_the_score():
+    r = random.Random(3)
+    texts = [" ".join(f"rare{r.randrange(20_000)}" for _ in range(2_000)) for _ in range(20)]
+    _, weights, words = model(texts, 2)
+    changed = 0
+    for _ in range(50):
+        a, b = (f"rare{r.randrange(20_000)}" for _ in range(2))
+        one, two = f"so {a} the {b} it", f"so {b} the {a} it"
+        changed += abs(mean_score(weights, words, one) - mean_score(weights, words, two)) > 1e-6
+    assert changed >= 48
 
 
 def test_gradients_match_finite_differences():
     r = np.random.default_rng(1)
-    counts = r.integers(1, 50, lm.SLOTS)
-    weights = lm.initial(counts, lm.classes_of(counts)[0])
-    target = r.integers(0, lm.CLASSES, 20)
-    around = r.integers(0, lm.CLASSES + 1, (4, 20))
+    counts = r.integers(1, 50, 1 << 16)
+    words = lm.lexicon(counts)
+    weights = lm.initial(counts, words)
+    slots = r.integers(0, 1 << 16, 20)
+    around = np.stack([r.permutation(lm.ROWS)[:20] for _ in lm.OFFSETS]).astype(np.uint16)
+    every = lm.Tokens(words.class_[slots], words.leaf[slots], around, words.share[slots])
     moved = {k: v.copy() for k, v in weights.items()}
-    lm.descend(moved, target, around, 1e-3)
-    for name, at in (("out", (3, int(target[0]))), ("hidden", (5,)), ("embed", (1, int(around[1, 4]), 7))):
+    lm.descend(moved, every, 1e-3)
+    deep = int(next(c for c in every.class_ if c >= lm.ALONE))
+    same = [i for i, c in enumerate(every.class_) if c == deep]
+    cases = [("out", (3, int(every.class_[0])), 20), ("hidden", (5,), 20), ("embed", (1, int(around[1, 4]), 7), 1),
+             ("deep", (deep, 3, int(every.leaf[same[0]])), len(same)), ("deep_bias", (deep, int(every.leaf[same[0]])), len(same))]
+    for name, at, n in cases:
         def loss(d):
             own = {k: v.astype(np.float64) for k, v in weights.items()}
             own[name][at] += d
-            hidden = lm.activation(own, around)
+            hidden = np.tanh(sum(own["embed"][i][around[i]] for i in range(4)) + own["hidden"])
             logits = hidden @ own["out"] + own["bias"]
-            return -(logits[np.arange(20), target] - np.log(np.exp(logits).sum(1))).sum()
+            total = (logits[np.arange(20), every.class_] - np.log(np.exp(logits).sum(1))).sum()
+            for i, c in enumerate(every.class_):
+                if c >= lm.ALONE:
+                    x = hidden[i] @ own["deep"][c] + own["deep_bias"][c]
+                    total += x[every.leaf[i]] - np.log(np.exp(x).sum())
+            return -total
         slope = (loss(1e-4) - loss(-1e-4)) / 2e-4
-        assert weights[name][at] - moved[name][at] == pytest.approx(1e-3 * 32 / 20 * slope, rel=0.05, abs=1e-6)
+        assert weights[name][at] - moved[name][at] == pytest.approx(1e-3 / math.sqrt(n) * slope, rel=0.05, abs=1e-6)
 
 
-def test_classes_share_all_probability():
-    counts = np.random.default_rng(2).zipf(1.5, lm.SLOTS)
-    classes, share = lm.classes_of(counts)
-    assert np.bincount(classes, np.exp(share), minlength=lm.CLASSES) == pytest.approx(np.ones(lm.CLASSES))
+@pytest.mark.parametrize("bits", [16, 18])
+def test_all_slots_together_have_probability_one(bits):
+    counts = np.random.default_rng(2).zipf(1.5, 1 << bits).clip(0, 10**6)
+    words = lm.lexicon(counts)
+    weights = lm.initial(counts, words)
+    slots = np.arange(1 << bits)
+    around = np.repeat(np.array([[3], [lm.ROWS], [700], [4000]], np.uint16), len(slots), 1)
+    every = lm.Tokens(words.class_[slots], words.leaf[slots], around, words.share[slots])
+    assert np.exp(lm.token_scores(weights, every).astype(np.float64)).sum() == pytest.approx(1, abs=1e-3)
 
 
 def test_every_token_is_scored_from_both_sides():
-    target, around = lm.neighbours([np.array([1, 2, 3]), np.array([], np.int64), np.array([7])])
-    pad = lm.CLASSES
-    assert target.tolist() == [1, 2, 3, 7]
-    assert around.T.tolist() == [[pad, pad, 2, 3], [pad, 1, 3, pad], [1, 2, pad, pad], [pad] * 4]
+    words = lm.lexicon(counted(["a b c d a b a"]))
+    every = lm.in_context(lm.tokens(["a b c", "", "d"]), words)
+    (abc, d), pad = (words.row[words.slots(np.concatenate(lm.tokens([t])))].tolist() for t in ("a b c", "d")), lm.ROWS
+    a, b, c = abc
+    assert every.around.T.tolist() == [[pad, pad, b, c], [pad, a, c, pad], [a, b, pad, pad], [pad] * 4]
+    assert len(every.class_) == 4 and d
+
+
+def test_slots_grow_with_the_vocabulary(spark, table, run):
+    for n, most, bits in ((10, 1 << 22, 16), (60_000, 1 << 22, 17), (60_000, 1 << 16, 16)):
+        texts = [" ".join(f"w{i}" for i in range(at, min(at + 500, n))) for at in range(0, n, 500)] * 2
+        words = lm.word_counts(lm.tokenize(table(list(enumerate(texts)), DOC)), held=1_000)
+        assert words.count() == pytest.approx(n, abs=3) and {r.n for r in words.collect()} <= {2, 4}
+        counts = lm.slot_counts(words, most)
+        assert len(counts) == 1 << bits and counts.sum() == 2 * n
 
 
-def test_scores_match_a_direct_sum(spark, run):
+def test_table_scores_are_the_models(spark, run):
     folder = "/root/testdata/sf0.001"
     rows = {r.doc_id: r.text for r in documents(spark, folder).collect()}
     got = {r.doc_id: r for r in lm.op8_pseudo_likelihood(spark, folder).collect()}
     tokenized = run.write(lm.tokenize(documents(spark, folder)), "tokens")
-    counts = lm.slot_counts(tokenized)
-    assert counts.sum() == sum(len(t) for t in lm.tokens(list(rows.values())))
-    classes, share = lm.classes_of(counts)
-    weights = lm.train(tokenized, classes, counts)
-    for i in sorted(rows)[:20]:
-        (slots,) = lm.tokens([rows[i]])
-        target, around = lm.neighbours([classes[slots].astype(np.int64)])
-        total = lm.class_scores(weights, target, around).sum() + share[slots].sum()
-        assert got[i].n_tokens == len(slots) and got[i].log_likelihood == pytest.approx(total, rel=1e-3)
-    shares = np.log((np.bincount(classes, counts + 1.0, minlength=lm.CLASSES) / (counts + 1.0).sum()))
-    trained = sum(r.log_likelihood for r in got.values())
-    plain = sum((shares[classes[s]] + share[s]).sum() for s in lm.tokens(list(rows.values())))
-    assert trained > plain
-
-
-def test_training_predicts_every_token(table, run):
+    counts = lm.slot_counts(lm.word_counts(tokenized))
+    assert (counts == counted(list(rows.values()), int(math.log2(len(counts))))).all()
+    words = lm.lexicon(counts)
+    weights = lm.train(tokenized, words, counts)
+    for i in sorted(rows, key=lambda i: (len(rows[i]), i))[:12]:
+        assert got[i].n_tokens == len(lm.tokens([rows[i]])[0])
+        assert got[i].log_likelihood == pytest.approx(plain_score(weights, words, rows[i]), rel=2e-3, abs=1e-2)
+    unigram = np.log((counts + 0.1) / (counts + 0.1).sum())
+    plain = sum(unigram[words.slots(s)].sum() for s in lm.tokens(list(rows.values())))
+    assert sum(r.log_likelihood for r in got.values()) > plain
+
+
+def test_training_predicts_every_token_and_averages_what_moved(table, run):
     texts = ["one two three four five six seven eight nine ten"] * 3 + ["short text", ""]
-    tokenized = run.write(lm.tokenize(table(list(enumerate(texts)), DOC).coalesce(1)), "tokens")
-    counts = lm.slot_counts(tokenized)
-    classes, _ = lm.classes_of(counts)
-    ids = [classes[s].astype(np.int64) for s in lm.tokens(texts)]
-    want = lm.initial(counts, classes)
-    lm.descend(want, *lm.neighbours(ids), lm.RATE)
-    got = lm.train(tokenized, classes, counts, rounds=1)
-    assert all(got[k] == pytest.approx(want[k], abs=1e-6) for k in want)
+    counts = counted(texts)
+    words = lm.lexicon(counts)
+    start = lm.initial(counts, words)
+
+    def alone(some):
+        own = {k: v.copy() for k, v in start.items()}
+        lm.descend(own, lm.in_context(lm.tokens(some), words), lm.RATE)
+        return own
+    rows = table(list(enumerate(texts)), DOC)
+    got = lm.train(run.write(lm.tokenize(rows.coalesce(1)), "tokens"), words, counts, rounds=1)
+    want = alone(texts)
+    assert all(got[k] == pytest.approx(want[k], abs=2e-6) for k in want)
+    halves = [run.write(lm.tokenize(table([(i, t)], DOC).coalesce(1)), "tokens") for i, t in enumerate(("one two three", "one four"))]
+    got = lm.train(halves[0].union(halves[1]), words, counts, rounds=1)
+    one, two = alone(["one two three"]), alone(["one four"])
+    flat = [lm.flat(w).reshape(-1, lm.BLOCK) for w in (start, one, two, got)]
+    moved = [(f != flat[0]).any(1) for f in flat[1:3]]
+    n = np.maximum(moved[0].astype(int) + moved[1], 1)[:, None]
+    want = np.where((moved[0] | moved[1])[:, None], (flat[1] * moved[0][:, None] + flat[2] * moved[1][:, None]) / n, flat[0])
+    assert flat[3] == pytest.approx(want, abs=2e-6) and (moved[0] != moved[1]).any()
 
 
 def test_nulls_repeats_extra_columns_and_empty_tables(table, run):
@@ -111,6 +194,6 @@ def test_nulls_repeats_extra_columns_and_empty_tables(table, run):
     assert sorted((str(r.doc_id), r.n_tokens) for r in got) == [
         ("1", 0), ("2", 2), ("2", 2), ("3", 0), ("4", 100_000), ("None", 2)]
     assert all((r.mean_log_likelihood is None) == (r.n_tokens == 0) for r in got)
-    wide = table([r + (1, "s") for r in rows], DOC + ", n_tokens int, slots string")
+    wide = table([r + (1, "s") for r in rows], DOC + ", n_tokens int, words string")
     assert lm.score_documents(wide, run).count() == 6
     assert lm.score_documents(table([], DOC), run).collect() == []
