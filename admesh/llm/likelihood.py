@@ -45,12 +45,14 @@ OWN_ROWS = 3_072  # of which so many belong to one slot each
 HIDDEN = 32
 OFFSETS = (-2, -1, 1, 2)
 ROUNDS = 2
-BATCH = 4_096
+BATCH = 4_096  # tokens trained on or scored together
 RATE = 0.07
 CHUNK = 2_000_000
-STEP = 16_384  # tokens scored together
+LIMIT = np.float32(60)  # of a logit
+TASK = 1_000_000  # tokens that a task trains on at least, where that leaves a task for every core
 BLOCK = 32  # weights averaged together
 _SCALE = 1 << 20
+_SLICE = 4_096  # blocks handed on together
 
 _WORD = np.zeros(256, bool)
 _WORD[128:] = _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = True
@@ -114,6 +116,15 @@ class Lexicon(NamedTuple):
     def slots(self, words: np.ndarray) -> np.ndarray:
         return words >> np.uint32(32 - int(math.log2(len(self.share))))
 
+    def packed(self) -> np.ndarray:
+        """All four side by side, so that a token costs one access to a table beyond the cache."""
+        out = np.empty(len(self.share), ENTRY)
+        out["class_"], out["leaf"], out["share"], out["row"] = self
+        return out
+
+
+ENTRY = np.dtype([("share", np.float32), ("row", np.uint16), ("class_", np.uint8), ("leaf", np.uint8)])
+
 
 def lexicon(counts: np.ndarray) -> Lexicon:
     """Deal the slots out by their counts.
@@ -176,53 +187,71 @@ class Tokens(NamedTuple):
         return Tokens(self.class_[lo:lo + size], self.leaf[lo:lo + size], self.around[:, lo:lo + size], self.share[lo:lo + size])
 
 
-def in_context(texts: list[np.ndarray], words: Lexicon) -> Tokens:
-    """The tokens of all texts, given as word hashes."""
+def in_context(texts: list[np.ndarray], entries: np.ndarray) -> Tokens:
+    """The tokens of all texts, given as word hashes and a packed lexicon."""
     reach = max(OFFSETS)
     sizes = np.array([len(t) for t in texts], np.int64)
-    slots = words.slots(np.concatenate([*texts, np.zeros(0, np.uint32)]))
-    at = np.arange(len(slots)) + reach * (1 + np.repeat(np.arange(len(texts)), sizes))
-    line = np.full(len(slots) + reach * (len(texts) + 1), ROWS, np.uint16)
-    line[at] = words.row[slots]
+    words = np.concatenate([*texts, np.zeros(0, np.uint32)])
+    found = entries.take(words >> np.uint32(32 - int(math.log2(len(entries)))))
+    at = np.arange(len(found)) + reach * (1 + np.repeat(np.arange(len(texts)), sizes))
+    line = np.full(len(found) + reach * (len(texts) + 1), ROWS, np.uint16)
+    line[at] = found["row"]
     around = np.stack([line[at + o] for o in OFFSETS]) if len(at) else np.zeros((len(OFFSETS), 0), np.uint16)
-    return Tokens(words.class_[slots], words.leaf[slots], around, words.share[slots])
+    return Tokens(found["class_"].copy(), found["leaf"].copy(), around, found["share"].copy())
 
 
 def activation(weights, around: np.ndarray) -> np.ndarray:
-    total = weights["embed"][0][around[0]] + weights["hidden"]
+    """The hidden layer, a row for each token, with a last column of ones for the biases."""
+    total = weights["embed"][0].take(around[0], axis=0)
     for i in range(1, len(OFFSETS)):
-        total += weights["embed"][i][around[i]]
-    return np.tanh(total, out=total)
+        total += weights["embed"][i].take(around[i], axis=0)
+    total += weights["hidden"]
+    out = np.ones((len(total), HIDDEN + 1), np.float32)
+    np.tanh(total, out=out[:, :-1])
+    return out
 
 
-def _probabilities(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(1, keepdims=True)
+def _layers(weights) -> tuple[np.ndarray, np.ndarray]:
+    """Both softmax layers with their biases as a last row."""
+    return (np.vstack([weights["out"], weights["bias"]]),
+            np.concatenate([weights["deep"], weights["deep_bias"][:, None]], 1))
+
+
+def _exp(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The exponentials, in place, and their sums by row; logits are clipped where they could overflow."""
+    np.clip(logits, -LIMIT, LIMIT, out=logits)
     np.exp(logits, out=logits)
-    logits /= logits.sum(1, keepdims=True)
-    return logits
+    return logits, logits @ np.ones((logits.shape[1], 1), np.float32)
 
 
-def _by_class(class_: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """The classes of several leaves that occur, each with its tokens' places."""
+def _by_class(class_: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The tokens of classes of several leaves in the order of classes, and each such class that occurs with its range."""
     order = np.argsort(class_, kind="stable")
     ends = np.searchsorted(class_[order], np.arange(ALONE, CLASSES + 1))
-    for c in range(ALONE, CLASSES):
-        lo, hi = ends[c - ALONE], ends[c - ALONE + 1]
-        if lo < hi:
-            yield c, order[lo:hi]
+    order, ends = order[ends[0]:], (ends - ends[0]).tolist()
+    return order, [(c, lo, hi) for c, lo, hi in zip(range(ALONE, CLASSES), ends, ends[1:]) if lo < hi]
+
+
+def _leaf_logits(near: np.ndarray, deep: np.ndarray, ranges: list[tuple[int, int, int]]) -> np.ndarray:
+    out = np.empty((len(near), LEAVES), np.float32)
+    for c, lo, hi in ranges:
+        np.matmul(near[lo:hi], deep[c], out=out[lo:hi])
+    return out
 
 
 def token_scores(weights, every: Tokens) -> np.ndarray:
     """Log-probability of every token given its neighbours."""
+    layer, deep = _layers(weights)
     out = np.empty(len(every.class_), np.float32)
-    for lo in range(0, len(out), STEP):
-        own = every.part(lo, STEP)
+    for lo in range(0, len(out), BATCH):
+        own = every.part(lo, BATCH)
         hidden = activation(weights, own.around)
-        near = _probabilities(hidden @ weights["out"] + weights["bias"])[np.arange(len(own.class_)), own.class_]
-        for c, at in _by_class(own.class_):
-            leaves = _probabilities(hidden[at] @ weights["deep"][c] + weights["deep_bias"][c])
-            near[at] *= leaves[np.arange(len(at)), own.leaf[at]]
-        out[lo:lo + STEP] = np.log(np.maximum(near, np.float32(1e-37))) + own.share
+        weight, total = _exp(hidden @ layer)
+        near = weight[np.arange(len(weight)), own.class_] / total[:, 0]
+        order, ranges = _by_class(own.class_)
+        weight, total = _exp(_leaf_logits(hidden.take(order, axis=0), deep, ranges))
+        near[order] *= weight[np.arange(len(order)), own.leaf[order]] / total[:, 0]
+        out[lo:lo + BATCH] = np.log(np.maximum(near, np.float32(1e-37))) + own.share
     return out
 
 
@@ -232,33 +261,38 @@ def descend(weights, every: Tokens, rate: float) -> None:
     A weight moves by the sum of the slopes of the n tokens of the batch that it
     takes part in, over the square root of n.
     """
-    for lo in range(0, len(every.class_), BATCH):
-        own = every.part(lo, BATCH)
+    layer, deep = _layers(weights)
+    slopes = np.empty((HIDDEN, ROWS + 1), np.float32)
+    for at in range(0, len(every.class_), BATCH):
+        own = every.part(at, BATCH)
         size = len(own.class_)
+        step = np.float32(rate / math.sqrt(size))
         hidden = activation(weights, own.around)
-        error = _probabilities(hidden @ weights["out"] + weights["bias"])
+        error, total = _exp(hidden @ layer)
+        error /= total
         error[np.arange(size), own.class_] -= 1
-        back = error @ weights["out"].T
-        for c, at in _by_class(own.class_):
-            near = hidden[at]
-            wrong = _probabilities(near @ weights["deep"][c] + weights["deep_bias"][c])
-            wrong[np.arange(len(at)), own.leaf[at]] -= 1
-            back[at] += wrong @ weights["deep"][c].T
-            step = np.float32(rate / math.sqrt(len(at)))
-            weights["deep"][c] -= step * (near.T @ wrong)
-            weights["deep_bias"][c] -= step * wrong.sum(0)
-        step = np.float32(rate / math.sqrt(size))
-        weights["out"] -= step * (hidden.T @ error)
-        weights["bias"] -= step * error.sum(0)
-        back *= 1 - hidden * hidden
+        back = error @ layer[:-1].T
+        layer -= step * (hidden.T @ error)
+        order, ranges = _by_class(own.class_)
+        near = hidden.take(order, axis=0)
+        wrong, total = _exp(_leaf_logits(near, deep, ranges))
+        wrong /= total
+        wrong[np.arange(len(order)), own.leaf[order]] -= 1
+        below = np.empty((len(order), HIDDEN), np.float32)
+        for c, lo, hi in ranges:
+            np.matmul(wrong[lo:hi], deep[c, :-1].T, out=below[lo:hi])
+            deep[c] -= np.float32(rate / math.sqrt(hi - lo)) * (near[lo:hi].T @ wrong[lo:hi])
+        back[order] += below
+        back *= 1 - hidden[:, :-1] ** 2
         weights["hidden"] -= step * back.sum(0)
-        for i, rows in enumerate(own.around):
-            order = np.argsort(rows, kind="stable")
-            rows = rows[order]
-            first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-            n = np.diff(first, append=size)
-            sums = np.add.reduceat(back[order], first, axis=0)
-            weights["embed"][i][rows[first]] -= (rate / np.sqrt(n)).astype(np.float32)[:, None] * sums
+        across = back.T.astype(np.float64)  # the types that bincount works in
+        for i, rows in enumerate(own.around.astype(np.int64)):
+            for unit in range(HIDDEN):
+                slopes[unit] = np.bincount(rows, across[unit], ROWS + 1)
+            slopes *= (rate / np.sqrt(np.maximum(np.bincount(rows, minlength=ROWS + 1), 1))).astype(np.float32)
+            weights["embed"][i] -= slopes.T
+    weights["out"], weights["bias"] = layer[:-1].copy(), layer[-1].copy()
+    weights["deep"], weights["deep_bias"] = deep[:, :-1].copy(), deep[:, -1].copy()
 
 
 def _texts(batches) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -271,7 +305,9 @@ def train(tokenized: DataFrame, words: Lexicon, counts: np.ndarray, rounds: int
     """Weights averaged over the tasks after each round of local descent."""
     weights = initial(counts, words)
     sc = tokenized.sparkSession.sparkContext
-    dealt = sc.broadcast(words)
+    # A few documents alone make a poor local model, and every task hands on all weights that it moved.
+    texts = tokenized.select("words").coalesce(max(sc.defaultParallelism, int(counts.sum()) // TASK, 1))
+    dealt = sc.broadcast(words.packed())
     for round_ in range(rounds):
         shared = sc.broadcast(weights)
 
@@ -281,9 +317,11 @@ def train(tokenized: DataFrame, words: Lexicon, counts: np.ndarray, rounds: int
                 descend(own, in_context(texts, dealt.value), rate)
             before, after = flat(shared.value).reshape(-1, BLOCK), flat(own).reshape(-1, BLOCK)
             moved = np.flatnonzero((before != after).any(1))
-            values = np.round(after[moved].astype(np.float64) * _SCALE).astype("<i8")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(moved), pa.array([v.tobytes() for v in values], pa.binary())], ["block", "data"])
+            for lo in range(0, len(moved), _SLICE):
+                some = moved[lo:lo + _SLICE]
+                values = np.clip(np.round(after[some].astype(np.float64) * _SCALE), -2**31, 2**31 - 1).astype("<i4")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some), pa.array([v.tobytes() for v in values], pa.binary())], ["block", "data"])
 
         def average(batches):
             # Blocks arrive in order, so one sum is held at a time.
@@ -296,12 +334,12 @@ def train(tokenized: DataFrame, words: Lexicon, counts: np.ndarray, rounds: int
                             _add(out, block, n, total)
                         block, n, total = b, 0, np.zeros(BLOCK, np.int64)
                     n += 1
-                    total = total + np.frombuffer(data, "<i8")
+                    total = total + np.frombuffer(data, "<i4")
             if block is not None:
                 _add(out, block, n, total)
             yield pa.RecordBatch.from_pydict(out, pa.schema([("block", pa.int64()), ("n", pa.int64()), ("data", pa.binary())]))
         averaged = (
-            tokenized.select("words").mapInArrow(run, "block bigint, data binary")
+            texts.mapInArrow(run, "block bigint, data binary")
             .repartition("block").sortWithinPartitions("block").mapInArrow(average, "block bigint, n bigint, data binary").toArrow())
         if averaged.num_rows:
             line = flat(weights).astype(np.float64).reshape(-1, BLOCK)
@@ -329,12 +367,12 @@ def score_documents(docs: DataFrame, run_folder: RunFolder) -> DataFrame:
     counts = slot_counts(run_folder.write(word_counts(tokenized), "words"))
     words = lexicon(counts)
     weights = train(tokenized, words, counts)
-    model = tokenized.sparkSession.sparkContext.broadcast((weights, words))
+    model = tokenized.sparkSession.sparkContext.broadcast((weights, words.packed()))
 
     def run(batches):
-        weights, words = model.value
+        weights, entries = model.value
         for part, texts in _texts(batches):
-            line = token_scores(weights, in_context(texts, words)).astype(np.float64)
+            line = token_scores(weights, in_context(texts, entries)).astype(np.float64)
             sizes = np.array([len(t) for t in texts], np.int64)
             sums = np.concatenate([[0.0], np.cumsum(line)])
             ends = np.cumsum(sizes)

@@ -25,14 +25,14 @@ def model(texts, rounds=30):
     words = lm.lexicon(counts)
     weights = lm.initial(counts, words)
     before = {k: v.copy() for k, v in weights.items()}
-    every = lm.in_context(lm.tokens(texts), words)
+    every = lm.in_context(lm.tokens(texts), words.packed())
     for _ in range(rounds):
         lm.descend(weights, every, lm.RATE)
     return before, weights, words
 
 
 def mean_score(weights, words, text):
-    return lm.token_scores(weights, lm.in_context(lm.tokens([text]), words)).mean()
+    return lm.token_scores(weights, lm.in_context(lm.tokens([text]), words.packed())).mean()
 
 
 def plain_score(weights, words, text):
@@ -72,7 +72,7 @@ def test_scores_match_plain_python():
     texts = [grammar(r, 20) + " " + " ".join(f"rare{r.randrange(5000)}" for _ in range(300)) for _ in range(20)]
     _, weights, words = model(texts, 3)
     for text in [grammar(r, 2), "rare17 the rare4000", "", "unseen words only"]:
-        got = lm.token_scores(weights, lm.in_context(lm.tokens([text]), words)).sum()
+        got = lm.token_scores(weights, lm.in_context(lm.tokens([text]), words.packed())).sum()
         assert got == pytest.approx(plain_score(weights, words, text), rel=1e-4, abs=1e-4)
 
 
@@ -131,7 +131,7 @@ def test_all_slots_together_have_probability_one(bits):
 
 def test_every_token_is_scored_from_both_sides():
     words = lm.lexicon(counted(["a b c d a b a"]))
-    every = lm.in_context(lm.tokens(["a b c", "", "d"]), words)
+    every = lm.in_context(lm.tokens(["a b c", "", "d"]), words.packed())
     (abc, d), pad = (words.row[words.slots(np.concatenate(lm.tokens([t])))].tolist() for t in ("a b c", "d")), lm.ROWS
     a, b, c = abc
     assert every.around.T.tolist() == [[pad, pad, b, c], [pad, a, c, pad], [a, b, pad, pad], [pad] * 4]
@@ -172,7 +172,7 @@ def test_training_predicts_every_token_and_averages_what_moved(table, run):
 
     def alone(some):
         own = {k: v.copy() for k, v in start.items()}
-        lm.descend(own, lm.in_context(lm.tokens(some), words), lm.RATE)
+        lm.descend(own, lm.in_context(lm.tokens(some), words.packed()), lm.RATE)
         return own
     rows = table(list(enumerate(texts)), DOC)
     got = lm.train(run.write(lm.tokenize(rows.coalesce(1)), "tokens"), words, counts, rounds=1)
