@@ -239,12 +239,11 @@ def redact(docs: DataFrame, run: RunFolder) -> DataFrame:
 
     Spans that overlap are replaced together, under the kind of the one that
     starts first, the longest of those. A null text stays null. Rows with a repeated or null id keep
-    their own spans.
+    their own spans. All other columns are returned as they are, whatever their names.
     """
-    own = docs.withColumn("_row", F.struct(*docs.columns))
-    found = find_spans(own.select(F.col("_row").alias("doc_id"), "text"), run).select(
-        F.col("doc_id").alias("_row"), "spans").select("_row.*", "spans")
-    text = F.col("text")
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    found = find_spans(docs.select(whole.alias("doc_id"), "text"), run).select(F.col("doc_id").alias("row"), "spans")
+    text = F.col("row")["text"]
     by_start = F.transform(
         F.sort_array(F.transform("spans", lambda s: F.struct(s["start"], -s["stop"], s["kind"]))),
         lambda s: F.struct(s["start"].alias("start"), (-s["col2"]).alias("stop"), s["kind"].alias("kind")))
@@ -258,12 +257,12 @@ def redact(docs: DataFrame, run: RunFolder) -> DataFrame:
                         .otherwise(state["parts"]).alias("parts"))
     done = F.aggregate(by_start, begin, add, lambda state: F.concat(
         F.array_join(state["parts"], ""), F.substring(text, state["at"] + 1, F.length(text))))
-    columns = {"text": F.when(F.size("spans") > 0, done).otherwise(text)}
-    out = found.withColumns(columns)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast("bigint")).otherwise(
-            F.col("n_chars")))
-    return out.select(*docs.columns)
+    renewed = {"text": F.col("done"), "n_chars": F.length("done").cast("bigint")}
+
+    def value(name):
+        own = F.col("row").getField(name)
+        return (F.coalesce(renewed[name], own) if name in renewed else own).alias(name)
+    return found.withColumn("done", F.when(F.size("spans") > 0, done)).select(*map(value, docs.columns))
 
 
 def op9_pii(spark: SparkSession, folder: str) -> DataFrame:

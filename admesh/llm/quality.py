@@ -298,8 +298,15 @@ def judge(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, reject: floa
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps, unchanged."""
-    return judge(docs, labels, sample).filter("kept").select(*docs.columns)
+    """The rows of ``docs`` that the classifier keeps, unchanged, also in columns that ``judge`` would replace."""
+    aside = {}
+    for name in ("junk", "toxic", "kept"):
+        if name in docs.columns:
+            aside[name] = name + "_"
+            while aside[name] in docs.columns:
+                aside[name] += "_"
+    kept = judge(docs.withColumnsRenamed(aside), labels, sample).filter("kept").drop("junk", "toxic", "kept")
+    return kept.withColumnsRenamed({new: old for old, new in aside.items()}).select(*docs.columns)
 
 
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:

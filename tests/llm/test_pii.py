@@ -109,6 +109,14 @@ def test_redaction_replaces_each_span_once(table, run):
     assert pii.redact(docs, run).columns == docs.columns
 
 
+def test_redaction_leaves_columns_of_any_name_alone(table, run):
+    names = ("spans", "all", "_row", "row", "done", "base", "kind")
+    docs = table([(1, "mail a.b@c.de now", *names), (None, None, *[None] * 7)],
+                 DOC + "".join(f", `{n}` string" for n in names))
+    got = sorted(pii.redact(docs, run).collect(), key=str)
+    assert [tuple(r) for r in got] == [(1, "mail [EMAIL] now", *names), (None,) * 9] and got[0].__fields__ == docs.columns
+
+
 def test_nulls_repeats_extra_columns_and_empty_tables(table, run):
     rows = [(None, "a@b.cd"), (1, None), (1, None), (2, "a@b.cd")]
     got = pii.find_spans(table(rows, DOC), run).collect()

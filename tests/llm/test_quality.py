@@ -80,6 +80,14 @@ def test_nulls_repeats_long_texts_and_clashing_columns(table):
     assert {str(r.doc_id) + str(r.kept) for r in again.collect()} == {str(r.doc_id) + str(r.kept) for r in got}
 
 
+def test_kept_rows_keep_columns_that_the_judgement_would_replace(table):
+    rows, labels = toy()
+    names = DOC + ", kept string, junk string, toxic int, kept_ int"
+    docs = table([r + (f"k{r[0]}", "j", r[0], -r[0]) for r in rows], names)
+    got = sorted(map(tuple, quality.keep_good(docs, table(labels, LABEL)).collect()))
+    assert got == [r + (f"k{r[0]}", "j", r[0], -r[0]) for r in rows if r[0] % 6 and r[0] % 7]
+
+
 def test_empty_tables_and_no_labels(table):
     rows, _ = toy()
     assert quality.judge(table([], DOC), table([], LABEL)).collect() == []
