@@ -6,6 +6,12 @@ towards the overall rate, by beta-binomial priors whose strength is estimated
 from the spread of the rates at each level (method of moments). A host is
 blocked when the lower bound of its posterior exceeds a limit, so a host with
 few pages is judged mostly by its relatives.
+
+Domain and suffix come from the host's name, without user and port. Suffix rules
+of several labels are a parameter; the longest that ends the name is its suffix,
+else the last label, and the domain has one label more. An address is its own
+domain and suffix. Outcomes are a parameter, too; by default a page is bad if
+marks of one kind fill it.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +20,8 @@ from pyspark.sql import functions as F
 from admesh.llm.tables import table
 from admesh.storage import RunFolder
 
-# Registry suffixes of two labels; any other suffix is a host's last label.
-TWO_LABELS = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "co.nz", "com.br", "co.in")
+# Registry suffixes of several labels; any other suffix is a host's last label.
+SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "co.nz", "com.br", "co.in")
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
          ("allow", "org", "/fr/"))
 # A page is bad if marks of one kind take up this share of its code points.
@@ -48,14 +54,25 @@ def matching_rule(host: Column, path: Column, rules=RULES) -> Column:
     return best
 
 
-def suffix_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABELS), two).otherwise(F.substring_index(host, ".", -1))
+def name_of(host: Column) -> Column:
+    """The host without a user before ``@`` and a port after ``:``."""
+    return F.regexp_replace(F.regexp_replace(host, r"(?s)^.*@", ""), r":[0-9]*\z", "")
+
+
+def suffix_and_domain(host: Column, suffixes=SUFFIXES) -> Column:
+    """The struct ``suffix, domain`` of a host, by the longest of the suffix rules that fits."""
+    name = name_of(host)
 
+    def last(labels):
+        return F.substring_index(name, ".", -labels)
 
-def domain_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABELS), F.substring_index(host, ".", -3)).otherwise(two)
+    def both(labels):
+        return F.struct(last(labels).alias("suffix"), last(labels + 1).alias("domain"))
+    out = both(1)
+    for labels in sorted({s.count(".") + 1 for s in suffixes}):
+        out = F.when(last(labels).isin(*(s for s in suffixes if s.count(".") + 1 == labels)), both(labels)).otherwise(out)
+    address = name.rlike(r"^[0-9]+(\.[0-9]+){3}\z") | name.startswith("[")
+    return F.when(address, F.struct(name.alias("suffix"), name.alias("domain"))).otherwise(out)
 
 
 def is_bad(html: Column, marks=MARKS, share: float = MARK_SHARE) -> Column:
@@ -89,7 +106,7 @@ def _shrunk(both: DataFrame) -> DataFrame:
         "rate", (F.col("k") + F.col("strength") * F.col("p")) / (F.col("n") + F.col("strength")))
 
 
-def reputation(outcomes: DataFrame, run: RunFolder, limit: float = LIMIT, z: float = Z) -> DataFrame:
+def reputation(outcomes: DataFrame, run: RunFolder, limit: float = LIMIT, z: float = Z, suffixes=SUFFIXES) -> DataFrame:
     """``host, n, k, rate, bound, verdict`` from page outcomes ``host, bad``.
 
     ``n`` pages, ``k`` of them bad, posterior mean and lower bound of the bad
@@ -100,7 +117,7 @@ def reputation(outcomes: DataFrame, run: RunFolder, limit: float = LIMIT, z: flo
     hosts = run.write(
         outcomes.groupBy(host.alias("host"))
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.coalesce("bad", F.lit(False))).alias("k"))
-        .withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))}), "hosts")
+        .withColumn("names", suffix_and_domain(F.col("host"), suffixes)).select("host", "n", "k", "names.*"), "hosts")
 
     def level(*keys):
         return hosts.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
@@ -119,16 +136,20 @@ def reputation(outcomes: DataFrame, run: RunFolder, limit: float = LIMIT, z: flo
     )
 
 
-def judge_urls(pages: DataFrame, run: RunFolder, rules=RULES, limit: float = LIMIT) -> DataFrame:
+def judge_urls(pages: DataFrame, run: RunFolder, rules=RULES, limit: float = LIMIT, suffixes=SUFFIXES,
+               bad: Column | None = None) -> DataFrame:
     """Judge each of ``page_id, url, html``: ``page_id, host, path, rule, verdict, bound``.
 
+    ``bad`` is the outcome of a page as an expression over ``pages``, such as a
+    classifier's verdict; without it marks in ``html`` decide, see ``is_bad``.
     One row per input row, repeated rows included. A null url, or one without
     ``://``, has an empty host and path and is judged by the reputation of the
     empty host. Other columns are ignored.
     """
     judged = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    outcomes = pages.select(host_of(F.col("url")).alias("host"), is_bad(F.col("html")).alias("bad"))
-    known = reputation(outcomes, run, limit).select("host", "bound", F.col("verdict").alias("method"))
+    outcome = is_bad(F.col("html")) if bad is None else bad
+    outcomes = pages.select(host_of(F.col("url")).alias("host"), outcome.alias("bad"))
+    known = reputation(outcomes, run, limit, suffixes=suffixes).select("host", "bound", F.col("verdict").alias("method"))
     return (
         judged.join(known, "host", "left")
         .withColumn("best", matching_rule(F.col("host"), F.col("path"), rules))
@@ -168,11 +189,16 @@ outcomes AS (
         OR length(html) - length(replace(html, '!!', '')) >= length(html) * 0.02
         OR length(html) - length(replace(html, '|', '')) >= length(html) * 0.02), false) AS bad
     FROM split),
-labels_of AS (
+counts AS (
     SELECT host, count(*)::DOUBLE AS n, count(*) FILTER (bad)::DOUBLE AS k,
-           string_split(host, '.') AS parts FROM outcomes GROUP BY host),
+           regexp_replace(regexp_replace(host, '(?s)^.*@', ''), ':[0-9]*\z', '') AS name FROM outcomes GROUP BY host),
+labels_of AS (
+    SELECT *, string_split(name, '.') AS parts, array_to_string(string_split(name, '.')[-2:], '.') AS two,
+           regexp_matches(name, '^[0-9]+(\.[0-9]+){3}\z') OR starts_with(name, '[') AS address FROM counts),
 hosts AS (
-    SELECT host, n, k, array_to_string(parts[-2:], '.') AS domain, parts[-1] AS suffix FROM labels_of),
+    SELECT host, n, k,
+           CASE WHEN address THEN name WHEN two IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'co.nz', 'com.br', 'co.in') THEN array_to_string(parts[-3:], '.') ELSE two END AS domain,
+           CASE WHEN address THEN name WHEN two IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'co.nz', 'com.br', 'co.in') THEN two ELSE parts[-1] END AS suffix FROM labels_of),
 root AS (SELECT 1 AS root, sum(k) / sum(n) AS rate FROM hosts),
 suffix_counts AS (SELECT suffix, 1 AS root, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY suffix),
 domain_counts AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY ALL),

@@ -389,23 +389,39 @@ _EDIT = pa.struct([("start", pa.int32()), ("count", pa.int32()), ("ids", pa.list
 _ALTERNATIVES = pa.list_(pa.struct([("cost", pa.int64()), ("edits", pa.list_(_EDIT))]))
 
 
-def encode_documents(docs: DataFrame, model: str = MODEL, n: int = N_BEST) -> DataFrame:
+def encode_documents(docs: DataFrame, model: str = MODEL, n: int = N_BEST, verify: bool = False) -> DataFrame:
     """Encode ``doc_id, text``: the best ``ids`` with their ``cost``, and the other n - 1 best as edits of them.
 
     One row per input row, whole texts, null texts read as empty; other columns
     are ignored. An empty text is the lone space mark. A text has fewer
     alternatives only if it has fewer segmentations. Runs without a shuffle.
+
+    With ``verify`` the ids are decoded at once: ``text_sha256`` is the digest of
+    the decoded text, and a text that does not come back is an error.
     """
     def run(batches: Iterator[pa.RecordBatch]):
         encoder = Encoder(model, n)
         for part in _chunks(batches, CHUNK):
-            offsets, ids, costs, alternatives = encoder.encode([t or "" for t in part.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)),
-                 pa.array(costs, pa.int64()), pa.array(alternatives, _ALTERNATIVES)],
-                ["doc_id", "ids", "cost", "alternatives"])
+            texts = [t or "" for t in part.column("text").to_pylist()]
+            offsets, ids, costs, alternatives = encoder.encode(texts)
+            columns = [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)),
+                       pa.array(costs, pa.int64()), pa.array(alternatives, _ALTERNATIVES)]
+            if verify:
+                columns.append(pa.array(_verified(encoder.vocab, texts, offsets, ids), pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "cost", "alternatives", "text_sha256"][:len(columns)])
+
+    return docs.select("doc_id", "text").mapInArrow(run, ENCODED + ", text_sha256 string" * verify)
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, ENCODED)
+def _verified(vocab: Vocabulary, texts: list[str], offsets: np.ndarray, ids: np.ndarray) -> list[str]:
+    """Digests of the decoded texts."""
+    out = []
+    for text, lo, hi in zip(texts, offsets.tolist(), offsets[1:].tolist()):
+        decoded = decode(vocab, ids[lo:hi].tolist())
+        if decoded != text:
+            raise ValueError(f"{hi - lo} pieces do not decode to their text of {len(text)} code points")
+        out.append(hashlib.sha256(decoded.encode()).hexdigest())
+    return out
 
 
 def decode_documents(encoded: DataFrame, model: str = MODEL) -> DataFrame:

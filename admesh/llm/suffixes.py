@@ -22,7 +22,10 @@ shard may exceed memory. At every level, suffixes whose common prefixes reach
 ``LENGTH`` are equal windows. A class of one leaves the queue.
 
 An anchor with very many different runs (a line that many documents share) is
-dealt out by the bytes of each single window before it is sorted.
+dealt out by the bytes of each single window before it is sorted. A map task
+folds its equal windows to the earliest; the others are repeats. So a group that
+is sorted together has ``HOT`` runs at most, or a window for each batch that a
+map task folds, however often a line occurs.
 """
 
 import hashlib
@@ -45,6 +48,7 @@ GRAM = 20
 CHUNK = 1_000_000  # bytes of text handled together
 HELD = 2_000_000  # runs that a map task folds at a time
 HOT = 20_000  # different runs of an anchor that one task sorts
+FOLDED = 100_000  # different windows of hot anchors that a map task folds at a time
 BLOCK = 20_000  # tuples of a queue block
 MEMORY = 64_000_000  # bytes of tuples the queue holds before it uses the disk
 
@@ -192,28 +196,61 @@ def _classify(keys: DataFrame, length: int) -> DataFrame:
     return keys.repartition("h").sortWithinPartitions("h", "run", "doc_id", "at").mapInArrow(run, FOUND)
 
 
-def _suffixes(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
-    """The bytes of the runs that a shard has to sort; a hot anchor's runs window by window."""
-    names = ["h", "part", "doc_id", "start", "windows", "left", "bytes"]
+class _Windows:
+    """Folds equal windows of hot anchors: the earliest of each, and the others as repeats."""
+
+    def __init__(self):
+        self.first: dict[tuple[int, bytes], tuple[int, int, int]] = {}
+        self.repeats: set[tuple[int, int]] = set()
+
+    def __len__(self):
+        return len(self.first) + len(self.repeats)
+
+    def add(self, h: int, own: bytes, doc: int, start: int, left: int) -> None:
+        before = self.first.setdefault((h, own), (doc, start, left))
+        if (doc, start) < before[:2]:
+            self.first[h, own] = doc, start, left
+            self.repeats.add(before[:2])
+        elif (doc, start) > before[:2]:
+            self.repeats.add((doc, start))
+
+    def rows(self) -> Iterator[tuple]:
+        """Rows of ``SUFFIXES``; a negative number of windows marks so many repeats from ``start`` on."""
+        for (h, own), (doc, start, left) in self.first.items():
+            deal = int.from_bytes(hashlib.blake2b(own, digest_size=8).digest(), "big", signed=True)
+            yield h, deal, doc, start, 1, left, own
+        at = n = 0
+        last = None
+        for doc, start in sorted(self.repeats):
+            if last != doc or start != at + n:
+                if n:
+                    yield last, at, last, at, -n, 0, b""  # any group that spreads them over the tasks
+                last, at, n = doc, start, 0
+            n += 1
+        if n:
+            yield last, at, last, at, -n, 0, b""
+
 
+def _suffixes(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
+    """The bytes of the runs that a shard has to sort; a hot anchor's runs window by window, equal ones folded."""
     def run(batches):
+        folded = _Windows()
         for part in chunks(batches, CHUNK):
-            rows = {n: [] for n in names}
+            rows = []
             for doc_id, text, runs in zip(*(part.column(c) for c in ("doc_id", "text", "runs"))):
-                text = text.as_py().encode()
+                doc, text = doc_id.as_py(), text.as_py().encode()
                 for r in runs.as_py():
                     start, windows, left = _unpack(r["at"])
-                    single = range(start, start + windows) if r["hot"] else (start,)
-                    for s in single:
-                        size = length if r["hot"] else length + windows - 1
-                        own = text[s:s + size]
-                        deal = int.from_bytes(hashlib.blake2b(own, digest_size=8).digest(), "big", signed=True)
-                        for n, v in zip(names, (r["h"], deal if r["hot"] else 0, doc_id.as_py(), s,
-                                                1 if r["hot"] else windows, left - (s - start), own)):
-                            rows[n].append(v)
-            yield pa.RecordBatch.from_pydict(rows, schema)
-    schema = pa.schema([("h", pa.int64()), ("part", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()),
-                        ("windows", pa.int32()), ("left", pa.int32()), ("bytes", pa.binary())])
+                    if not r["hot"]:
+                        rows.append((r["h"], 0, doc, start, windows, left, text[start:start + length + windows - 1]))
+                        continue
+                    for s in range(start, start + windows):
+                        folded.add(r["h"], text[s:s + length], doc, s, left - (s - start))
+                    if len(folded) >= FOLDED:
+                        yield _suffix_batch(folded.rows())
+                        folded = _Windows()
+            yield _suffix_batch(rows)
+        yield _suffix_batch(folded.rows())
     hot = asked.groupBy("h").count().filter(F.col("count") > HOT).select("h", F.lit(True).alias("hot"))
     runs = (
         asked.join(hot, "h", "left")
@@ -221,6 +258,15 @@ def _suffixes(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
     return docs.join(runs, "doc_id").mapInArrow(run, SUFFIXES)
 
 
+_SUFFIX = pa.schema([("h", pa.int64()), ("part", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()),
+                     ("windows", pa.int32()), ("left", pa.int32()), ("bytes", pa.binary())])
+
+
+def _suffix_batch(rows) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(_SUFFIX)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SUFFIX)], schema=_SUFFIX)
+
+
 class DiskQueue:
     """Blocks of tuples by priority; beyond ``memory`` bytes the least urgent ones wait in files."""
 
@@ -336,11 +382,17 @@ def _joined_blocks(blocks: list[dict]) -> dict[str, np.ndarray]:
 
 
 def sort_shard(blocks: Iterator[dict], length: int, widest: int, memory: int = MEMORY, size: int = BLOCK):
-    """Run the induction over blocks of whole groups; yields documents and starts of repeated windows."""
+    """Run the induction over blocks of whole groups; yields documents and starts of repeated windows.
+
+    A block of ``doc`` and ``start`` alone holds repeats that are known already.
+    """
     with tempfile.TemporaryDirectory() as folder:
         queue = DiskQueue(folder, memory)
         for n, rows in enumerate(blocks):
-            queue.push((0, n), sorted_suffixes(rows, length, widest))
+            if "bytes" in rows:
+                queue.push((0, n), sorted_suffixes(rows, length, widest))
+            else:
+                yield rows["doc"], rows["start"]
         while queue.heap:
             (level, n), block = queue.pop()
             some, rows = [block], len(block["class"])
@@ -365,6 +417,12 @@ def _sort_shards(suffixes: DataFrame, length: int, gram: int) -> DataFrame:
             return {"group": group, "bytes": table.column("bytes").to_pylist()} | {
                 c: table.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "start", "windows", "left")}
         for batch in batches:
+            windows = batch.column("windows").to_numpy()
+            if (windows < 0).any():
+                n, doc, start = (batch.column(c).to_numpy()[windows < 0] for c in ("windows", "doc_id", "start"))
+                n = -n.astype(np.int64)
+                yield {"doc": np.repeat(doc, n), "start": np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - start, n)}
+                batch = batch.filter(pa.array(windows > 0))
             held.append(batch)
             rows += batch.num_rows
             if rows < BLOCK:

@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -31,8 +32,13 @@ def test_the_longest_fitting_rule_wins(table, host, path, rule):
 def brute(outcomes, limit, z=hosts.Z):
     """The same hierarchy in plain Python."""
     n, k = Counter(h for h, _ in outcomes), Counter(h for h, b in outcomes if b)
-    domain = {h: ".".join(h.split(".")[-2:]) for h in n}
-    suffix = {h: h.split(".")[-1] for h in n}
+    domain, suffix = {}, {}
+    for host in n:
+        parts = re.sub(r":\d*$", "", host.split("@")[-1]).split(".")
+        labels = 2 if ".".join(parts[-2:]) in hosts.SUFFIXES else 1
+        if len(parts) == 4 and all(p.isdigit() for p in parts):
+            labels = 4
+        suffix[host], domain[host] = ".".join(parts[-labels:]), ".".join(parts[-labels - 1:])
 
     def level(name):
         return Counter({g: sum(n[h] for h in n if name[h] == g) for g in name.values()}), Counter(
@@ -56,7 +62,8 @@ def test_reputation_matches_brute_force(table, run, seed):
     outcomes = []
     for i in range(25):
         p = r.choice([0.02, 0.1, 0.9])
-        name = f"{r.choice('ab')}{i}.{r.choice(['x', 'y', 'z'])}.{r.choice(['com', 'org'])}"
+        name = f"{r.choice('ab')}{i}.{r.choice(['x', 'y', 'z'])}.{r.choice(['com', 'org', 'co.uk', 'uk'])}{r.choice(['', ':8080'])}"
+        name = r.choice([name, name, name, "me@" + name, f"10.0.{i % 3}.1{r.choice(['', ':80'])}"])
         outcomes += [(name, r.random() < p) for _ in range(r.choice([1, 3, 40, 200]))]
     got = {x.host: x for x in hosts.reputation(table(outcomes, "host string, bad boolean"), run).collect()}
     want = brute(outcomes, hosts.LIMIT)
@@ -64,6 +71,25 @@ def test_reputation_matches_brute_force(table, run, seed):
     assert {h for h, x in got.items() if x.verdict == "block"} == {h for h, b in want.items() if b > hosts.LIMIT} != set()
 
 
+@pytest.mark.parametrize("host, suffix, domain", [
+    ("a.b.com", "com", "b.com"), ("a.b.co.uk", "co.uk", "b.co.uk"), ("co.uk", "co.uk", "co.uk"), ("a.b.uk", "uk", "b.uk"),
+    ("a.b.com:8080", "com", "b.com"), ("me:pw@a.b.com:80", "com", "b.com"), ("10.0.0.1:80", "10.0.0.1", "10.0.0.1"),
+    ("[::1]:80", "[::1]", "[::1]"), ("", "", ""), ("local", "local", "local"), ("1.2.3", "3", "2.3")])
+def test_suffix_and_domain(table, host, suffix, domain):
+    row = table([(host,)], "h string").select(hosts.suffix_and_domain(F.col("h")).alias("s")).first().s
+    assert tuple(row) == (suffix, domain)
+
+
+def test_suffix_rules_and_outcomes_are_parameters(table, run):
+    rows = [(i, f"http://h{i}.deep.city.example.jp/", "x") for i in range(30)] + [(99, "http://a.other.jp/", "x")]
+    docs = table(rows, PAGE)
+    got = {r.page_id: r for r in hosts.judge_urls(docs, run, suffixes=("city.example.jp",), bad=F.col("page_id") < 30).collect()}
+    assert got[3].verdict == "block" and got[99].bound < got[3].bound
+    name = table([("a.deep.city.example.jp",)], "h string").select(
+        hosts.suffix_and_domain(F.col("h"), ("city.example.jp", "example.jp")).alias("s")).first().s
+    assert tuple(name) == ("city.example.jp", "deep.city.example.jp")
+
+
 def test_few_pages_are_judged_by_their_relatives(table, run):
     outcomes = [(f"h{i}.bad.com", True) for i in range(60)] + [(f"h{i}.good.com", False) for i in range(60)]
     outcomes += [("new.good.com", True)]

@@ -92,3 +92,14 @@ def test_every_document_of_the_table_round_trips(spark):
         i: hashlib.sha256(t.encode()).hexdigest() for i, t in want.items()}
     assert all(r.same and len(r.costs.split(",")) == pieces.N_BEST for r in got)
     assert np.mean([r.n_pieces for r in got]) > 10
+
+
+def test_verified_rows_hold_the_decoded_texts_digest(table):
+    rows = [(1, "plain words é 日本"), (2, None), (3, "  two  spaces\n"), (3, "")]
+    got = pieces.encode_documents(table(rows, "doc_id bigint, text string"), verify=True).collect()
+    assert sorted((r.doc_id, r.text_sha256) for r in got) == sorted(
+        (i, hashlib.sha256((t or "").encode()).hexdigest()) for i, t in rows)
+    vocab = pieces.vocabulary(pieces.MODEL)
+    _, ids, _, _ = pieces.Encoder().encode(["plain words"])
+    with pytest.raises(ValueError):
+        pieces._verified(vocab, ["plain word"], np.array([0, len(ids)]), ids)

@@ -1,5 +1,6 @@
 """The pipeline against plain computations of each stage on its own input."""
 
+import hashlib
 import re
 
 import numpy as np
@@ -77,6 +78,7 @@ def test_redaction(stages):
 def test_segmentation(stages):
     vocab = pieces.vocabulary(pieces.MODEL)
     assert {r.doc_id: pieces.decode(vocab, r.ids) for r in stages[5]} == texts(stages[4])
+    assert all(r.text_sha256 == hashlib.sha256(texts(stages[4])[r.doc_id].encode()).hexdigest() for r in stages[5])
 
 
 def test_run_gives_the_last_stage(spark, stages):

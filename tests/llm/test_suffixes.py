@@ -56,6 +56,22 @@ def test_matches_brute_force(table, run, monkeypatch, seed, hot, block):
     assert got(suffixes.remove_repeats(docs, run, 30, 8)) == brute(rows, 30)
 
 
+@pytest.mark.parametrize("folded", [1, 50, 200_000])
+def test_a_line_of_many_documents_is_folded_before_it_is_dealt_out(table, run, monkeypatch, folded):
+    r = random.Random(folded)
+    monkeypatch.setattr(suffixes, "HOT", 20)
+    monkeypatch.setattr(suffixes, "FOLDED", folded)
+    line = "".join(r.choice("abcdefgh") for _ in range(60))
+    rows = [(i, "".join(r.choice("abc") for _ in range(r.randrange(9, 40))) + line + r.choice("xyz") * 5) for i in range(600)]
+    rows += [(3, rows[3][1]), (700, rows[5][1])]
+    docs = table(rows, DOC).repartition(4)
+    assert got(suffixes.remove_repeats(docs.dropDuplicates(), run, 30, 8)) == brute(dict(rows).items(), 30)
+    keys = run.write(suffixes._classify(suffixes._keys(docs, 30, 8), 30), "runs").filter("stop is null")
+    dealt = suffixes._suffixes(docs, keys.select("h", "doc_id", "at"), 30)
+    groups = {(x.h, x.part): x["count"] for x in dealt.filter("part != 0 and windows > 0").groupBy("h", "part").count().collect()}
+    assert groups and (folded < 1000 or max(groups.values()) <= docs.rdd.getNumPartitions())
+
+
 def test_documents_match_brute_force(spark):
     folder = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in documents(spark, folder).collect()]
@@ -93,6 +109,33 @@ def test_the_queue_on_disk_gives_the_same_repeats(memory):
     assert found == want and want
 
 
+def test_the_queue_holds_no_more_than_its_memory():
+    r = np.random.default_rng(1)
+    memory, widest = 20_000, 22
+    held = []
+
+    class Watched(suffixes.DiskQueue):
+        def push(self, priority, block):
+            super().push(priority, block)
+            held.append(self.held)
+    shared = r.integers(97, 99, (400, 51)).astype(np.uint8)  # windows of 400 anchors, several texts each
+    blocks = []
+    for lo in range(0, 400, 20):
+        group = np.repeat(np.arange(lo, lo + 20), 10)
+        data = [shared[g].tobytes() for g in group]
+        n = len(group)
+        blocks.append({"group": group, "bytes": data, "doc_id": np.tile(np.arange(10), 20), "start": 100 * group,
+                       "windows": np.full(n, 22), "left": np.full(n, 21)})
+    size = sum(a.nbytes for b in blocks for a in suffixes.sorted_suffixes(b, 30, widest).values())
+    assert size > 10 * memory
+    original, suffixes.DiskQueue = suffixes.DiskQueue, Watched
+    try:
+        found = sum(len(doc) for doc, _ in suffixes.sort_shard(iter(blocks), 30, widest, memory, 50))
+    finally:
+        suffixes.DiskQueue = original
+    assert found == 400 * 9 * 22 and 0 < max(held) <= memory
+
+
 def test_nulls_repeats_extra_columns_and_empty_tables(table, run):
     long = "".join(chr(97 + i * i % 26) for i in range(300))
     rows = [(None, long), (None, None), (4, long), (4, long), (5, "é" + long), (6, None)]
