@@ -33,8 +33,12 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The best segmentation into pieces of every document, and the next best ones as edits."""
-    return pieces.encode_documents(docs)
+    """The best segmentation into pieces of every document, and the next best ones as edits.
+
+    The pieces are decoded, too: each row carries the decoded text's digest, and
+    a text that does not come back is an error.
+    """
+    return pieces.encode_documents(docs, verify=True)
 
 
 STAGES = [
