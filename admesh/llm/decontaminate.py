@@ -26,6 +26,7 @@ that repeats one shingle many times over has a smaller cosine and can be missed.
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from admesh.llm.fields import bit_field, may_hold, only, without
 from admesh.llm.tables import table
 from admesh.storage import RunFolder
 
@@ -34,8 +35,7 @@ RADIUS = 23
 BLOCKS = 8
 BITS = 64 // BLOCKS
 SIMILARITY = 0.75
-FIELD_BITS = 256  # of the bit field for each distinct item shingle, of which a bit is set,
-FIELD_WORDS = 1 << 20  # up to so many longs (8 MB); more shingles make it let more through, for the join to settle
+FIELD_BITS = 256  # of the bit field for each distinct item shingle
 
 
 def words_of(text: Column) -> Column:
@@ -121,17 +121,6 @@ def _similar(sides: DataFrame, keys: list[str], bench: DataFrame, similarity: fl
         .filter(F.col("similarity") >= similarity))
 
 
-def _field(hashes: DataFrame) -> tuple[Column, int]:
-    """The distinct shingle hashes as an array of longs with a bit set for each, and the number of bits."""
-    words = min(FIELD_WORDS, 1 << (hashes.count() * FIELD_BITS // 64).bit_length())
-    slot = F.pmod("h", F.lit(64 * words))
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(slot, F.lit(64)).cast("int"))
-    longs = hashes.groupBy(F.floor(slot / 64).alias("id")).agg(F.bit_or(bit).alias("bits"))
-    every = hashes.sparkSession.range(words).join(longs, "id", "left")
-    listed = F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits"))))
-    return every.agg(listed["bits"].alias("field")).scalar(), 64 * words
-
-
 def _rarest(seeds: DataFrame, hits: DataFrame, similarity: float) -> DataFrame:
     """``h, item``: of every item, the shingles rarest in ``hits`` with more weight together than a similar window may miss."""
     each = seeds.groupBy("item", "whole", "h").agg(F.sum("w").alias("w"))
@@ -152,13 +141,11 @@ def windows_of(texts: DataFrame, bench: DataFrame, run: RunFolder, similarity: f
         bench.select("item", "n_words", F.col("weight").alias("whole"), F.posexplode("shingles").alias("offset", "s")).select(
             F.col("s.h").alias("h"), F.col("s.w").alias("w"), "item", "n_words", "whole", "offset"), "seeds")
     hashes = seeds.select("h").distinct()
-    field, bits = _field(hashes)
-    h = F.col("h")
+    field = bit_field(hashes, FIELD_BITS)
     hits = run.write(
         texts.select("doc_id", "words", F.explode(_starts(F.col("words"))).alias("at"))
         .select("doc_id", "at", F.size("words").alias("size"), _shingle_hash(F.col("words"), F.col("at")).alias("h"))
-        .filter(F.getbit(F.get(field, F.floor(F.pmod(h, F.lit(bits)) / 64).cast("int")),
-                         F.pmod(h, F.lit(64)).cast("int")) == 1), "hits")
+        .filter(may_hold(field, F.col("h"))), "hits")
     pairs = run.write(hits.join(_rarest(seeds, hits, similarity), "h").select("doc_id", "item").distinct(), "pairs")
     start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("offset"), F.col("size") - F.col("n_words")))
     laid = run.write(
@@ -167,7 +154,7 @@ def windows_of(texts: DataFrame, bench: DataFrame, run: RunFolder, similarity: f
     first = F.greatest(F.col("start") - SHINGLE, F.lit(0))
     before = F.slice("words", first + 1, F.col("start") - first)
     return run.write(
-        texts.join(laid, "doc_id").select("doc_id", "words", F.explode("laid").alias("w"))
+        only(texts, laid).join(laid, "doc_id").select("doc_id", "words", F.explode("laid").alias("w"))
         .select("doc_id", "words", "w.*", F.slice("words", F.col("w.start") + 1, F.col("w.n_words")).alias("own"))
         .select("doc_id", "item", "start", "n_words", F.concat_ws(" ", "own").alias("window"), before.alias("before"),
                 F.slice("words", F.col("start") + F.col("n_words") + 1, SHINGLE).alias("after")), "windows")
@@ -228,9 +215,7 @@ def matches(docs: DataFrame, items: DataFrame, run: RunFolder, similarity: float
 
 def keep_clean(docs: DataFrame, items: DataFrame, run: RunFolder, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, unchanged; rows with a null id stay."""
-    # Written, so that the join with all documents is planned on its size.
-    leaks = run.write(matches(docs, items, run, similarity).select("doc_id").distinct(), "leaks")
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, run.write(matches(docs, items, run, similarity).select("doc_id").distinct(), "leaks"))
 
 
 def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:

@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from admesh.llm.fields import only, without
 from admesh.llm.rolling import RangeHashes, chunks, joined, mix, runs_of
 from admesh.llm.tables import table
 from admesh.operators.components import components, roots
@@ -200,7 +201,7 @@ def _likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose full sets reach the similarity."""
+    """The pairs ``a, b``, a written table, whose full sets reach the similarity."""
     def run(batches):
         for part in chunks(batches, CHUNK, "ta"):
             one, two = (shingles(part.column(c).cast(pa.binary()).to_pylist()) for c in ("ta", "tb"))
@@ -210,7 +211,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("a").filter(near), part.column("b").filter(near)], ["a", "b"])
 
     asked = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("doc_id"))
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(asked, "doc_id")
+    named = only(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), asked)
+    texts = named.join(asked, "doc_id")
 
     def text(name):
         return F.max(F.when(F.col("doc_id") == F.col(name), F.col("text"))).alias("t" + name)
@@ -227,7 +229,7 @@ def _sets(members: DataFrame, docs: DataFrame, repeated: bool) -> DataFrame:
                 [pa.array(np.repeat(part.column("doc_id").to_numpy(), sizes)),
                  pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)),
                  pa.array(np.repeat(sizes, sizes).astype(np.int32))], ["doc_id", "h", "size"])
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(members.select("doc_id"), "doc_id")
+    texts = only(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), members).join(members.select("doc_id"), "doc_id")
     if repeated:
         texts = texts.groupBy("doc_id").agg(F.max("text").alias("text"))
     return texts.mapInArrow(run, "doc_id bigint, h bigint, size int")
@@ -298,7 +300,7 @@ def near_duplicates(docs: DataFrame, run: RunFolder, percent: int = PERCENT, cou
     members = run.write(bands.join(shared, "key").join(reps.select("doc_id", "n_shingles"), "doc_id"), "members")
     stars = members.filter("doc_id != center").select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
     likely = run.write(_likely(stars, reps, percent), "likely")
-    best = likely.groupBy("b").agg(F.max_by("a", "estimate").alias("a")).select("a", "b")
+    best = run.write(likely.groupBy("b").agg(F.max_by("a", "estimate").alias("a")).select("a", "b"), "best")
     first = run.write(_confirmed(best, docs, percent), "confirmed")
     labels = roots(first.select(F.col("b").alias("id"), F.col("a").alias("parent")), run)
 
@@ -369,8 +371,7 @@ def keep_one(docs: DataFrame, run: RunFolder, percent: int = PERCENT) -> DataFra
 
     Rows that repeat a kept id all stay, and so do rows with a null id.
     """
-    gone = near_duplicates(docs, run, percent).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, run.write(near_duplicates(docs, run, percent).filter(~F.col("kept")).select("doc_id").distinct(), "gone"))
 
 
 def op6_hyperminhash(spark: SparkSession, folder: str) -> DataFrame:
