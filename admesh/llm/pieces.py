@@ -34,7 +34,7 @@ from admesh.llm.tables import documents
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
-CHUNK = 8_000_000  # code points that share one pass over their distinct segments
+CHUNK = 4_000_000  # code points that share one pass over their distinct segments
 ROWS = 20_000  # segments of one length that go through the forward pass together
 LONG = 64  # longer segments take the scalar forward pass
 
@@ -191,7 +191,7 @@ class Encoder:
         self.vocab = vocabulary(path)
         self.n = n
         self._searchable = lru_cache(maxsize=20_000)(self._arcs_and_costs)
-        self._search = lru_cache(maxsize=20_000)(self._paths)
+        self._search = lru_cache(maxsize=2_000)(self._paths)
 
     def _arcs_and_costs(self, segment: str):
         arcs = lattice(self.vocab, segment)
