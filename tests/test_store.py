@@ -8,6 +8,7 @@ import pytest
 
 from admesh.operators import vertex
 from admesh.operators.affinity import event_affinity
+from admesh.plans.audience import Audience
 from admesh.sinks.store import Store
 from admesh.sources import facts
 from admesh.sources.tables import SCHEMAS
@@ -104,3 +105,12 @@ def test_events_later_than_the_delay_are_dropped(spark, table, run):
         table(batch, SCHEMAS["events"]).coalesce(1).write.mode("append").parquet(source)
         update_affinity(spark, source, store, progress, run, delay="10 days")
     assert [tuple(r) for r in store.read().collect()] == [(7, 5, 1, 2)]
+
+
+@pytest.mark.parametrize("parts", [1, 150])
+def test_the_query_streams_a_directory_whose_files_are_in_no_order_of_time(spark, table, run, parts):
+    folder = run.place("tables")
+    own = [(e[0], e[1] + dt.timedelta(days=40 * (e[0] % 7)), *e[2:]) for e in events(3, 300, 0)]
+    table(own, SCHEMAS["events"]).repartition(parts).write.parquet(f"{folder}/events.parquet")
+    audience = Audience(spark, folder)
+    assert rows(audience.affinity_stream()) == rows(audience.affinity_events()) != []
