@@ -83,3 +83,10 @@ def test_joins_shuffle_both_sides_so_that_skew_is_split(spark, name):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in text and joins_without_a_shuffle(text) == []
+
+
+def test_replaced_neighbour_lists_are_whole(spark):
+    links = {tuple(r) for r in entry.queries()["edges_symmetric"](spark, FOLDER).select("src", "dst").collect()}
+    got = {(r.id, int(d)) for r in entry.queries()["replace_neighbours"](spark, FOLDER).collect() if r.neighbours
+           for d in r.neighbours.split(",")}
+    assert got == links | {(src, src) for src, _ in links}
