@@ -206,8 +206,9 @@ def activation(weights, around: np.ndarray) -> np.ndarray:
     for i in range(1, len(OFFSETS)):
         total += weights["embed"][i].take(around[i], axis=0)
     total += weights["hidden"]
-    out = np.ones((len(total), HIDDEN + 1), np.float32)
-    np.tanh(total, out=out[:, :-1])
+    out = np.empty((len(total), HIDDEN + 1), np.float32)
+    out[:, -1] = 1
+    out[:, :-1] = np.tanh(total, out=total)
     return out
 
 
@@ -285,10 +286,11 @@ def descend(weights, every: Tokens, rate: float) -> None:
         back[order] += below
         back *= 1 - hidden[:, :-1] ** 2
         weights["hidden"] -= step * back.sum(0)
-        across = back.T.astype(np.float64)  # the types that bincount works in
-        for i, rows in enumerate(own.around.astype(np.int64)):
+        across = np.ascontiguousarray(back.T)
+        for i, rows in enumerate(own.around.astype(np.intp)):
+            slopes.fill(0)
             for unit in range(HIDDEN):
-                slopes[unit] = np.bincount(rows, across[unit], ROWS + 1)
+                np.add.at(slopes[unit], rows, across[unit])
             slopes *= (rate / np.sqrt(np.maximum(np.bincount(rows, minlength=ROWS + 1), 1))).astype(np.float32)
             weights["embed"][i] -= slopes.T
     weights["out"], weights["bias"] = layer[:-1].copy(), layer[-1].copy()
