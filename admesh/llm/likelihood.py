@@ -228,9 +228,15 @@ def _exp(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _by_class(class_: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """The tokens of classes of several leaves in the order of classes, and each such class that occurs with its range."""
     order = np.argsort(class_, kind="stable")
-    ends = np.searchsorted(class_[order], np.arange(ALONE, CLASSES + 1))
-    order, ends = order[ends[0]:], (ends - ends[0]).tolist()
-    return order, [(c, lo, hi) for c, lo, hi in zip(range(ALONE, CLASSES), ends, ends[1:]) if lo < hi]
+    first, ranges = _ranges(class_[order])
+    return order[first:], ranges
+
+
+def _ranges(ordered: np.ndarray) -> tuple[int, list[tuple[int, int, int]]]:
+    """Where the classes of several leaves begin among ordered classes, and the range of each from there, if it occurs."""
+    ends = np.searchsorted(ordered, np.arange(ALONE, CLASSES + 1))
+    first, ends = int(ends[0]), (ends - ends[0]).tolist()
+    return first, [(c, lo, hi) for c, lo, hi in zip(range(ALONE, CLASSES), ends, ends[1:]) if lo < hi]
 
 
 def _leaf_logits(near: np.ndarray, deep: np.ndarray, ranges: list[tuple[int, int, int]]) -> np.ndarray:
@@ -263,36 +269,44 @@ def descend(weights, every: Tokens, rate: float) -> None:
     takes part in, over the square root of n.
     """
     layer, deep = _layers(weights)
-    slopes = np.empty((HIDDEN, ROWS + 1), np.float32)
+    place = np.empty(ROWS + 1, np.intp)
     for at in range(0, len(every.class_), BATCH):
         own = every.part(at, BATCH)
         size = len(own.class_)
         step = np.float32(rate / math.sqrt(size))
-        hidden = activation(weights, own.around)
+        # In the order of classes, a class's tokens are a slice, and so are those of all classes of several leaves.
+        order = np.argsort(own.class_, kind="stable")
+        class_, leaf, around = own.class_[order], own.leaf[order], own.around.take(order, axis=1).astype(np.intp)
+        first, ranges = _ranges(class_)
+        hidden = activation(weights, around)
         error, total = _exp(hidden @ layer)
-        error /= total
-        error[np.arange(size), own.class_] -= 1
+        error *= 1 / total
+        error[np.arange(size), class_] -= 1
         back = error @ layer[:-1].T
         layer -= step * (hidden.T @ error)
-        order, ranges = _by_class(own.class_)
-        near = hidden.take(order, axis=0)
+        near = hidden[first:]
         wrong, total = _exp(_leaf_logits(near, deep, ranges))
-        wrong /= total
-        wrong[np.arange(len(order)), own.leaf[order]] -= 1
-        below = np.empty((len(order), HIDDEN), np.float32)
+        wrong *= 1 / total
+        wrong[np.arange(len(near)), leaf[first:]] -= 1
+        below = np.empty((len(near), HIDDEN), np.float32)
         for c, lo, hi in ranges:
             np.matmul(wrong[lo:hi], deep[c, :-1].T, out=below[lo:hi])
             deep[c] -= np.float32(rate / math.sqrt(hi - lo)) * (near[lo:hi].T @ wrong[lo:hi])
-        back[order] += below
-        back *= 1 - hidden[:, :-1] ** 2
+        back[first:] += below
+        slope = np.square(hidden[:, :-1])
+        back *= np.subtract(1, slope, out=slope)
         weights["hidden"] -= step * back.sum(0)
         across = np.ascontiguousarray(back.T)
-        for i, rows in enumerate(own.around.astype(np.intp)):
-            slopes.fill(0)
+        for i, rows in enumerate(around):
+            n = np.bincount(rows, minlength=ROWS + 1)
+            found = np.flatnonzero(n)  # the rows that occur, side by side
+            place[found] = np.arange(len(found))
+            rows = place[rows]
+            slopes = np.zeros((HIDDEN, len(found)), np.float32)
             for unit in range(HIDDEN):
                 np.add.at(slopes[unit], rows, across[unit])
-            slopes *= (rate / np.sqrt(np.maximum(np.bincount(rows, minlength=ROWS + 1), 1))).astype(np.float32)
-            weights["embed"][i] -= slopes.T
+            slopes *= (rate / np.sqrt(n[found])).astype(np.float32)
+            weights["embed"][i][found] -= slopes.T
     weights["out"], weights["bias"] = layer[:-1].copy(), layer[-1].copy()
     weights["deep"], weights["deep_bias"] = deep[:, :-1].copy(), deep[:, -1].copy()
 

@@ -197,3 +197,44 @@ def test_nulls_repeats_extra_columns_and_empty_tables(table, run):
     wide = table([r + (1, "s") for r in rows], DOC + ", n_tokens int, words string")
     assert lm.score_documents(wide, run).count() == 6
     assert lm.score_documents(table([], DOC), run).collect() == []
+
+
+def test_a_batch_moves_embeddings_by_the_slopes_over_the_root_of_their_tokens():
+    r = np.random.default_rng(3)
+    size = lm.BATCH + 700
+    counts = r.integers(0, 1000, 1 << 16)
+    words = lm.lexicon(counts)
+    every = lm.Tokens(
+        r.integers(0, lm.CLASSES, size).astype(np.uint8), np.zeros(size, np.uint8),
+        np.minimum(r.zipf(1.3, (4, size)) - 1, lm.ROWS).astype(np.uint16), np.zeros(size, np.float32))
+    every.leaf[every.class_ >= lm.ALONE] = r.integers(0, lm.LEAVES, int((every.class_ >= lm.ALONE).sum()))
+    got, plain = lm.initial(counts, words), lm.initial(counts, words)
+    lm.descend(got, every, 0.07)
+    plain = {k: v.astype(float) for k, v in plain.items()}
+    for lo in range(0, size, lm.BATCH):
+        own = every.part(lo, lm.BATCH)
+        n = len(own.class_)
+        hidden = np.tanh(sum(plain["embed"][i][own.around[i]] for i in range(4)) + plain["hidden"])
+        error = np.exp(hidden @ plain["out"] + plain["bias"])
+        error /= error.sum(1, keepdims=True)
+        error[np.arange(n), own.class_] -= 1
+        back = error @ plain["out"].T
+        moved = {"out": hidden.T @ error / np.sqrt(n), "bias": error.sum(0) / np.sqrt(n)}
+        for c in range(lm.ALONE, lm.CLASSES):
+            at = np.flatnonzero(own.class_ == c)
+            wrong = np.exp(hidden[at] @ plain["deep"][c] + plain["deep_bias"][c])
+            wrong /= wrong.sum(1, keepdims=True)
+            wrong[np.arange(len(at)), own.leaf[at]] -= 1
+            back[at] += wrong @ plain["deep"][c].T
+            plain["deep"][c] -= 0.07 * hidden[at].T @ wrong / np.sqrt(max(len(at), 1))
+            plain["deep_bias"][c] -= 0.07 * wrong.sum(0) / np.sqrt(max(len(at), 1))
+        for name, by in moved.items():
+            plain[name] -= 0.07 * by
+        back *= 1 - hidden**2
+        plain["hidden"] -= 0.07 * back.sum(0) / np.sqrt(n)
+        for i, rows in enumerate(own.around):
+            slopes = np.zeros(plain["embed"][i].shape)
+            np.add.at(slopes, rows, back)
+            plain["embed"][i] -= 0.07 * slopes / np.sqrt(np.maximum(np.bincount(rows, minlength=lm.ROWS + 1), 1))[:, None]
+    for name in got:
+        assert np.abs(got[name] - plain[name]).max() < 1e-4, name
