@@ -147,10 +147,12 @@ def fit_linear(doc, slot, target: np.ndarray, chosen: np.ndarray, rounds: int =
 
 def _odds(doc, slot, target):
     """Soft document counts of every feature on both classes."""
-    yes = np.zeros(1 << BITS)
-    for lo in range(0, len(doc), 1 << 20):  # in parts, for their temporary weights
-        yes += np.bincount(slot[lo:lo + (1 << 20)], target[doc[lo:lo + (1 << 20)]], minlength=1 << BITS)
-    return yes, np.bincount(slot, minlength=1 << BITS) - yes
+    yes, seen = np.zeros(1 << BITS), np.zeros(1 << BITS, np.int64)
+    for lo in range(0, len(doc), 1 << 20):  # in parts, for their temporary weights and wide slots
+        own = slot[lo:lo + (1 << 20)]
+        yes += np.bincount(own, target[doc[lo:lo + (1 << 20)]], minlength=1 << BITS)
+        seen += np.bincount(own, minlength=1 << BITS)
+    return yes, seen - yes
 
 
 def summarise(texts: list[str]) -> list[dict]:
@@ -167,18 +169,24 @@ def fit(sample: list[dict], quality: np.ndarray, toxic: np.ndarray) -> dict:
     ``quality`` and ``toxic`` are 0 or 1. An empty sample gives scorers that
     keep everything.
     """
+    slots = [r["slots"] for r in sample]
+    return fit_columns(
+        np.array([r["words"] for r in sample], np.int64), np.array([r["shape"] for r in sample]).reshape(-1, len(SHAPES)),
+        np.concatenate([*slots, np.zeros(0, np.int32)]), np.array([len(s) for s in slots], np.int64), quality, toxic)
+
+
+def fit_columns(words: np.ndarray, shape: np.ndarray, slot: np.ndarray, sizes: np.ndarray, quality: np.ndarray, toxic: np.ndarray) -> dict:
+    """``fit`` of summaries as columns: all texts' slots in a row, with each text's number of them."""
     empty = {"weights": np.zeros(1 << BITS, np.float32), "bias": -10.0}
-    if not sample:
+    if not len(words):
         return {"junk": empty, "toxic": empty, "accuracy": {}}
-    slot = np.concatenate([r["slots"] for r in sample])
-    doc = np.repeat(np.arange(len(sample), dtype=np.int32), [len(r["slots"]) for r in sample])
-    shape, words = np.stack([r["shape"] for r in sample]), np.array([r["words"] for r in sample])
+    doc = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
 
     def votes(*labellers):
         return np.stack([np.where(bad, 1, np.where(good, 0, -1)) for bad, good in labellers], 1)
     marks, shout, capitals, pipes, variety, commonest, _ = shape.T
     clean = (marks < 0.005) & (shout < 0.005) & (pipes < 0.005)
-    never = np.zeros(len(sample), bool)
+    never = np.zeros(len(words), bool)
     junk, junk_accuracy = label_model(votes(
         (marks > 0.05, marks < 0.005), (shout > 0.05, shout < 0.005), (capitals > 0.4, capitals < 0.2),
         (pipes > 0.03, pipes < 0.005), (commonest > 0.3, commonest < 0.15),
@@ -196,8 +204,8 @@ def fit(sample: list[dict], quality: np.ndarray, toxic: np.ndarray) -> dict:
     gazetteer = Features(list(INSULTS))
     insults = np.zeros(1 << BITS, bool)
     insults[gazetteer.token[:len(INSULTS)]] = True
-    found = np.bincount(doc[tied[slot]], minlength=len(sample))
-    named = np.bincount(doc[insults[slot]], minlength=len(sample))
+    found = np.bincount(doc[tied[slot]], minlength=len(words))
+    named = np.bincount(doc[insults[slot]], minlength=len(words))
     dense = found / np.maximum(np.sqrt(words), 1)
     foul, foul_accuracy = label_model(votes(
         (named >= 1, never), (found >= 2, found == 0), (dense > 0.3, dense < 0.02), (toxic == 1, toxic == 0)))
@@ -269,9 +277,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
 
     def column(name):
         return summary.column(name).fill_null(-1).to_numpy()
-    sample = [{"words": w, "shape": s.values.to_numpy(), "slots": t.values.to_numpy()} for w, s, t in zip(
-        column("words"), summary.column("shape"), summary.column("slots"))]
-    return fit(sample, column("quality"), column("toxic"))
+    slots = summary.column("slots").combine_chunks()
+    model = fit_columns(
+        column("words"), summary.column("shape").combine_chunks().flatten().to_numpy().reshape(-1, len(SHAPES)),
+        slots.flatten().to_numpy(), slots.value_lengths().to_numpy(), column("quality"), column("toxic"))
+    del summary, slots
+    pa.default_memory_pool().release_unused()  # else the driver holds the summaries' memory to its end
+    return model
 
 
 def judge(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, reject: float = REJECT) -> DataFrame:

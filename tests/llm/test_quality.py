@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -98,3 +99,26 @@ def test_empty_tables_and_no_labels(table):
 def test_the_query_returns_the_kept_documents(spark):
     got = quality.op7_quality(spark, "/root/testdata/sf0.001").collect()
     assert 100 < len(got) < 200 and all(r.kept and r.toxic < quality.REJECT for r in got)
+
+
+def test_summaries_as_columns_fit_alike_in_little_memory():
+    r = np.random.default_rng(5)
+    texts = [" ".join(r.choice(["plain", "words", "idiot", "$$$", "other", "more"], 30)) for _ in range(60)]
+    rows = quality.summarise(texts)
+    known, toxic = r.integers(0, 2, 60), r.integers(0, 2, 60)
+    one = quality.fit(rows, known, toxic)
+    two = quality.fit_columns(
+        np.array([x["words"] for x in rows]), np.stack([x["shape"] for x in rows]), np.concatenate([x["slots"] for x in rows]),
+        np.array([len(x["slots"]) for x in rows]), known, toxic)
+    for name in ("junk", "toxic"):
+        assert one[name]["bias"] == two[name]["bias"] and (one[name]["weights"] == two[name]["weights"]).all()
+
+    slot = r.integers(0, 1 << quality.BITS, 8_000_000).astype(np.int32)
+    doc = np.zeros(len(slot), np.int32)
+    tracemalloc.start()
+    yes, no = quality._odds(doc, slot, np.array([0.25]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < slot.nbytes
+    counts = np.bincount(slot, minlength=1 << quality.BITS)
+    assert (yes == counts / 4).all() and (no == counts * 0.75).all()
