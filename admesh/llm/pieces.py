@@ -190,7 +190,7 @@ class Encoder:
     def __init__(self, path: str = MODEL, n: int = N_BEST):
         self.vocab = vocabulary(path)
         self.n = n
-        self._searchable = lru_cache(maxsize=20_000)(self._arcs_and_costs)
+        self._searchable = lru_cache(maxsize=2_000)(self._arcs_and_costs)
         self._search = lru_cache(maxsize=2_000)(self._paths)
 
     def _arcs_and_costs(self, segment: str):

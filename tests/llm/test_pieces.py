@@ -103,3 +103,12 @@ def test_verified_rows_hold_the_decoded_texts_digest(table):
     _, ids, _, _ = pieces.Encoder().encode(["plain words"])
     with pytest.raises(ValueError):
         pieces._verified(vocab, ["plain word"], np.array([0, len(ids)]), ids)
+
+
+def test_the_encoder_keeps_a_bounded_number_of_lattices_and_none_changes_a_result():
+    r = random.Random(11)
+    texts = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(2_500)]
+    encoder = pieces.Encoder()
+    whole = encoder.encode(texts)[3]
+    assert encoder._searchable.cache_info().currsize <= 2_000
+    assert whole == [pieces.Encoder().encode([t])[3][0] for t in texts[:40]] + whole[40:]
