@@ -53,6 +53,7 @@ TASK = 1_000_000  # tokens that a task trains on at least, where that leaves a t
 BLOCK = 32  # weights averaged together
 _SCALE = 1 << 20
 _SLICE = 4_096  # blocks handed on together
+_SMALL = 256  # rows multiplied at once: BLAS takes small products as they lie, and repacks large ones
 
 _WORD = np.zeros(256, bool)
 _WORD[128:] = _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = True
@@ -200,16 +201,20 @@ def in_context(texts: list[np.ndarray], entries: np.ndarray) -> Tokens:
     return Tokens(found["class_"].copy(), found["leaf"].copy(), around, found["share"].copy())
 
 
-def activation(weights, around: np.ndarray) -> np.ndarray:
-    """The hidden layer, a row for each token, with a last column of ones for the biases."""
-    total = weights["embed"][0].take(around[0], axis=0)
-    for i in range(1, len(OFFSETS)):
-        total += weights["embed"][i].take(around[i], axis=0)
-    total += weights["hidden"]
+def activation(embed: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hidden layer, a row for each token, and the same with a last column of ones for the biases.
+
+    ``rows`` are rows of ``embed``, for each offset those of all tokens.
+    """
+    total = embed.take(rows[0], axis=0)
+    for some in rows[1:]:
+        total += embed.take(some, axis=0)
+    total += bias
+    np.tanh(total, out=total)
     out = np.empty((len(total), HIDDEN + 1), np.float32)
     out[:, -1] = 1
-    out[:, :-1] = np.tanh(total, out=total)
-    return out
+    out[:, :-1] = total
+    return total, out
 
 
 def _layers(weights) -> tuple[np.ndarray, np.ndarray]:
@@ -220,16 +225,42 @@ def _layers(weights) -> tuple[np.ndarray, np.ndarray]:
 
 def _exp(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The exponentials, in place, and their sums by row; logits are clipped where they could overflow."""
-    np.clip(logits, -LIMIT, LIMIT, out=logits)
+    if logits.max(initial=0) > LIMIT or logits.min(initial=0) < -LIMIT:
+        np.clip(logits, -LIMIT, LIMIT, out=logits)
     np.exp(logits, out=logits)
     return logits, logits @ np.ones((logits.shape[1], 1), np.float32)
 
 
-def _by_class(class_: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """The tokens of classes of several leaves in the order of classes, and each such class that occurs with its range."""
-    order = np.argsort(class_, kind="stable")
-    first, ranges = _ranges(class_[order])
-    return order[first:], ranges
+def _cut(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows in slices of ``_SMALL``, and those that are left."""
+    whole = len(a) // _SMALL * _SMALL
+    return a[:whole].reshape(-1, _SMALL, a.shape[1]), a[whole:]
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a @ b`` of a long ``a``."""
+    out = np.empty((len(a), b.shape[1]), np.float32)
+    for some, to in zip(_cut(a), _cut(out)):
+        np.matmul(some, b, out=to)
+    return out
+
+
+def _over_rows(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a.T @ b`` of long ``a`` and ``b``."""
+    (a, last_a), (b, last_b) = _cut(a), _cut(b)
+    return np.matmul(a.transpose(0, 2, 1), b).sum(0) + last_a.T @ last_b
+
+
+def _places(columns: np.ndarray, width: int) -> np.ndarray:
+    """Where one column of each row lies in a table of that width, its rows laid end to end."""
+    return np.arange(0, len(columns) * width, width) + columns
+
+
+def _by_class(own: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """An order of the tokens by class; their classes, leaves and neighbours in it, rows of the embeddings of all offsets in one table."""
+    order = np.argsort(own.class_, kind="stable")
+    rows = own.around.take(order, axis=1) + np.arange(0, len(OFFSETS) * (ROWS + 1), ROWS + 1)[:, None]
+    return order, own.class_.take(order), own.leaf.take(order), rows
 
 
 def _ranges(ordered: np.ndarray) -> tuple[int, list[tuple[int, int, int]]]:
@@ -249,16 +280,18 @@ def _leaf_logits(near: np.ndarray, deep: np.ndarray, ranges: list[tuple[int, int
 def token_scores(weights, every: Tokens) -> np.ndarray:
     """Log-probability of every token given its neighbours."""
     layer, deep = _layers(weights)
+    embed = weights["embed"].reshape(-1, HIDDEN)
     out = np.empty(len(every.class_), np.float32)
     for lo in range(0, len(out), BATCH):
         own = every.part(lo, BATCH)
-        hidden = activation(weights, own.around)
-        weight, total = _exp(hidden @ layer)
-        near = weight[np.arange(len(weight)), own.class_] / total[:, 0]
-        order, ranges = _by_class(own.class_)
-        weight, total = _exp(_leaf_logits(hidden.take(order, axis=0), deep, ranges))
-        near[order] *= weight[np.arange(len(order)), own.leaf[order]] / total[:, 0]
-        out[lo:lo + BATCH] = np.log(np.maximum(near, np.float32(1e-37))) + own.share
+        order, class_, leaf, rows = _by_class(own)
+        first, ranges = _ranges(class_)
+        _, hidden = activation(embed, rows, weights["hidden"])
+        weight, total = _exp(_times(hidden, layer))
+        near = weight.take(_places(class_, CLASSES)) / total[:, 0]
+        weight, total = _exp(_leaf_logits(hidden[first:], deep, ranges))
+        near[first:] *= weight.take(_places(leaf[first:], LEAVES)) / total[:, 0]
+        out[lo + order] = np.log(np.maximum(near, np.float32(1e-37))) + own.share.take(order)
     return out
 
 
@@ -269,44 +302,51 @@ def descend(weights, every: Tokens, rate: float) -> None:
     takes part in, over the square root of n.
     """
     layer, deep = _layers(weights)
-    place = np.empty(ROWS + 1, np.intp)
+    embed = weights["embed"].reshape(-1, HIDDEN)
+    whole = embed.view(f"V{embed.itemsize * HIDDEN}")[:, 0]  # a row is one value, which is faster to put back
+    place = np.empty(len(embed), np.intp)
     for at in range(0, len(every.class_), BATCH):
-        own = every.part(at, BATCH)
-        size = len(own.class_)
-        step = np.float32(rate / math.sqrt(size))
         # In the order of classes, a class's tokens are a slice, and so are those of all classes of several leaves.
-        order = np.argsort(own.class_, kind="stable")
-        class_, leaf, around = own.class_[order], own.leaf[order], own.around.take(order, axis=1).astype(np.intp)
+        _, class_, leaf, rows = _by_class(every.part(at, BATCH))
         first, ranges = _ranges(class_)
-        hidden = activation(weights, around)
-        error, total = _exp(hidden @ layer)
+        size = len(class_)
+        step = np.float32(rate / math.sqrt(size))
+        n = np.bincount(rows.ravel(), minlength=len(embed))
+        found = np.flatnonzero(n > 0)  # the embeddings that occur, side by side
+        place[found] = np.arange(len(found))
+        rows = place.take(rows)
+        used = embed.take(found, axis=0)
+        units, hidden = activation(used, rows, weights["hidden"])
+        error, total = _exp(_times(hidden, layer))
         error *= 1 / total
-        error[np.arange(size), class_] -= 1
-        back = error @ layer[:-1].T
-        layer -= step * (hidden.T @ error)
+        error.reshape(-1)[_places(class_, CLASSES)] -= 1
+        back = _times(error, layer[:-1].T.copy())
+        layer -= step * _over_rows(hidden, error)
         near = hidden[first:]
         wrong, total = _exp(_leaf_logits(near, deep, ranges))
         wrong *= 1 / total
-        wrong[np.arange(len(near)), leaf[first:]] -= 1
+        wrong.reshape(-1)[_places(leaf[first:], LEAVES)] -= 1
         below = np.empty((len(near), HIDDEN), np.float32)
         for c, lo, hi in ranges:
-            np.matmul(wrong[lo:hi], deep[c, :-1].T, out=below[lo:hi])
-            deep[c] -= np.float32(rate / math.sqrt(hi - lo)) * (near[lo:hi].T @ wrong[lo:hi])
+            some, own = wrong[lo:hi], deep[c]
+            np.matmul(some, own[:-1].T, out=below[lo:hi])
+            slope = near[lo:hi].T @ some
+            slope *= rate / math.sqrt(hi - lo)
+            own -= slope
         back[first:] += below
-        slope = np.square(hidden[:, :-1])
-        back *= np.subtract(1, slope, out=slope)
-        weights["hidden"] -= step * back.sum(0)
-        across = np.ascontiguousarray(back.T)
-        for i, rows in enumerate(around):
-            n = np.bincount(rows, minlength=ROWS + 1)
-            found = np.flatnonzero(n)  # the rows that occur, side by side
-            place[found] = np.arange(len(found))
-            rows = place[rows]
-            slopes = np.zeros((HIDDEN, len(found)), np.float32)
-            for unit in range(HIDDEN):
-                np.add.at(slopes[unit], rows, across[unit])
-            slopes *= (rate / np.sqrt(n[found])).astype(np.float32)
-            weights["embed"][i][found] -= slopes.T
+        np.square(units, out=units)
+        back *= np.subtract(1, units, out=units)
+        weights["hidden"] -= step * (np.ones(size, np.float32) @ back)
+        # Two units are summed at once, as the parts of a complex number.
+        across = np.ascontiguousarray(back.view(np.complex64).T)
+        slopes = np.zeros((len(across), len(found)), np.complex64)
+        for some, units in zip(slopes, across):
+            for of_offset in rows:
+                np.add.at(some, of_offset, units)
+        scaled = slopes.view(np.float32)
+        scaled *= np.repeat((rate / np.sqrt(n.take(found))).astype(np.float32), 2)
+        used -= np.ascontiguousarray(slopes.T).view(np.float32)
+        whole[found] = used.view(whole.dtype)[:, 0]
     weights["out"], weights["bias"] = layer[:-1].copy(), layer[-1].copy()
     weights["deep"], weights["deep_bias"] = deep[:, :-1].copy(), deep[:, -1].copy()
 

@@ -238,3 +238,27 @@ def test_a_batch_moves_embeddings_by_the_slopes_over_the_root_of_their_tokens():
             plain["embed"][i] -= 0.07 * slopes / np.sqrt(np.maximum(np.bincount(rows, minlength=lm.ROWS + 1), 1))[:, None]
     for name in got:
         assert np.abs(got[name] - plain[name]).max() < 1e-4, name
+
+
+@pytest.mark.parametrize("size", [0, 1, lm._SMALL - 1, lm._SMALL, 3 * lm._SMALL + 5])
+def test_products_by_slices_are_plain_products(size):
+    r = np.random.default_rng(4)
+    a, b, c = (r.standard_normal(s).astype(np.float32) for s in ((size, lm.HIDDEN + 1), (lm.HIDDEN + 1, lm.CLASSES), (size, lm.CLASSES)))
+    assert lm._times(a, b) == pytest.approx(a.astype(float) @ b, abs=1e-4)
+    assert lm._over_rows(a, c) == pytest.approx(a.T.astype(float) @ c, abs=1e-3)
+
+
+def test_a_batch_of_classes_of_one_leaf_moves_no_leaves_and_huge_logits_stay_finite():
+    r = np.random.default_rng(5)
+    counts = r.integers(0, 1000, 1 << 16)
+    words = lm.lexicon(counts)
+    start = lm.initial(counts, words)
+    start["out"] *= 10_000
+    every = lm.Tokens(r.integers(0, lm.ALONE, 50).astype(np.uint8), np.zeros(50, np.uint8),
+                      r.integers(0, lm.ROWS, (4, 50)).astype(np.uint16), np.zeros(50, np.float32))
+    moved = {k: v.copy() for k, v in start.items()}
+    lm.descend(moved, every, 0.07)
+    assert all(np.isfinite(w).all() for w in moved.values()) and np.isfinite(lm.token_scores(moved, every)).all()
+    assert (moved["deep"] == start["deep"]).all() and (moved["embed"] != start["embed"]).any()
+    rows = (moved["embed"] != start["embed"]).any(2)
+    assert all(set(np.flatnonzero(rows[i])) <= set(every.around[i].tolist()) for i in range(4))
