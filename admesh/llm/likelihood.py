@@ -23,7 +23,7 @@ order. What reaches the driver is bounded by the slots and the network.
 """
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -48,7 +48,8 @@ ROUNDS = 2
 BATCH = 4_096  # tokens trained on or scored together
 RATE = 0.07
 CHUNK = 2_000_000
-LIMIT = np.float32(60)  # of a logit
+LIMIT = np.float32(60)  # of a logit, where
+MOST = 1e27  # of a row's exponentials does not suffice
 TASK = 1_000_000  # tokens that a task trains on at least, where that leaves a task for every core
 BLOCK = 32  # weights averaged together
 _SCALE = 1 << 20
@@ -201,18 +202,17 @@ def in_context(texts: list[np.ndarray], entries: np.ndarray) -> Tokens:
     return Tokens(found["class_"].copy(), found["leaf"].copy(), around, found["share"].copy())
 
 
-def activation(embed: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def activation(first: np.ndarray, embed: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The hidden layer, a row for each token, and the same with a last column of ones for the biases.
 
-    ``rows`` are rows of ``embed``, for each offset those of all tokens.
+    ``rows`` are those of all tokens for each offset: of ``first``, which has the
+    layer's bias added, for the first offset, and of ``embed`` for the others.
     """
-    total = embed.take(rows[0], axis=0)
+    total = first.take(rows[0], axis=0)
     for some in rows[1:]:
         total += embed.take(some, axis=0)
-    total += bias
     np.tanh(total, out=total)
-    out = np.empty((len(total), HIDDEN + 1), np.float32)
-    out[:, -1] = 1
+    out = np.ones((len(total), HIDDEN + 1), np.float32)
     out[:, :-1] = total
     return total, out
 
@@ -223,12 +223,19 @@ def _layers(weights) -> tuple[np.ndarray, np.ndarray]:
             np.concatenate([weights["deep"], weights["deep_bias"][:, None]], 1))
 
 
-def _exp(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The exponentials, in place, and their sums by row; logits are clipped where they could overflow."""
-    if logits.max(initial=0) > LIMIT or logits.min(initial=0) < -LIMIT:
-        np.clip(logits, -LIMIT, LIMIT, out=logits)
-    np.exp(logits, out=logits)
-    return logits, logits @ np.ones((logits.shape[1], 1), np.float32)
+def _exp(logits: Callable[[], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The exponentials and their sums by row; logits are clipped where a sum could overflow or vanish."""
+    out = logits()
+    ones = np.ones((out.shape[1], 1), np.float32)
+    with np.errstate(over="ignore"):
+        np.exp(out, out=out)
+        total = out @ ones
+    if len(out) and not (total.min() > 1 / MOST and total.max() < MOST):
+        out = logits()
+        np.clip(out, -LIMIT, LIMIT, out=out)
+        np.exp(out, out=out)
+        total = out @ ones
+    return out, total
 
 
 def _cut(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -281,15 +288,16 @@ def token_scores(weights, every: Tokens) -> np.ndarray:
     """Log-probability of every token given its neighbours."""
     layer, deep = _layers(weights)
     embed = weights["embed"].reshape(-1, HIDDEN)
+    biased = weights["embed"][0] + weights["hidden"]
     out = np.empty(len(every.class_), np.float32)
     for lo in range(0, len(out), BATCH):
         own = every.part(lo, BATCH)
         order, class_, leaf, rows = _by_class(own)
         first, ranges = _ranges(class_)
-        _, hidden = activation(embed, rows, weights["hidden"])
-        weight, total = _exp(_times(hidden, layer))
+        _, hidden = activation(biased, embed, rows)
+        weight, total = _exp(lambda: _times(hidden, layer))
         near = weight.take(_places(class_, CLASSES)) / total[:, 0]
-        weight, total = _exp(_leaf_logits(hidden[first:], deep, ranges))
+        weight, total = _exp(lambda: _leaf_logits(hidden[first:], deep, ranges))
         near[first:] *= weight.take(_places(leaf[first:], LEAVES)) / total[:, 0]
         out[lo + order] = np.log(np.maximum(near, np.float32(1e-37))) + own.share.take(order)
     return out
@@ -316,14 +324,14 @@ def descend(weights, every: Tokens, rate: float) -> None:
         place[found] = np.arange(len(found))
         rows = place.take(rows)
         used = embed.take(found, axis=0)
-        units, hidden = activation(used, rows, weights["hidden"])
-        error, total = _exp(_times(hidden, layer))
+        units, hidden = activation(used[:rows[0].max() + 1] + weights["hidden"], used, rows)
+        error, total = _exp(lambda: _times(hidden, layer))
         error *= 1 / total
         error.reshape(-1)[_places(class_, CLASSES)] -= 1
         back = _times(error, layer[:-1].T.copy())
         layer -= step * _over_rows(hidden, error)
         near = hidden[first:]
-        wrong, total = _exp(_leaf_logits(near, deep, ranges))
+        wrong, total = _exp(lambda: _leaf_logits(near, deep, ranges))
         wrong *= 1 / total
         wrong.reshape(-1)[_places(leaf[first:], LEAVES)] -= 1
         below = np.empty((len(near), HIDDEN), np.float32)
@@ -345,7 +353,8 @@ def descend(weights, every: Tokens, rate: float) -> None:
                 np.add.at(some, of_offset, units)
         scaled = slopes.view(np.float32)
         scaled *= np.repeat((rate / np.sqrt(n.take(found))).astype(np.float32), 2)
-        used -= np.ascontiguousarray(slopes.T).view(np.float32)
+        pairs = used.view(np.complex64)
+        pairs -= slopes.T
         whole[found] = used.view(whole.dtype)[:, 0]
     weights["out"], weights["bias"] = layer[:-1].copy(), layer[-1].copy()
     weights["deep"], weights["deep_bias"] = deep[:, :-1].copy(), deep[:, -1].copy()
