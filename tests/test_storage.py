@@ -36,6 +36,63 @@ def test_a_cluster_on_one_machine_needs_the_setting_too():
         storage.shared_folder(session("local-cluster[3,2,1000]"))
 
 
+@pytest.mark.parametrize("master", ["spark://host:7077", "k8s://https://host:6443"])
+@pytest.mark.parametrize("folder", ["file:///mnt/shared", "/mnt/shared"])
+def test_a_mounted_folder_is_taken_on_other_clusters(master, folder):
+    assert storage.shared_folder(session(master, folder)) == folder
+
+
+def test_a_standalone_cluster_needs_the_setting_too():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.shared_folder(session("spark://host:7077"))
+
+
+class Disks:
+    """A session whose executors' files are seen for the first ``seen`` rows only."""
+
+    def __init__(self, seen):
+        self.read = self
+        self.write = self
+        self.seen, self.tasks, self.sparkContext = seen, 0, SimpleNamespace(defaultParallelism=3)
+
+    def range(self, start, end, step, tasks):
+        self.tasks = tasks
+        return self
+
+    def schema(self, _):
+        return self
+
+    def parquet(self, _):
+        return self
+
+    def count(self):
+        return min(self.seen, self.tasks)
+
+
+def test_a_folder_that_executors_do_not_share_is_an_error():
+    storage.prove_shared(Disks(1000), "/mnt/shared/proof")
+    for seen in (0, 5):
+        with pytest.raises(ValueError, match="not shared"):
+            storage.prove_shared(Disks(seen), "/mnt/shared/proof")
+
+
+def test_queries_run_on_a_standalone_cluster_with_a_mounted_folder(tmp_path):
+    # The master's name alone is that of a cluster; its folder is shared by all threads.
+    code = f"""
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[4]").config("spark.checkpoint.dir", "{tmp_path}/shared").getOrCreate()
+spark.sparkContext.master = "spark://host:7077"
+import __spark_entry__ as entry
+folder = "/root/testdata/sf0.001"
+print([entry.queries()[name](spark, folder).count() for name in ("read_id", "degree_centrality", "op5_host_reputation")])
+from admesh import storage
+print(len(storage._proven))
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=ROOT, timeout=300)
+    assert done.stdout.split("\n")[:2] == ["[150, 150, 50]", "1"], done.stderr
+    assert list((tmp_path / "shared").glob("admesh-*")) == []
+
+
 def test_local_mode_falls_back_to_a_temporary_folder():
     assert storage.shared_folder(session("local[2]")) == storage.shared_folder(session("local[2]"))
 
