@@ -147,6 +147,13 @@ def test_a_hot_bucket_gives_rows_not_pairs(table, run):
     assert len(got) == 50 and {r.others for r in got} == {49}
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_co_buyers_are_all_pairs_of_a_bucket_once(table, run, seed):
+    bought = random_purchases(seed) + [(u, 7, dt.date(2020, 1, 1), 1.0) for u in range(50)]
+    got = rows(graph.co_buyers(incidence(table, run, bought), run))
+    assert got == sorted({(a, b) for a, b in weights(bought) if a < b})
+
+
 def test_star_centrality(table, run):
     star = incidence(table, run, of_pairs([(0, 1), (0, 2), (0, 3)]))
     central = graph.degree_centrality(users(table, 0, 1, 2, 3, 9), graph.degrees(star))

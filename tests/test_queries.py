@@ -85,6 +85,15 @@ def test_joins_shuffle_both_sides_so_that_skew_is_split(spark, name):
     assert "SortMergeJoin" in text and joins_without_a_shuffle(text) == []
 
 
+def test_read_neighbours_are_all_co_buyers(spark):
+    buckets = {}
+    for r in entry.queries()["interactions"](spark, FOLDER).collect():
+        buckets.setdefault((r.item_id, r.month), []).append(r.user_id)
+    want = {(a, b) for users in buckets.values() for a in users for b in users if a != b}
+    got = [tuple(r) for r in entry.queries()["read_neighbours"](spark, FOLDER).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_replaced_neighbour_lists_are_whole(spark):
     links = {tuple(r) for r in entry.queries()["edges_symmetric"](spark, FOLDER).select("src", "dst").collect()}
     got = {(r.id, int(d)) for r in entry.queries()["replace_neighbours"](spark, FOLDER).collect() if r.neighbours
